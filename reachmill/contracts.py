@@ -29,11 +29,18 @@ SQL_PRODUCTS = "products"
 DATE_PARTS = ("anio", "mes", "dia")
 
 # ---- landing JSON -------------------------------------------------------
-SALE_EVENT = """
-    event_id string, timestamp string, product_id string, product_name string,
-    quantity bigint, unit_price double, total_amount double,
-    region string, channel string
-"""
+SALE_FIELDS = {
+    "event_id": "string",
+    "timestamp": "string",
+    "product_id": "string",
+    "product_name": "string",
+    "quantity": "bigint",
+    "unit_price": "double",
+    "total_amount": "double",
+    "region": "string",
+    "channel": "string",
+}
+SALE_EVENT = ", ".join(f"{name} {kind}" for name, kind in SALE_FIELDS.items())
 
 SALES_ENVELOPE = f"""
     batch_date string, batch_timestamp string, total_events bigint,

@@ -41,7 +41,7 @@ def sale_events(envelopes: DataFrame) -> DataFrame:
 
 
 def unreadable(envelopes: DataFrame, body: str) -> DataFrame:
-    """Envelopes that yield no rows because the file was not valid JSON or had no body.
+    """Envelopes that are not fully valid JSON for their schema, or have no body.
 
     Expects the columns file_path and _corrupt_record that the landing readers add.
     """
