@@ -33,15 +33,11 @@ def ad_product(spend: DataFrame) -> DataFrame:
     """One product per ad.
 
     Should an ad have several, the smallest product_id wins, and a known product
-    wins over none, so that reruns agree. The distinct comes first: it is a hash
-    aggregate that shrinks the table before the shuffle, whereas taking the minimum
-    of strings over the full table would sort it.
+    wins over none, so that reruns agree.
     """
     known = F.when(F.col("product_id").isNotNull(), F.struct("product_id", "product_name"))
     return (
-        spend.select("ad_id", "product_id", "product_name")
-        .distinct()
-        .groupBy("ad_id")
+        spend.groupBy("ad_id")
         .agg(F.min(known).alias("product"))
         .select("ad_id", "product.product_id", "product.product_name")
     )
@@ -91,9 +87,10 @@ def ad_days(snapshots: DataFrame, spend: DataFrame) -> DataFrame:
     `reach_deltas`, without those joins. Snapshots and spend are first reduced
     together to one row per ad and day, then one window per ad works out start,
     reach growth and the stretch of days the row stands for: its own day plus the
-    observed days up to the ad's next row. Exploding that stretch fills the gaps.
-    Each table is reduced map-side and shuffled once as raw input; the grid itself
-    is produced after the last shuffle.
+    observed days up to the ad's next row. The product joins in while the rows are
+    still in window order, and exploding the stretches then fills the gaps. Both
+    tables are reduced map-side before they are shuffled, and the grid itself comes
+    into being after the last shuffle.
     """
     days = observed_days(snapshots)
     facts = _facts(snapshots, spend, days)
@@ -108,19 +105,22 @@ def ad_days(snapshots: DataFrame, spend: DataFrame) -> DataFrame:
             "fecha_inicio_anuncio": F.min("start").over(whole),
             "previous": F.last(last_snapshot, ignorenulls=True).over(before),
             "next_pos": F.lead("pos").over(by_day),
-            "is_first": F.lag("pos").over(by_day).isNull(),
+            "is_first": F.lag("is_snapshot").over(by_day).isNull(),
         }
     )
 
-    # the ad's first row also stands for the days between its start and that row
+    # The ad's first row also stands for the days between its start and that row; an
+    # undated snapshot sorts first, has no position, and stands for nothing else.
     size = F.size("days")
     start_pos = F.size(F.filter("days", lambda d: d < F.col("fecha_inicio_anuncio"))) + 1
     first_pos = F.when(F.col("is_first"), F.least("pos", start_pos)).otherwise(F.col("pos"))
     end_pos = F.coalesce("next_pos", size + 1)
+    length = F.greatest(end_pos - first_pos, F.lit(0))
     stretch = (
-        per_ad.where("fecha is not null and fecha_inicio_anuncio is not null")
+        per_ad.where(F.col("fecha_inicio_anuncio").isNotNull())
+        .join(ad_product(spend), "ad_id", "left")
         .withColumn("days", days.scalar())
-        .withColumn("day", F.explode(F.slice("days", first_pos, end_pos - first_pos)))
+        .withColumn("day", F.explode(F.slice("days", first_pos, length)))
         .where(F.col("day") >= F.col("fecha_inicio_anuncio"))
     )
 
@@ -132,6 +132,8 @@ def ad_days(snapshots: DataFrame, spend: DataFrame) -> DataFrame:
     return stretch.select(
         F.col("day").alias("fecha"),
         "ad_id",
+        "product_id",
+        "product_name",
         "fecha_inicio_anuncio",
         F.when(own, F.col("gasto")).alias("gasto"),
         F.when(own, growth).alias("alcance"),
