@@ -20,7 +20,7 @@ from reachmill.functions.response import daily_sales as expected_sales
 from reachmill.functions.response import hourly_sales
 from reachmill.operators import extraction, history, quality, timeline, upsert
 from reachmill.plans import bronze, gold, silver
-from reachmill.runtime import scratch_folder
+from reachmill.runtime import scratch_folder, tune
 from reachmill.sinks.landing import write_envelopes
 from reachmill.sinks.tables import write_gold
 from reachmill.sources.landing import parse_envelopes
@@ -35,7 +35,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 def query(build: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return plain(build(Views(spark, folder)))
+        return plain(build(Views(tune(spark), folder)))
 
     REGISTRY[build.__name__] = run
     return build

@@ -111,17 +111,19 @@ def ad_days(snapshots: DataFrame, spend: DataFrame) -> DataFrame:
 
     # The ad's first row also stands for the days between its start and that row; an
     # undated snapshot sorts first, has no position, and stands for nothing else.
-    size = F.size("days")
-    start_pos = F.size(F.filter("days", lambda d: d < F.col("fecha_inicio_anuncio"))) + 1
-    first_pos = F.when(F.col("is_first"), F.least("pos", start_pos)).otherwise(F.col("pos"))
-    end_pos = F.coalesce("next_pos", size + 1)
+    # The list of days stays a single value: it is never copied into the rows.
+    all_days, start = days.scalar(), F.col("fecha_inicio_anuncio")
+    start_pos = F.array_position(F.sort_array(F.array_append(all_days, start)), start)
+    first_pos = F.when(F.col("is_first"), F.least("pos", start_pos.cast("int"))).otherwise(
+        F.col("pos")
+    )
+    end_pos = F.coalesce("next_pos", F.size(all_days) + 1)
     length = F.greatest(end_pos - first_pos, F.lit(0))
     stretch = (
-        per_ad.where(F.col("fecha_inicio_anuncio").isNotNull())
+        per_ad.where(start.isNotNull())
         .join(ad_product(spend), "ad_id", "left")
-        .withColumn("days", days.scalar())
-        .withColumn("day", F.explode(F.slice("days", first_pos, length)))
-        .where(F.col("day") >= F.col("fecha_inicio_anuncio"))
+        .withColumn("day", F.explode(F.slice(all_days, first_pos, length)))
+        .where(F.col("day") >= start)
     )
 
     # a row without ad id is on the grid, but no spend or reach can be joined to it
@@ -171,9 +173,8 @@ def _facts(snapshots: DataFrame, spend: DataFrame, days: DataFrame) -> DataFrame
             money_sum("daily_spend").alias("gasto"),
             F.max("is_snapshot").alias("is_snapshot"),
         )
-        .withColumn("pos", F.nullif(F.array_position(days.scalar(), F.col("fecha")), F.lit(0)))
-        .where(F.col("is_snapshot") | F.col("pos").isNotNull())
-        .withColumn("pos", F.col("pos").cast("int"))
+        .withColumn("pos", F.array_position(days.scalar(), F.col("fecha")).cast("int"))
+        .where("is_snapshot or pos > 0")
     )
 
 
