@@ -328,10 +328,10 @@ def h_assemble_pages(v: Views) -> DataFrame:
 @query
 def h_backcast(v: Views) -> DataFrame:
     """Latest snapshot of every ad projected back over the whole period."""
-    newest = v.nested_snapshots.groupBy("ad_id").agg(F.max("fecha").alias("fecha"))
-    ads = v.nested_snapshots.join(newest, ["ad_id", "fecha"]).select(
-        F.inline(F.array(ad_struct()))
+    newest = v.nested_snapshots.groupBy("ad_id").agg(
+        F.max_by(ad_struct(), "fecha").alias("ad")
     )
+    ads = newest.select("ad.*")
     shares = history.cumulative_share(h_spend_spine(v))
     past = history.backcast_snapshots(history.with_start_date(ads), shares)
     flat = silver.demographic_snapshots(
