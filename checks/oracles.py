@@ -351,6 +351,8 @@ where m.fecha = m.newest
     SPINE,
 )
 
+ORACLES["h_backcast_landed"] = ORACLES["h_backcast"]
+
 ORACLES["q_duplicate_keys"] = """
 select l_partkey, l_suppkey, count(*) as rows from lineitem group by 1, 2 having count(*) > 1
 """

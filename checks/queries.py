@@ -21,7 +21,7 @@ from reachmill.functions.response import hourly_sales
 from reachmill.operators import extraction, history, quality, timeline, upsert
 from reachmill.plans import bronze, gold, silver
 from reachmill.runtime import scratch_folder, tune
-from reachmill.sinks.landing import write_envelopes
+from reachmill.sinks.landing import backcast_envelopes, write_envelopes
 from reachmill.sinks.tables import write_gold
 from reachmill.sources.landing import parse_envelopes
 from reachmill.streaming.capture import parse_messages, start_capture
@@ -325,23 +325,36 @@ def h_assemble_pages(v: Views) -> DataFrame:
     )
 
 
-@query
-def h_backcast(v: Views) -> DataFrame:
+def _backcast(v: Views) -> DataFrame:
     """Latest snapshot of every ad projected back over the whole period."""
     newest = v.nested_snapshots.groupBy("ad_id").agg(
         F.max_by(ad_struct(), "fecha").alias("ad")
     )
     ads = newest.select("ad.*")
     shares = history.cumulative_share(h_spend_spine(v))
-    past = history.backcast_snapshots(history.with_start_date(ads), shares)
-    flat = silver.demographic_snapshots(
-        past.withColumnRenamed("id", "ad_id").withColumn(
-            "ad_delivery_start_time", F.col("ad_delivery_start_time").cast("date")
-        )
-    )
-    return flat.select(
-        "fecha", "ad_id", "eu_total_reach", "country", "age_range", "female", "male"
+    return history.backcast_snapshots(history.with_start_date(ads), shares)
+
+
+BACKCAST = ["fecha", "ad_id", "eu_total_reach", "country", "age_range", "female", "male"]
+
+
+@query
+def h_backcast(v: Views) -> DataFrame:
+    past = _backcast(v).withColumnRenamed("id", "ad_id").withColumn(
+        "ad_delivery_start_time", F.col("ad_delivery_start_time").cast("date")
     )
+    return silver.demographic_snapshots(past).select(*BACKCAST)
+
+
+@query
+def h_backcast_landed(v: Views) -> DataFrame:
+    """The same by way of landing files, the bronze stream and the stored bronze table."""
+    lake = scratch_folder(v.spark, "lake")
+    folder = f"{lake}/{names.LANDING}/{names.SNAPSHOTS}/backcast"
+    write_envelopes(backcast_envelopes(_backcast(v)), folder)
+    ingest(v.spark, lake, names.SNAPSHOTS, names.SNAPSHOT_ENVELOPE, bronze.ad_snapshots)
+    stored = v.spark.read.parquet(f"{lake}/{names.BRONZE}/{names.SNAPSHOTS}")
+    return silver.demographic_snapshots(stored).select(*BACKCAST)
 
 
 # ---- data quality -------------------------------------------------------

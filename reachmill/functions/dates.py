@@ -40,6 +40,21 @@ def publication_date(text: Column) -> Column:
     return F.coalesce(F.try_to_date(F.substring(text, 1, 10), "yyyy-M-d"), compact)
 
 
+def utc_date(moment: Column) -> Column:
+    """Calendar date of a moment in UTC as text, whatever the session's time zone."""
+    return F.date_format(_in_utc(moment), "yyyy-MM-dd")
+
+
+def utc_iso(moment: Column) -> Column:
+    """A moment as ISO text with microseconds and UTC offset."""
+    clock = F.date_format(_in_utc(moment), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return F.concat(clock, F.lit("+00:00"))
+
+
+def _in_utc(moment: Column) -> Column:
+    return F.to_utc_timestamp(moment.cast("timestamp"), F.current_timezone())
+
+
 def with_date_parts(df: DataFrame, day: str = "fecha") -> DataFrame:
     """Add the year, month and day partition columns."""
     year, month, dom = DATE_PARTS

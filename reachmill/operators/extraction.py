@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reachmill.functions.dates import utc_date, utc_iso
+
 
 def assemble_pages(pages: DataFrame, extracted_at: datetime | Column) -> DataFrame:
     """All ads of the pages as rows of one snapshot, stamped with date, time and count.
@@ -15,12 +17,11 @@ def assemble_pages(pages: DataFrame, extracted_at: datetime | Column) -> DataFra
     not gathered into one array. Pages without data add nothing.
     """
     moment = extracted_at if isinstance(extracted_at, Column) else F.lit(extracted_at)
-    moment = moment.cast("timestamp")
     ads_on_page = F.greatest(F.coalesce(F.size("data"), F.lit(0)), F.lit(0))
     total = pages.agg(F.coalesce(F.sum(ads_on_page), F.lit(0)).cast("bigint").alias("n"))
     return pages.select(F.inline("data")).select(
-        F.date_format(moment, "yyyy-MM-dd").alias("extraction_date"),
-        F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("extraction_timestamp"),
+        utc_date(moment).alias("extraction_date"),
+        utc_iso(moment).alias("extraction_timestamp"),
         total.scalar().alias("total_ads"),
         "*",
     )
@@ -29,7 +30,7 @@ def assemble_pages(pages: DataFrame, extracted_at: datetime | Column) -> DataFra
 def latest_snapshot(envelopes: DataFrame) -> DataFrame:
     """The ads of the envelopes whose file_path is last in text order.
 
-    For files still in landing, `sources.landing.newest_document` finds that path
+    For files still in landing, `sources.landing.newest_snapshot` finds that path
     from the listing alone.
     """
     newest = envelopes.agg(F.max("file_path").alias("file_path")).scalar()

@@ -1,17 +1,23 @@
-"""The three jobs that move a lake from landing to gold."""
+"""Jobs: into landing, and from landing to gold."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reachmill import contracts as names
+from reachmill.functions.dates import dated_folder
+from reachmill.operators import extraction, history
 from reachmill.plans import bronze, gold, silver
+from reachmill.sinks.landing import backcast_envelopes, snapshot_envelopes, write_envelopes
 from reachmill.sinks.tables import write_gold, write_silver
-from reachmill.sources.files import read_stored
+from reachmill.sources.files import read_ads_pages, read_stored
+from reachmill.sources.landing import newest_snapshot, read_entry
 from reachmill.streaming.ingest import ingest
 
 
@@ -29,6 +35,45 @@ class Lake:
         return read_stored(spark, self.path(layer, dataset), self.table_format)
 
 
+def snapshot_to_landing(
+    spark: SparkSession, lake: Lake, pages_folder: str, extracted_at: datetime
+) -> str:
+    """Land the dumped pages of one ads API extraction as a snapshot; returns its path."""
+    moment = extracted_at.astimezone(timezone.utc)
+    folder = dated_folder(names.LANDING, names.SNAPSHOTS, moment.date())
+    path = f"{lake.root}/{folder}/{names.SNAPSHOTS}_{moment:%Y%m%d_%H%M%S}"
+    ads = extraction.assemble_pages(read_ads_pages(spark, pages_folder), moment)
+    stamp = ["extraction_date", "extraction_timestamp"]
+    write_envelopes(snapshot_envelopes(ads.drop("total_ads"), stamp), path)
+    return path
+
+
+def backcast_to_landing(
+    spark: SparkSession,
+    lake: Lake,
+    spend: DataFrame,
+    today: date,
+    days: int = history.DEFAULT_DAYS,
+) -> str:
+    """Land the snapshots that the newest one implies for the last days; returns the path.
+
+    The folder is not named like a snapshot, so it is never taken for the newest one.
+    """
+    newest = newest_snapshot(spark, lake.path(names.LANDING, names.SNAPSHOTS), names.SNAPSHOTS)
+    if newest is None:
+        raise FileNotFoundError(f"no snapshot in {lake.path(names.LANDING, names.SNAPSHOTS)}")
+    ads = read_entry(spark, newest, names.SNAPSHOT_ENVELOPE).select(F.inline("ads"))
+    if ads.isEmpty():
+        raise ValueError(f"no ads in {newest}")
+    period = history.last_days(spark, today, days)
+    shares = history.cumulative_share(history.spend_per_day(period, spend))
+    past = history.backcast_snapshots(history.with_start_date(ads), shares)
+    folder = dated_folder(names.LANDING, names.SNAPSHOTS, today)
+    path = f"{lake.root}/{folder}/backcast_{today:%Y%m%d}"
+    write_envelopes(backcast_envelopes(past), path)
+    return path
+
+
 def landing_to_bronze(
     spark: SparkSession, lake: Lake, max_files_per_trigger: int | None = None
 ) -> dict[str, StreamingQuery]:

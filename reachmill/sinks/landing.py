@@ -10,38 +10,49 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reachmill.functions.dates import utc_date, utc_iso
+
 
 def sales_envelopes(events: DataFrame, fields: list[str], batch_time: Column) -> DataFrame:
     """Each event's fields as an envelope stamped with the batch's date and time."""
     return events.select(
-        F.date_format(batch_time, "yyyy-MM-dd").alias("batch_date"),
-        _iso(batch_time).alias("batch_timestamp"),
+        utc_date(batch_time).alias("batch_date"),
+        utc_iso(batch_time).alias("batch_timestamp"),
         F.lit(1).cast("bigint").alias("total_events"),
         F.array(F.struct(*fields)).alias("events"),
     )
 
 
-def snapshot_envelopes(ads: DataFrame, day: str = "fecha") -> DataFrame:
-    """Each back-cast ad as an envelope of its day, marked as synthetic."""
-    fields = [c for c in ads.columns if c != day]
+def snapshot_envelopes(ads: DataFrame, stamp: list[str]) -> DataFrame:
+    """Each ad as an envelope.
+
+    `stamp` names the columns that belong to the envelope, such as extraction_date;
+    all others are fields of the ad.
+    """
+    fields = [c for c in ads.columns if c not in stamp]
     return ads.select(
-        F.date_format(day, "yyyy-MM-dd").alias("extraction_date"),
-        midnight_utc(F.col(day)).alias("extraction_timestamp"),
+        *stamp,
         F.lit(1).cast("bigint").alias("total_ads"),
-        F.lit(True).alias("is_synthetic"),
         F.array(F.struct(*fields)).alias("ads"),
     )
 
 
-def midnight_utc(day: Column) -> Column:
-    """Start of the day as ISO text with offset."""
-    return F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T00:00:00+00:00"))
+def backcast_envelopes(ads: DataFrame) -> DataFrame:
+    """Back-cast ads (with their day in fecha) as envelopes marked as synthetic."""
+    midnight = F.concat(F.date_format("fecha", "yyyy-MM-dd"), F.lit("T00:00:00+00:00"))
+    stamped = ads.withColumns(
+        {
+            "extraction_date": F.date_format("fecha", "yyyy-MM-dd"),
+            "extraction_timestamp": midnight,
+            "is_synthetic": F.lit(True),
+        }
+    ).drop("fecha")
+    return snapshot_envelopes(
+        stamped, ["extraction_date", "extraction_timestamp", "is_synthetic"]
+    )
 
 
 def write_envelopes(envelopes: DataFrame, folder: str) -> None:
     """Write to a folder, replacing what an earlier attempt may have left there."""
     envelopes.write.mode("overwrite").json(folder)
 
-
-def _iso(moment: Column) -> Column:
-    return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")

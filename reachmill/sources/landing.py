@@ -68,10 +68,11 @@ def parse_envelopes(texts: DataFrame, schema: str) -> DataFrame:
     return texts.select("file_path", parsed.alias("parsed")).select("file_path", "parsed.*")
 
 
-def newest_document(spark: SparkSession, folder: str) -> str | None:
-    """Path of the landing file that comes last in name order, None if there is none.
+def newest_snapshot(spark: SparkSession, folder: str, dataset: str) -> str | None:
+    """Path of the dataset's landing entry that comes last in name order, None if none.
 
-    Only the file listing is read. One path comes back to the driver.
+    An entry is a document or a folder of part files, named after the dataset. Only
+    the file listing is read, and one path comes back to the driver.
     """
     listing = (
         spark.read.format("binaryFile")
@@ -79,4 +80,15 @@ def newest_document(spark: SparkSession, folder: str) -> str | None:
         .option("pathGlobFilter", "*.json")
         .load(folder)
     )
-    return listing.agg(F.max("path")).first()[0]
+    entry = F.regexp_replace("path", r"/part-[^/]*$", "")
+    named = listing.select(entry.alias("entry")).where(
+        F.col("entry").rlike(f"/{dataset}_[^/]*$")
+    )
+    return named.agg(F.max("entry")).first()[0]
+
+
+def read_entry(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The envelopes of one landing entry."""
+    document = path.endswith(".json")
+    names = "*.json" if document else "part-*.json*"
+    return _envelopes(spark.read, path, names, schema, whole_file=document)

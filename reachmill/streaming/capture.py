@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reachmill.contracts import LANDING, SALE_EVENT, SALE_FIELDS, SALES, SALES_ENVELOPE
-from reachmill.functions.dates import dated_folder
+from reachmill.functions.dates import dated_folder, utc_date
 from reachmill.sinks.landing import sales_envelopes, write_envelopes
 
 TRIGGER = "1 minute"  # fixed value: how often a batch is landed
@@ -49,10 +50,10 @@ def batch_writer(lake: str, dataset: str = SALES) -> Callable[[DataFrame, int],
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        first = batch.select(F.to_date("batch_time").alias("day")).head()
+        first = batch.select(utc_date(F.col("batch_time")).alias("day")).head()
         if first is None:
             return
-        day = dated_folder(LANDING, dataset, first["day"])
+        day = dated_folder(LANDING, dataset, date.fromisoformat(first["day"]))
         batch.persist()
         try:
             events = batch.where(is_readable())

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from reachmill import contracts as names
 from reachmill.plans import bronze, silver
-from reachmill.sources.landing import newest_document, parse_envelopes, read_envelopes
+from reachmill.sources.landing import newest_snapshot, parse_envelopes, read_envelopes
 
 AGES = [{"age_range": "18-24", "female": 3, "male": None, "unknown": 9}]
 
@@ -81,12 +81,18 @@ def test_landing_reader_takes_documents_and_lines(spark, rows, tmp_path):
     assert "not json" in broken[0]["_corrupt_record"]
 
 
-def test_newest_document_is_last_in_name_order(spark, tmp_path):
+def test_newest_snapshot_is_last_in_name_order(spark, tmp_path):
+    def newest():
+        return newest_snapshot(spark, str(tmp_path), "meta_ads")
+
+    (tmp_path / "other.json").write_text("{}")
+    assert newest() is None
     for name in ("meta_ads_20260701_1.json", "meta_ads_backfill_20260630.json"):
         (tmp_path / name).write_text("{}")
-    assert newest_document(spark, str(tmp_path)).endswith("meta_ads_backfill_20260630.json")
-    (tmp_path / "empty").mkdir()
-    assert newest_document(spark, str(tmp_path / "empty")) is None
+    assert newest().endswith("/meta_ads_backfill_20260630.json")
+    (tmp_path / "meta_ads_z").mkdir()
+    (tmp_path / "meta_ads_z" / "part-1.json").write_text("{}")
+    assert newest().endswith("/meta_ads_z")
 
 
 def test_daily_sales_sums_duplicates_and_drops_undated(spark, rows):

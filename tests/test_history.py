@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from reachmill.contracts import AD, ADS_PAGE, KEYS, SNAPSHOT_ENVELOPE, SQL_PRODUCTS
 from reachmill.operators import extraction, history, quality, upsert
 from reachmill.plans import bronze, silver
-from reachmill.sinks.landing import snapshot_envelopes, write_envelopes
+from reachmill.sinks.landing import backcast_envelopes, write_envelopes
 from reachmill.sources.files import read_ads_pages, read_catalogue
 from reachmill.sources.landing import read_envelopes
 
@@ -78,7 +78,7 @@ def test_backcast_feeds_bronze(spark, rows, tmp_path):
         history.spend_per_day(days, spend_frame(spark, ("a", 4, "1.00"), ("a", 5, "1.00")))
     )
     ads = history.with_start_date(ad_frame(spark, ("x", 8, "2026-07-01", 4, 2)))
-    envelopes = snapshot_envelopes(history.backcast_snapshots(ads, shares))
+    envelopes = backcast_envelopes(history.backcast_snapshots(ads, shares))
     write_envelopes(envelopes, str(tmp_path / "meta_ads" / "backcast"))
     raw = spark.read.json(str(tmp_path / "meta_ads" / "backcast"))
     assert rows(raw, "extraction_timestamp", "is_synthetic", "total_ads") == [

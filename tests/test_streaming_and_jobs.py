@@ -1,5 +1,5 @@
 import json
-from datetime import date
+from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 
 import pytest
@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 from reachmill import contracts as names
 from reachmill.plans import bronze
-from reachmill.plans.jobs import Lake, bronze_to_silver, landing_to_bronze, silver_to_gold
+from reachmill.plans.jobs import (
+    Lake,
+    backcast_to_landing,
+    bronze_to_silver,
+    landing_to_bronze,
+    silver_to_gold,
+    snapshot_to_landing,
+)
 from reachmill.runtime import SETTINGS, scratch_folder, tune
 from reachmill.sinks.tables import append_absent, write_gold, write_silver
 from reachmill.sources import kafka, relational
@@ -142,6 +149,23 @@ def test_batch_that_runs_again_replaces_its_files(spark, tmp_path, rows):
     ]
 
 
+def test_batch_date_is_utc_in_any_session(spark, tmp_path, rows):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        stamp = F.lit("2026-07-01T02:00:00Z").cast("timestamp")
+        texts = spark.createDataFrame([(json.dumps(event("a")),)], "value string").select(
+            F.col("value").cast("binary"), stamp.alias("timestamp")
+        )
+        batch = capture.parse_messages(texts).withColumn("batch_time", stamp)
+        capture.batch_writer(str(tmp_path))(batch, 0)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    landed = spark.read.json(str(tmp_path / "landing/ventas/2026/07/01/*"))
+    assert rows(landed, "batch_date", "batch_timestamp") == [
+        ("2026-07-01", "2026-07-01T02:00:00.000000+00:00")
+    ]
+
+
 # ---- sources --------------------------------------------------------------
 def test_kafka_options():
     options = kafka.kafka_options("secret", "ns.example", "sales", max_offsets_per_trigger=10)
@@ -285,3 +309,27 @@ def test_landing_to_gold(spark, tmp_path, rows, relational_tables):
     # a rerun over the same files and tables changes nothing
     bronze_to_silver(spark, lake, *relational_tables)
     assert silver_to_gold(spark, lake, schema="campaigns")["gold_ad_daily_metrics"] == 3
+
+
+def test_pages_to_landing_to_backcast(spark, tmp_path, rows, relational_tables):
+    lake, pages = Lake(str(tmp_path / "lake")), tmp_path / "pages"
+    with pytest.raises(FileNotFoundError):
+        (tmp_path / "lake/landing/meta_ads").mkdir(parents=True)
+        backcast_to_landing(spark, lake, relational_tables[0], D2, days=2)
+    put(pages, "1.json", {"data": [ad("a1", 8, 4)], "paging": {"cursors": {"after": "x"}}})
+    put(pages, "2.json", {"data": [ad("a2", 6, 1, "2026-07-02T10:00:00Z")], "paging": {}})
+    moment = datetime(2026, 7, 2, 1, 30, tzinfo=timezone(timedelta(hours=2)))
+    landed = snapshot_to_landing(spark, lake, str(pages), moment)
+    assert landed.endswith("/landing/meta_ads/2026/07/01/meta_ads_20260701_233000")
+
+    for _ in range(2):  # the back-cast is not taken for a snapshot, so a rerun repeats it
+        path = backcast_to_landing(spark, lake, relational_tables[0], D2, days=2)
+    assert path.endswith("/landing/meta_ads/2026/07/02/backcast_20260702")
+
+    (tmp_path / "lake/landing/ventas").mkdir()
+    landing_to_bronze(spark, lake)
+    table = spark.read.parquet(lake.path("bronze", "meta_ads"))
+    # one real snapshot, and 5.00 of 11.50 spent by the first day of the period
+    assert rows(table, "fecha", "ad_id", "eu_total_reach") == [
+        (D1, "a1", 12), (D1, "a1", 5), (D1, "a2", 7), (D2, "a1", 12), (D2, "a2", 7)
+    ]
