@@ -413,3 +413,39 @@ from (select * from fx_sales
 group by 1, 2
 """
 )
+
+ORACLES["fn_lenient_dates"] = """
+select event_id,
+       case when event_id % 6 in (0, 1) then day end as as_date,
+       case when event_id % 6 = 0 then epoch_us(cast(cast(ts as date) as timestamp))
+            when event_id % 6 = 1 then epoch_us(date_trunc('second', ts)) - 7200000000
+            end as as_micros,
+       case when event_id % 6 in (0, 1, 2) then day end as published,
+       case when event_id % 6 <> 4 then day end as in_path
+from (select *, cast(cast(ts as date) as varchar) as day from events) e
+"""
+
+ORACLES["t_quarantine_stream"] = """
+select '{broken ' || cast(event_id as varchar) as text from events where event_type = 'signup'
+"""
+
+ORACLES["t_silver_days"] = sql(
+    """
+select cast(fecha as varchar) as fecha, product_id, product_name,
+       ventas_unidades + case when fecha between date '2024-01-11' and date '2024-01-12'
+                         then 1000 else 0 end as ventas_unidades,
+       cast(ventas_importe as double) as ventas_importe,
+       cast(year(fecha) as integer) as anio, cast(month(fecha) as integer) as mes,
+       cast(day(fecha) as integer) as dia
+from s_sales where fecha between date '2024-01-08' and date '2024-01-14'
+""",
+    SILVER,
+)
+
+ORACLES["t_append_absent"] = sql(
+    """
+select ad_id, case when cast(ad_id as bigint) % 2 = 0 then '' else 'late ' end || product_id
+       as product_id
+from fx_mapping
+"""
+)

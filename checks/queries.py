@@ -7,6 +7,7 @@ engines print them alike.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,14 @@ from pyspark.sql import types as T
 
 from checks.views import Views
 from reachmill import contracts as names
-from reachmill.functions.dates import dated_path, with_date_parts
+from reachmill.functions.dates import (
+    date_in_path,
+    dated_path,
+    lenient_date,
+    lenient_timestamp,
+    publication_date,
+    with_date_parts,
+)
 from reachmill.functions.ratios import exact_cent_ratio, safe_ratio
 from reachmill.functions.response import daily_sales as expected_sales
 from reachmill.functions.response import hourly_sales
@@ -22,10 +30,11 @@ from reachmill.operators import extraction, history, quality, timeline, upsert
 from reachmill.plans import bronze, gold, silver
 from reachmill.runtime import scratch_folder, tune
 from reachmill.sinks.landing import backcast_envelopes, write_envelopes
-from reachmill.sinks.tables import write_gold
+from reachmill.sinks.tables import append_absent, write_gold, write_silver
+from reachmill.sources.files import read_stored
 from reachmill.sources.landing import parse_envelopes
 from reachmill.streaming.capture import parse_messages, start_capture
-from reachmill.streaming.ingest import ingest
+from reachmill.streaming.ingest import ingest, quarantine
 
 EVENTS_PER_ENVELOPE = 50
 ADS_PER_PAGE = 100  # fixed value: page size of the ads API
@@ -251,6 +260,32 @@ def fn_saturation_response(v: Views) -> DataFrame:
     )
 
 
+@query
+def fn_lenient_dates(v: Views) -> DataFrame:
+    """Event times written in six ways, some of them unreadable, and read back."""
+    day = F.date_format("ts", "yyyy-MM-dd")
+    clock = F.date_format("ts", "HH:mm:ss")
+    kind = F.col("event_id") % 6
+    text = (
+        F.when(kind == 0, day)
+        .when(kind == 1, F.concat(day, F.lit("T"), clock, F.lit("+02:00")))
+        .when(kind == 2, F.date_format("ts", "yyyyMMdd"))
+        .when(kind == 3, F.lit("soon"))
+        .when(kind == 4, F.lit(""))
+    )
+    name = F.when(kind == 5, F.lit("a.json")).otherwise(F.concat(clock, F.lit(".json")))
+    path = F.when(kind == 4, F.lit("landing/a.json")).otherwise(
+        dated_path(names.LANDING, names.SALES, F.col("fecha"), name)
+    )
+    return v.events.select(
+        "event_id",
+        lenient_date(text).alias("as_date"),
+        F.unix_micros(lenient_timestamp(text)).alias("as_micros"),
+        publication_date(text).alias("published"),
+        date_in_path(path).alias("in_path"),
+    )
+
+
 # ---- history ------------------------------------------------------------
 def _period(v: Views) -> DataFrame:
     """All days of the events, plus five on either side that have no spend."""
@@ -465,3 +500,44 @@ def t_capture_stream(v: Views) -> DataFrame:
             F.round(F.sum(F.col("total_amount").cast("decimal(18,2)")), 2).alias("amount"),
         )
     )
+
+
+@query
+def t_quarantine_stream(v: Views) -> DataFrame:
+    """Landing lines of which some are junk: what the quarantine stream sets aside."""
+    lake = scratch_folder(v.spark, "lake")
+    junk = v.events.where("event_type = 'signup'").select(
+        F.concat(F.lit("{broken "), F.col("event_id")).alias("value")
+    )
+    lines = sales_texts(v).select("value").unionByName(junk)
+    lines.write.text(f"{lake}/{names.LANDING}/{names.SALES}/all")
+    quarantine(v.spark, lake, names.SALES, names.SALES_ENVELOPE, "events")
+    aside = v.spark.read.parquet(f"{lake}/quarantine/{names.SALES}_files")
+    return aside.select(F.col("_corrupt_record").alias("text"))
+
+
+@query
+def t_silver_days(v: Views) -> DataFrame:
+    """Silver sales stored whole, two days of them replaced, a week of them read back."""
+    folder = scratch_folder(v.spark, names.SILVER_SALES)
+    sales = silver_sales_daily(v)
+    write_silver(sales, folder)
+    again = sales.where("fecha between date '2024-01-11' and date '2024-01-12'")
+    write_silver(
+        again.withColumn("ventas_unidades", F.col("ventas_unidades") + 1000),
+        folder,
+        only_days_present=True,
+    )
+    return read_stored(v.spark, folder, start=date(2024, 1, 8), end=date(2024, 1, 14))
+
+
+@query
+def t_append_absent(v: Views) -> DataFrame:
+    """The mapping table, stored for one half of the ads, completed from all of them twice."""
+    folder = scratch_folder(v.spark, names.SQL_MAPPING)
+    keys = names.KEYS[names.SQL_MAPPING]
+    v.mapping.where("cast(ad_id as bigint) % 2 = 0").write.parquet(folder)
+    late = v.mapping.withColumn("product_id", F.concat(F.lit("late "), "product_id"))
+    for _ in range(2):
+        append_absent(v.spark.read.parquet(folder), late, keys, folder, ["product_id"])
+    return v.spark.read.parquet(folder)

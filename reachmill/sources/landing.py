@@ -44,7 +44,7 @@ def stream_envelopes(
 
 def _both_layouts(reader, folder: str, dataset: str, schema: str) -> DataFrame:
     documents = _envelopes(reader(), folder, f"{dataset}_*.json", schema, whole_file=True)
-    lines = _envelopes(reader(), folder, "part-*.json*", schema, whole_file=False)
+    lines = _envelopes(reader(), folder, "part-*", schema, whole_file=False)
     return documents.unionByName(lines)
 
 
@@ -90,5 +90,5 @@ def newest_snapshot(spark: SparkSession, folder: str, dataset: str) -> str | Non
 def read_entry(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The envelopes of one landing entry."""
     document = path.endswith(".json")
-    names = "*.json" if document else "part-*.json*"
+    names = "*.json" if document else "part-*"
     return _envelopes(spark.read, path, names, schema, whole_file=document)
