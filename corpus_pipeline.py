@@ -1 +1,91 @@
-STAGES = []
+"""A corpus made ready for training: five stages, each reading what the one before has
+written. All but the last return the columns of documents."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from reachmill.llm import lines, mixing, neardup, pieces, quality
+from reachmill.llm.scratch import Scratch
+from reachmill.llm.shipping import ship
+
+
+def _numbered(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """docs with a number for every row, written so that it stays the same."""
+    return scratch.keep(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and whose host passes as a whole."""
+    ship(spark)
+    judged = quality.with_measures(docs).withColumn("base_failed", quality.base_failed())
+    counted = Scratch(spark, "quality").keep(judged.select("source", "base_failed"), "judged")
+    verdicts = quality.host_verdicts(counted, "source")
+    kept = quality.with_host_verdict(judged.where(~F.col("base_failed")), verdicts, "source")
+    return kept.where(~F.col("host_rejected")).select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that are copies of an earlier one go; documents of which no word is left go too."""
+    ship(spark)
+    scratch = Scratch(spark, "lines")
+    classes = lines.classes(docs, scratch)
+    dropped = scratch.keep(classes.where(~F.col("kept")).select("doc_id", "line_no"), "dropped")
+    left = lines.without(docs, dropped)
+    return left.where(mixing.n_words(F.col("text")) > 0).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies: the one with the smallest id."""
+    ship(spark)
+    scratch = Scratch(spark, "near")
+    rows = _numbered(docs, scratch)
+    kept = neardup.classes(rows, scratch).where("kept").select("id").distinct()
+    # of rows that share an id and a class the first one stays; rows without id all stay
+    first = rows.groupBy("doc_id").agg(F.min("_row").alias("_row")).join(kept, F.col("doc_id") == F.col("id")).select("_row")
+    stay = first.union(rows.where(F.col("doc_id").isNull()).select("_row"))
+    return rows.join(stay, "_row", "left_semi").select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sources at their target weights: documents not drawn go, others come as often as drawn."""
+    ship(spark)
+    scratch = Scratch(spark, "mix")
+    rows = _numbered(docs, scratch)
+    sized = scratch.keep(rows.select("_row", "doc_id", "source", mixing.n_words(F.col("text")).alias("size")), "sized")
+    drawn, _, _ = mixing.taken(sized, F.array("source"), F.col("size"))
+    times = scratch.keep(drawn.where("mix_times > 0").select("_row", "mix_times"), "drawn")
+    repeated = rows.join(times, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("mix_times"))))
+    return repeated.select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as piece ids, and whether they decode to its text."""
+    ship(spark)
+    model = pieces.model_bytes()
+    cut = docs.withColumn("piece_ids", pieces.encode(F.col("text"), F.col("doc_id"), model))
+    back = pieces.decode(F.col("piece_ids"), model)
+    return cut.withColumn("n_pieces", F.size("piece_ids")).withColumn("lossless", back.eqNullSafe(F.col("text"))).drop("text")
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("MinHash near-dedup", near_dedup),
+    ("mixing sources to target weights", mix),
+    ("SentencePiece encoding and decoding", encode),
+]
+
+#: Edit distance joins, MinHash and merge-dropout are beyond SQL: the stages are tested
+#: against brute force instead.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents, each written before the next one reads it."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    scratch = Scratch(spark, "pipeline")
+    for n, (_, stage) in enumerate(STAGES):
+        docs = scratch.keep(stage(spark, docs, sf_dir), f"stage-{n}")
+    return docs

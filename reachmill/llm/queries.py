@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from reachmill.llm import chat, classifier, exact, extraction, mixing, pieces, quality, warc
+from reachmill.llm import chat, classifier, exact, extraction, lines, mixing, neardup, pieces, quality, warc
 from reachmill.llm.scratch import Scratch
 from reachmill.llm.shipping import ship
 
@@ -27,6 +27,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", *quality.RULES, "base_failed", kept.alias("kept"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.classes(_table(spark, sf_dir, "documents"), Scratch(spark, "op2"))
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
@@ -77,6 +81,10 @@ def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(_table(spark, sf_dir, "documents"), Scratch(spark, "op9")).withColumnRenamed("id", "doc_id")
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = "</s>[INST] ok [/INST]"
@@ -105,15 +113,18 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules,
+        op2_line_dedup,
         op3_quality_classifier,
         op4_mixing,
         op5_warc,
         op6_sentencepiece,
         op7_exact_dedup,
         op8_main_text,
+        op9_near_duplicates,
         op10_chat_format,
     )
 }
+QUERIES["pipeline"] = corpus_pipeline.run
 
 WORDS = r"""regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"""
 
