@@ -52,27 +52,23 @@ def _features(block: Block, buckets: int) -> Iterator[tuple[np.ndarray, np.ndarr
             yield (block.hashes(at, at + n, seed=n) % np.uint64(buckets)).astype(np.int64), owner[at]
 
 
-def _counts(texts: list[str | None], buckets: int) -> Iterator[tuple[list[int], list[int]]]:
-    """Each text's buckets and how many features fell into them."""
+def _counts(texts: list[str | None], buckets: int) -> Iterator[bytes]:
+    """Each text's buckets and how many features fell into them, as 32-bit numbers: all the
+    buckets, then all the counts. Bytes stay small on the driver, where lists would not."""
     for _, block in blocks(texts, _BLOCK):
         found = list(_features(block, buckets))
-        if not found:
-            yield from (([], []) for _ in range(block.n))
-            continue
-        joint = np.concatenate([text * buckets + bucket for bucket, text in found])
+        joint = np.concatenate([text * buckets + bucket for bucket, text in found]) if found else np.zeros(0, np.int64)
         keys, counts = np.unique(joint, return_counts=True)
         cuts = np.searchsorted(keys, np.arange(block.n + 1) * buckets)
         for i in range(block.n):
             part = slice(cuts[i], cuts[i + 1])
-            yield (keys[part] - i * buckets).tolist(), counts[part].tolist()
+            yield np.concatenate([keys[part] - i * buckets, counts[part]]).astype("<u4").tobytes()
 
 
 def hashed_counts(text: Column, buckets: int) -> Column:
-    @F.arrow_udf("struct<bucket:array<int>,n:array<int>>")
+    @F.arrow_udf("binary")
     def count(texts: pa.Array) -> pa.Array:
-        pairs = list(_counts(texts.to_pylist(), buckets))
-        kind = pa.list_(pa.int32())
-        return pa.StructArray.from_arrays([pa.array([p[0] for p in pairs], kind), pa.array([p[1] for p in pairs], kind)], names=["bucket", "n"])
+        return pa.array(_counts(texts.to_pylist(), buckets), pa.binary())
 
     return count(text)
 
@@ -88,9 +84,9 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(logit, -60, 60)))
 
 
-def train(rows: list[tuple[list[int], list[int], int]], buckets: int, width: int = 8, epochs: int = 12, rate: float = 2.0, seed: int = 1) -> Model:
-    """Fit vectors and softmax weights to (buckets, counts, label) rows."""
-    labels = np.array([r[2] for r in rows], dtype=np.int64)
+def train(rows: list[tuple[bytes, int]], buckets: int, width: int = 8, epochs: int = 12, rate: float = 2.0, seed: int = 1) -> Model:
+    """Fit vectors and softmax weights to rows of hashed counts and label."""
+    labels = np.array([r[1] for r in rows], dtype=np.int64)
     share = labels.mean() if len(labels) else 0.5
     if not 0 < share < 1:
         odds = min(max(share, 1e-3), 1 - 1e-3)
@@ -101,7 +97,10 @@ def train(rows: list[tuple[list[int], list[int], int]], buckets: int, width: int
     bias = np.zeros(2, dtype=np.float32)
     # both labels pull alike in sum, however rare one of them is
     stress = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
-    documents = [(np.array(b, dtype=np.int64), np.array(n, dtype=np.float32) / max(1, sum(n))) for b, n, _ in rows]
+    documents = []
+    for counted, _ in rows:
+        bucket, n = np.frombuffer(counted, dtype="<u4").reshape(2, -1)
+        documents.append((bucket.astype(np.int32), (n / max(1, n.sum())).astype(np.float32)))
     steps, done = epochs * len(rows), 0
     for _ in range(epochs):
         for i in random.permutation(len(rows)):
@@ -123,15 +122,15 @@ def train(rows: list[tuple[list[int], list[int], int]], buckets: int, width: int
     return Model((vectors @ (weights[:, 1] - weights[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, buckets: int = 1 << 16, max_documents: int = 6000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, buckets: int = 1 << 16, max_documents: int = 4000) -> Model:
     """Train on the labelled documents, at most max_documents of them by hash of their id.
     Only their texts are read in full; the sample has the same bound at every input size."""
     known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(key).agg(F.max(label).alias("_label"))
     chosen = known.orderBy(F.xxhash64(F.col(key)), F.col(key)).limit(max_documents)
     joined = docs.select(F.col(key), F.col(text).alias("_text")).join(F.broadcast(chosen), key)
-    rows = joined.select(F.col(key), "_label", hashed_counts(F.col("_text"), buckets).alias("_f")).select(key, "_label", "_f.bucket", "_f.n").collect()
-    rows.sort(key=lambda r: (r[key], r["_label"], len(r["bucket"])))
-    return train([(r["bucket"], r["n"], r["_label"]) for r in rows], buckets)
+    rows = joined.select(F.col(key), "_label", hashed_counts(F.col("_text"), buckets).alias("_counts")).toArrow()
+    order = sorted(zip(*(rows.column(i).to_pylist() for i in range(3)), strict=True))
+    return train([(counts, label) for _, label, counts in order], buckets)
 
 
 def score(text: Column, model: Model) -> Column:
