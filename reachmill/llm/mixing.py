@@ -162,11 +162,14 @@ def taken(
 
 def _draw(named: DataFrame, plan: DataFrame, key: str, max_repeats: int) -> DataFrame:
     """Choose documents: each pattern's rest goes to the first ones in the seeded order that
-    fit whole, and to the one further document that comes closest to what is left."""
+    fit whole, and to the one further document that comes closest to what is left.
+
+    What has one row a pattern (at most max_patterns, as counted) is broadcast, or else
+    every document of a pattern would move to one task to meet that row."""
     by_slice = Window.partitionBy("_mix_no").orderBy("_mix_slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = named.groupBy("_mix_no", "_mix_slice").agg(F.sum("mix_size").alias("_mix_sum"))
     starts = slices.withColumn("_mix_from", F.coalesce(F.sum("_mix_sum").over(by_slice), F.lit(0))).drop("_mix_sum")
-    starts = starts.join(plan, "_mix_no")
+    starts = starts.join(F.broadcast(plan), "_mix_no")
     inside = Window.partitionBy("_mix_no", "_mix_slice").orderBy("_mix_draw", "mix_size")
     placed = (
         named.join(starts, ["_mix_no", "_mix_slice"])
@@ -179,11 +182,11 @@ def _draw(named: DataFrame, plan: DataFrame, key: str, max_repeats: int) -> Data
     # what the whole documents leave open, and the document that closes it best
     reached = placed.groupBy("_mix_no").agg(F.max(F.when(fits, F.col("_mix_end"))).alias("_mix_reached"))
     gap = F.col("_mix_rest") - F.coalesce(F.col("_mix_reached"), F.lit(0))
-    candidates = placed.where(~fits).join(reached, "_mix_no").withColumn("_mix_off", F.abs(F.col("mix_size") - gap)).where((F.col("_mix_off") < gap) & (F.col("_mix_whole") < max_repeats))
+    candidates = placed.where(~fits).join(F.broadcast(reached), "_mix_no").withColumn("_mix_off", F.abs(F.col("mix_size") - gap)).where((F.col("_mix_off") < gap) & (F.col("_mix_whole") < max_repeats))
     place = F.struct("_mix_off", "_mix_draw", "_mix_slice", "_mix_rank")
     closing = candidates.groupBy("_mix_no").agg(F.min(place).alias("_mix_closing"))
     closing = closing.select("_mix_no", F.col("_mix_closing._mix_slice").alias("_mix_slice"), F.col("_mix_closing._mix_rank").alias("_mix_rank"), F.lit(True).alias("_mix_last"))
-    joined = placed.join(closing, ["_mix_no", "_mix_slice", "_mix_rank"], "left")
+    joined = placed.join(F.broadcast(closing), ["_mix_no", "_mix_slice", "_mix_rank"], "left")
     times = F.col("_mix_whole") + F.when(F.col("_mix_first") | F.col("_mix_last"), 1).otherwise(0)
     joined = joined.withColumn("mix_times", F.when(F.col("mix_size") > 0, times).otherwise(0).cast("int"))
     return joined.drop(*[c for c in joined.columns if c.startswith("_mix")])
