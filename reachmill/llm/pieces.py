@@ -34,7 +34,7 @@ from reachmill.llm.textarrays import Block, blocks, mix
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _SPACE = 0x2581
-_BLOCK = 1 << 19
+_BLOCK = 1 << 17
 _NEVER = np.int32(1 << 30)
 _U = np.uint64
 
@@ -246,18 +246,19 @@ def model_bytes(path: str = DEFAULT_MODEL) -> bytes:
         return source.read()
 
 
+def _id_lists(found: list[np.ndarray | None]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([0 if f is None else len(f) for f in found])]).astype(np.int32)
+    parts = [f for f in found if f is not None and len(f)]
+    values = np.concatenate(parts).astype(np.int32) if parts else np.zeros(0, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values), mask=pa.array([f is None for f in found], pa.bool_()))
+
+
 def encode(text: Column, key: Column, model: bytes, dropout: float = 0.1, seed: int = 0) -> Column:
     """Array of piece ids of every whole text; key names the document for the dropout."""
 
     @F.arrow_udf("array<int>")
     def run(texts: pa.Array, keys: pa.Array) -> pa.Array:
-        found = encoded(_vocabulary(model), texts.to_pylist(), [str(k) for k in keys.to_pylist()], dropout, seed)
-        lengths = np.array([0 if f is None else len(f) for f in found], dtype=np.int64)
-        offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-        parts = [f for f in found if f is not None and len(f)]
-        values = np.concatenate(parts).astype(np.int32) if parts else np.zeros(0, dtype=np.int32)
-        missing = pa.array([f is None for f in found], pa.bool_())
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values), mask=missing)
+        return _id_lists(encoded(_vocabulary(model), texts.to_pylist(), [str(k) for k in keys.to_pylist()], dropout, seed))
 
     return run(text, key)
 
@@ -273,3 +274,18 @@ def decode(ids: Column, model: bytes) -> Column:
         return pa.array([None if null[i] else decoded(vocabulary, values[offsets[i] : offsets[i + 1]]) for i in range(len(column))], pa.string())
 
     return run(ids)
+
+
+def round_trip(text: Column, key: Column, model: bytes, dropout: float = 0.1, seed: int = 0) -> Column:
+    """encode, and whether decode gives the text back, as a struct of piece_ids and lossless.
+    decode(encode(text)) next to encode(text) would encode twice, as Spark evaluates
+    nested functions anew for each use."""
+
+    @F.arrow_udf("struct<piece_ids:array<int>,lossless:boolean>")
+    def run(texts: pa.Array, keys: pa.Array) -> pa.Array:
+        vocabulary, given = _vocabulary(model), texts.to_pylist()
+        found = encoded(vocabulary, given, [str(k) for k in keys.to_pylist()], dropout, seed)
+        same = [ids is None if t is None else decoded(vocabulary, ids) == t for ids, t in zip(found, given, strict=True)]
+        return pa.StructArray.from_arrays([_id_lists(found), pa.array(same, pa.bool_())], names=["piece_ids", "lossless"])
+
+    return run(text, key)

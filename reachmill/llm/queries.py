@@ -60,9 +60,8 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.model_bytes()
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    cut = docs.withColumn("piece_ids", pieces.encode(F.col("text"), F.col("doc_id"), model))
-    back = cut.withColumn("_back", pieces.decode(F.col("piece_ids"), model))
-    return back.select("doc_id", F.size("piece_ids").alias("n_pieces"), "piece_ids", F.col("_back").eqNullSafe(F.col("text")).alias("lossless"))
+    cut = docs.select("doc_id", pieces.round_trip(F.col("text"), F.col("doc_id"), model).alias("_cut"))
+    return cut.select("doc_id", F.size("_cut.piece_ids").alias("n_pieces"), "_cut.piece_ids", "_cut.lossless")
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
