@@ -70,13 +70,16 @@ def _repeats(keys: np.ndarray, owners: np.ndarray, first: bool) -> np.ndarray:
     return order[repeated]
 
 
-@F.arrow_udf(_RESULT)
-def measures(text: pa.Array) -> pa.Array:
-    """Counts of RULES for every whole text."""
+def _measured(text: pa.Array) -> pa.Array:
     found = _measure(text.to_pylist())
     return pa.StructArray.from_arrays([pa.array(x) for x in found], names=RULES)
 
 
+#: Counts of RULES for every whole text. Called nondeterministic so that a filter on the
+#: counts is not pushed below them, which would take them twice.
+measures = F.arrow_udf(_measured, _RESULT).asNondeterministic()
+
+
 def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs and the counts of RULES."""
     measured = docs.withColumn("_measures", measures(F.col(text)))
