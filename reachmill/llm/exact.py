@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reachmill.llm.scratch import Scratch
+
 #: The letters that fold.
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -41,29 +43,28 @@ def create_index(spark: SparkSession, table: str, path: str, buckets: int) -> No
     empty.write.bucketBy(buckets, "digest").sortBy("digest").option("path", path).saveAsTable(table)
 
 
-def unseen(batch: DataFrame, index: DataFrame) -> DataFrame:
-    """One row for each digest of the batch that the index lacks: digest, keep_id, group_size.
-    Both counts are taken before the shuffle, so copies of one text do not gather."""
-    new = batch.groupBy("digest").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    return new.join(index.select("digest").hint("merge"), "digest", "left_anti")
-
-
-def append(spark: SparkSession, batch: DataFrame, table: str, path: str, buckets: int) -> None:
-    """Deduplicate the batch against the index and append what is new."""
-    new = unseen(batch, spark.table(table))
+def append(scratch: Scratch, batch: DataFrame, table: str, path: str, buckets: int) -> None:
+    """Reduce the batch to one row for each digest, take out what the index has, and append
+    the rest: digest, keep_id, group_size."""
+    groups = batch.groupBy("digest").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    # written first: the optimizer would move the anti join below the counting, and copies
+    # of one text would then all travel to one task
+    groups = scratch.keep(groups, "groups")
+    new = groups.join(scratch.spark.table(table).select("digest").hint("merge"), "digest", "left_anti")
     new.repartition(buckets, "digest").write.mode("append").bucketBy(buckets, "digest").sortBy("digest").option("path", path).saveAsTable(table)
 
 
-def verdicts(batch: DataFrame, index: DataFrame, salts: int = 64) -> DataFrame:
+def verdicts(batch: DataFrame, index: DataFrame, large: int = 1000, most_large: int = 50_000) -> DataFrame:
     """Every row of the batch with its group: id, digest, keep_id, group_size, kept.
 
-    Copies of one text may be a third of all rows, so rows do not meet by digest alone:
-    they meet by digest and salt, with a side that has one row for each pair that occurs
-    and hence at most `salts` rows for a text."""
-    salted = batch.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
-    pairs = salted.groupBy("digest", "salt").agg(F.lit(1).alias("_one")).drop("_one")
-    groups = pairs.join(index, "digest")
-    joined = salted.join(groups, ["digest", "salt"])
+    Copies of one text may be a third of all rows, so rows of large groups do not meet
+    their group in a shuffle. Of groups above the total / most_large rows there are fewer
+    than most_large, which bounds what is broadcast to a few MB at any size of the table;
+    all others are joined by sort and merge, and none of them is large."""
+    total = index.agg(F.sum("group_size").alias("rows")).first()["rows"] or 0
+    is_large = F.col("group_size") > max(large, total // most_large)
+    hot = F.broadcast(index.where(is_large))
+    joined = batch.join(hot, "digest").unionByName(batch.join(hot, "digest", "left_anti").join(index.where(~is_large), "digest"))
     kept = F.coalesce(F.col("id") == F.col("keep_id"), F.lit(False))
     return joined.select("id", "digest", "keep_id", "group_size", kept.alias("kept"))
 

@@ -69,7 +69,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = scratch.keep(exact.digests(_table(spark, sf_dir, "documents")), "digests")
     table, path, buckets = exact.index_name(scratch.path), f"{scratch.path}/index", int(spark.conf.get("spark.sql.shuffle.partitions"))
     exact.create_index(spark, table, path, buckets)
-    exact.append(spark, batch, table, path, buckets)
+    exact.append(scratch, batch, table, path, buckets)
     found = exact.verdicts(batch, spark.table(table))
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
