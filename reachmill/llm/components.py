@@ -1,9 +1,9 @@
 """Connected components of a distributed graph, and links found inside buckets.
 
 Components: in turns every node is linked to the smallest node around it, until each node
-hangs on the smallest one it can reach. A hub is one sum of minima taken before the
-shuffle and a join that adaptive execution splits; every round is written to the shared
-folder.
+hangs on the smallest one it can reach. A hub's minimum is taken before the shuffle and
+written, so the join with it is one that adaptive execution can split; every round is
+written to the shared folder.
 
 Buckets: members of a bucket may be linked; whether they are is decided by a costly test
 on their contents. A bucket is not compared all with all. First every member is tested
@@ -35,10 +35,11 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         # every larger neighbour of a node moves to the node's smallest neighbour
         both = now.union(now.select(F.col("v"), F.col("u")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = scratch.keep(least, f"{name}-{turn}-least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # a node and its smaller neighbours move to the smallest of them
-        small = large.distinct()
-        least = small.groupBy("u").agg(F.min("v").alias("m"))
+        small = scratch.keep(large.distinct(), f"{name}-{turn}-small")
+        least = scratch.keep(small.groupBy("u").agg(F.min("v").alias("m")), f"{name}-{turn}-smallest")
         joined = small.join(least, "u")
         moved = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         now = scratch.keep(moved.where("u <> v").distinct(), f"{name}-{turn}")
