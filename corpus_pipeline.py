@@ -63,10 +63,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as piece ids, and whether they decode to its text."""
     ship(spark)
-    model = pieces.model_bytes()
-    cut = docs.withColumn("_cut", pieces.round_trip(F.col("text"), F.col("doc_id"), model))
-    named = [c for c in docs.columns if c != "text"]
-    return cut.select(*named, "_cut.piece_ids", F.size("_cut.piece_ids").alias("n_pieces"), "_cut.lossless")
+    cut = pieces.encoded_documents(docs, pieces.model_bytes(), keep=[c for c in docs.columns if c != "text"])
+    return cut.withColumn("n_pieces", F.size("piece_ids"))
 
 
 STAGES = [

@@ -28,9 +28,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reachmill.llm.textarrays import Block, blocks
+from reachmill.llm.textarrays import Block, blocks, portions
 
-_BLOCK = 1 << 20
+_BLOCK = 1 << 17
 _GRAMS = (3, 5)
 
 
@@ -68,7 +68,7 @@ def _counts(texts: list[str | None], buckets: int) -> Iterator[bytes]:
 def hashed_counts(text: Column, buckets: int) -> Column:
     @F.arrow_udf("binary")
     def count(texts: pa.Array) -> pa.Array:
-        return pa.array(_counts(texts.to_pylist(), buckets), pa.binary())
+        return pa.array((c for _, some in portions(texts) for c in _counts(some, buckets)), pa.binary())
 
     return count(text)
 
@@ -140,7 +140,7 @@ def score(text: Column, model: Model) -> Column:
     @F.arrow_udf("double")
     def rate(texts: pa.Array) -> pa.Array:
         parts = []
-        for _, block in blocks(texts.to_pylist(), _BLOCK):
+        for block in (b for _, some in portions(texts) for _, b in blocks(some, _BLOCK)):
             total, count = np.zeros(block.n), np.zeros(block.n)
             for bucket, owner in _features(block, buckets):
                 total += np.bincount(owner, weights=pull[bucket], minlength=block.n)

@@ -35,14 +35,14 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         # every larger neighbour of a node moves to the node's smallest neighbour
         both = now.union(now.select(F.col("v"), F.col("u")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        least = scratch.keep(least, f"{name}-{turn}-least")
+        least = scratch.keep(least, f"{name}-{turn}-least", 2 * state[0])
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # a node and its smaller neighbours move to the smallest of them
-        small = scratch.keep(large.distinct(), f"{name}-{turn}-small")
-        least = scratch.keep(small.groupBy("u").agg(F.min("v").alias("m")), f"{name}-{turn}-smallest")
+        small = scratch.keep(large.distinct(), f"{name}-{turn}-small", state[0])
+        least = scratch.keep(small.groupBy("u").agg(F.min("v").alias("m")), f"{name}-{turn}-smallest", state[0])
         joined = small.join(least, "u")
         moved = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-        now = scratch.keep(moved.where("u <> v").distinct(), f"{name}-{turn}")
+        now = scratch.keep(moved.where("u <> v").distinct(), f"{name}-{turn}", 2 * state[0])
         after = print_of(now)
         if after == state:
             break
@@ -81,10 +81,12 @@ def linked_components(
     buckets = drawn.groupBy("bucket").agg(F.min("draw").alias("least"), F.max("draw").alias("most")).where("least <> most")
     inside = members.join(buckets, "bucket").select("bucket", "id", F.col("least").bitwiseXOR(order).alias("pivot"))
     inside = scratch.keep(inside.distinct(), "inside")
-    contents = scratch.keep(contents_of(inside.select("id").distinct()), "contents")
+    # written first: a join with what has just been counted could not be split at a hot id
+    ids = scratch.keep(inside.select("id").distinct(), "ids")
+    contents = scratch.keep(contents_of(ids), "contents")
     pairs = inside.where("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
     links = scratch.keep(linked(pairs, contents), "links-pivot")
-    first = scratch.keep(components(links, scratch, "first"), "first")
+    first = components(links, scratch, "first")
 
     # buckets in which components still meet; two members need no further look
     large = inside.join(first, "id", "left").select("bucket", "id", "pivot", F.coalesce("component", "id").alias("component"))

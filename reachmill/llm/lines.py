@@ -37,7 +37,7 @@ from reachmill.llm.neardup import _forest
 from reachmill.llm.scratch import Scratch
 from reachmill.llm.textarrays import blocks, mix
 
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 _U = np.uint64
 
 
@@ -236,8 +236,10 @@ def classes(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str =
     members = entries(lines, max_edits).repartition("bucket")
 
     def contents_of(ids: DataFrame) -> DataFrame:
-        wanted = lines.select(F.col("line_id").alias("id"), "line").join(ids, "id", "left_semi")
-        return wanted.dropDuplicates(["id"])
+        # by sort and merge at every size, as ids grow with the input; written before copies
+        # go, since the join alone can be split where a line is very common
+        wanted = lines.select(F.col("line_id").alias("id"), "line").join(ids.hint("merge"), "id", "left_semi")
+        return scratch.keep(wanted, "wanted").dropDuplicates(["id"])
 
     linked = linked_components(members, contents_of, _linked(max_edits), _linked_inside(max_edits), scratch)
 

@@ -30,13 +30,19 @@ from pyspark.sql import functions as F
 
 from reachmill.llm.components import linked_components
 from reachmill.llm.scratch import Scratch
-from reachmill.llm.textarrays import Block, blocks, distinct, mix, shingles
+from reachmill.llm.textarrays import Block, blocks, distinct, mix, portions, shingles
 
 _BLOCK = 1 << 18
 _D = 1 << 20
 _U = np.uint64
 
 
+def _blocks(column: pa.Array, limit: int) -> Iterator[tuple[int, Block]]:
+    for begin, texts in portions(column):
+        for first, block in blocks(texts, limit, lower=True):
+            yield begin + first, block
+
+
 def _sets(block: Block, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash and text number of every text's distinct runs of n words, sorted."""
     starts, ends, text = block.words()
@@ -92,8 +98,8 @@ def prints(docs: DataFrame, key: str, text: str, n: int = 3, bands: int = 20, ro
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = mix(np.arange(1, bands * rows + 1, dtype=_U)) | _U(1)
         for batch in batches:
-            ids, texts, done = batch.column(0), batch.column(1).to_pylist(), 0
-            for _, block in blocks(texts, _BLOCK, lower=True):
+            ids = batch.column(0)
+            for done, block in _blocks(batch.column(1), _BLOCK):
                 sets, owner = _sets(block, n)
                 count = block.per_text(owner)
                 has, found = signatures(sets, owner, block.n, bands * rows, seed)
@@ -109,7 +115,6 @@ def prints(docs: DataFrame, key: str, text: str, n: int = 3, bands: int = 20, ro
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1)))
                 yield pa.RecordBatch.from_arrays([ids.slice(done, block.n), pa.array(count), *names, lists], names=["id", "n_shingles", "set_a", "set_b", "bands"])
-                done += block.n
 
     return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(run, schema)
 
@@ -119,13 +124,12 @@ def _contents(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts, done = batch.column(0), batch.column(1).to_pylist(), 0
-            for _, block in blocks(texts, 1 << 20, lower=True):
+            ids = batch.column(0)
+            for done, block in _blocks(batch.column(1), _BLOCK):
                 sets, owner = _sets(block, n)
                 offsets = np.searchsorted(owner, np.arange(block.n + 1)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(sets.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([ids.slice(done, block.n), lists], names=["id", "members"])
-                done += block.n
 
     return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(run, "id bigint, members array<bigint>")
 
@@ -198,7 +202,8 @@ def classes(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str =
     members = groups.select(F.explode("bands").alias("bucket"), F.col("rep").alias("id"))
 
     def contents_of(ids: DataFrame) -> DataFrame:
-        wanted = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(ids, "id", "left_semi")
+        # by sort and merge at every size: what is broadcast must not grow with the input
+        wanted = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(ids.hint("merge"), "id", "left_semi")
         return _contents(wanted, "id", "text", n)
 
     linked = linked_components(members, contents_of, _linked(percent), _linked_inside(percent), scratch)

@@ -22,15 +22,17 @@ repeated rows are cut alike; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from reachmill.llm.textarrays import Block, blocks, mix
+from reachmill.llm.textarrays import Block, blocks, mix, portions
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _SPACE = 0x2581
@@ -258,7 +260,10 @@ def encode(text: Column, key: Column, model: bytes, dropout: float = 0.1, seed:
 
     @F.arrow_udf("array<int>")
     def run(texts: pa.Array, keys: pa.Array) -> pa.Array:
-        return _id_lists(encoded(_vocabulary(model), texts.to_pylist(), [str(k) for k in keys.to_pylist()], dropout, seed))
+        names, found = [str(k) for k in keys.to_pylist()], []
+        for begin, some in portions(texts):
+            found += encoded(_vocabulary(model), some, names[begin : begin + len(some)], dropout, seed)
+        return _id_lists(found)
 
     return run(text, key)
 
@@ -276,16 +281,22 @@ def decode(ids: Column, model: bytes) -> Column:
     return run(ids)
 
 
-def round_trip(text: Column, key: Column, model: bytes, dropout: float = 0.1, seed: int = 0) -> Column:
-    """encode, and whether decode gives the text back, as a struct of piece_ids and lossless.
-    decode(encode(text)) next to encode(text) would encode twice, as Spark evaluates
-    nested functions anew for each use."""
+def encoded_documents(docs: DataFrame, model: bytes, keep: list[str], text: str = "text", key: str = "doc_id", dropout: float = 0.1, seed: int = 0) -> DataFrame:
+    """The columns keep of docs, piece_ids, and lossless: whether decoding gives the text back.
+    Both come from one pass in small batches; decode(encode(text)) next to encode(text)
+    would encode twice, as Spark evaluates nested functions anew for each use."""
+    fields = [T.StructField("piece_ids", T.ArrayType(T.IntegerType())), T.StructField("lossless", T.BooleanType())]
+    keep = [c for c in keep if c not in ("piece_ids", "lossless")]
+    rows = docs.select(F.col(text), F.col(key), *[F.col(c) for c in keep])
+    schema = T.StructType([*(docs.schema[c] for c in keep), *fields])
 
-    @F.arrow_udf("struct<piece_ids:array<int>,lossless:boolean>")
-    def run(texts: pa.Array, keys: pa.Array) -> pa.Array:
-        vocabulary, given = _vocabulary(model), texts.to_pylist()
-        found = encoded(vocabulary, given, [str(k) for k in keys.to_pylist()], dropout, seed)
-        same = [ids is None if t is None else decoded(vocabulary, ids) == t for ids, t in zip(found, given, strict=True)]
-        return pa.StructArray.from_arrays([_id_lists(found), pa.array(same, pa.bool_())], names=["piece_ids", "lossless"])
-
-    return run(text, key)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = _vocabulary(model)
+        for batch in batches:
+            for begin, given in portions(batch.column(0)):
+                part = batch.slice(begin, len(given))
+                found = encoded(vocabulary, given, [str(k) for k in part.column(1).to_pylist()], dropout, seed)
+                same = [ids is None if t is None else decoded(vocabulary, ids) == t for ids, t in zip(found, given, strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns[2:], _id_lists(found), pa.array(same, pa.bool_())], names=schema.names)
+
+    return rows.mapInArrow(run, schema)

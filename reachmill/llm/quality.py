@@ -21,19 +21,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reachmill.llm.textarrays import blocks, shingles
+from reachmill.llm.textarrays import blocks, portions, shingles
 
 RULES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 _RESULT = T.StructType([T.StructField(name, T.LongType()) for name in RULES])
-_BLOCK = 1 << 20
+_BLOCK = 1 << 17
 _SYMBOLS = np.zeros(128, dtype=bool)
 _SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 _WINDOW = 8
 
 
-def _measure(texts: list[str | None]) -> list[np.ndarray]:
+def _measure(column: pa.Array) -> list[np.ndarray]:
     parts = []
-    for _, block in blocks(texts, _BLOCK):
+    for block in (b for _, texts in portions(column) for _, b in blocks(texts, _BLOCK)):
         starts, ends, text = block.words()
         n_words = block.per_text(text)
         word_chars = block.per_text(text, ends - starts)
@@ -71,7 +71,7 @@ def _repeats(keys: np.ndarray, owners: np.ndarray, first: bool) -> np.ndarray:
 
 
 def _measured(text: pa.Array) -> pa.Array:
-    found = _measure(text.to_pylist())
+    found = _measure(text)
     return pa.StructArray.from_arrays([pa.array(x) for x in found], names=RULES)
 
 

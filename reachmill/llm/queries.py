@@ -59,9 +59,8 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.model_bytes()
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    cut = docs.select("doc_id", pieces.round_trip(F.col("text"), F.col("doc_id"), model).alias("_cut"))
-    return cut.select("doc_id", F.size("_cut.piece_ids").alias("n_pieces"), "_cut.piece_ids", "_cut.lossless")
+    cut = pieces.encoded_documents(_table(spark, sf_dir, "documents"), model, keep=["doc_id"])
+    return cut.select("doc_id", F.size("piece_ids").alias("n_pieces"), "piece_ids", "lossless")
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

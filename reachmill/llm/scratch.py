@@ -28,8 +28,12 @@ class Scratch:
         self.spark = spark
         self.path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
 
-    def keep(self, frame: DataFrame, name: str) -> DataFrame:
-        """Write the table and read it back: cuts the lineage and survives lost executors."""
+    def keep(self, frame: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+        """Write the table and read it back: cuts the lineage and survives lost executors.
+        Where the number of rows is known, a file holds about half a million of them, so
+        that a small table is not written as one file for each of many tasks."""
         target = f"{self.path}/{name}"
+        if rows is not None:
+            frame = frame.coalesce(1 + rows // 500_000)
         frame.write.mode("overwrite").parquet(target)
         return self.spark.read.schema(frame.schema).parquet(target)

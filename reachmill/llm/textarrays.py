@@ -122,6 +122,13 @@ def blocks(texts: list[str | None], limit: int, lower: bool = False) -> Iterator
         yield begin, Block([t or "" for t in texts[begin:]], lower)
 
 
+def portions(column, rows: int = 256) -> Iterator[tuple[int, list]]:
+    """An Arrow column as short lists of Python values, each with the number of its first row:
+    a batch of thousands of texts never stands in memory twice."""
+    for begin in range(0, len(column), rows):
+        yield begin, column.slice(begin, rows).to_pylist()
+
+
 def shingles(word_hashes: np.ndarray, owners: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash and text number of every run of n words of one text, in order."""
     if len(word_hashes) < n:
