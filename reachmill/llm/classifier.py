@@ -88,7 +88,7 @@ def train(rows: list[tuple[bytes, int]], buckets: int, width: int = 8, epochs: i
     """Fit vectors and softmax weights to rows of hashed counts and label."""
     labels = np.array([r[1] for r in rows], dtype=np.int64)
     share = labels.mean() if len(labels) else 0.5
-    if not 0 < share < 1:
+    if not len(labels) or not 0 < share < 1:
         odds = min(max(share, 1e-3), 1 - 1e-3)
         return Model(np.zeros(buckets, dtype=np.float32), float(np.log(odds / (1 - odds))))
     random = np.random.default_rng(seed)
