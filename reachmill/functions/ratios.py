@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def money_sum(amount: str) -> Column:
-    """Sum of an amount column, rounded to cents."""
-    return F.round(F.sum(amount), 2)
+def money_sum(rows: DataFrame, amount: str) -> Column:
+    """Sum of an amount column of rows, rounded to cents, of the column's kind.
+
+    Binary fractions are added up as decimals: a sum of doubles depends on the order
+    of its parts, and with it on how the rows are dealt to tasks.
+    """
+    if rows.schema[amount].dataType.typeName() not in ("double", "float"):
+        return F.round(F.sum(amount), 2)
+    return F.round(F.sum(F.col(amount).cast("decimal(38,6)")), 2).cast("double")
 
 
 def safe_ratio(numerator: Column, denominator: Column, scale: int = 2) -> Column:
@@ -26,11 +32,11 @@ def exact_cent_ratio(numerator: Column, denominator: Column) -> Column:
     """
     num, den = _cents(numerator), _cents(denominator)
     magnitude = F.call_function(
-        "div", F.abs(num) * F.lit(200).cast("bigint") + den, den * F.lit(2).cast("bigint")
+        "div", F.abs(num) * F.lit(200).cast("decimal(3,0)") + den, den * F.lit(2).cast("decimal(1,0)")
     )
     ratio = F.signum(num.cast("double")) * magnitude.cast("double") / F.lit(100.0)
     return F.when(den > 0, ratio).otherwise(F.lit(0.0))
 
 
 def _cents(amount: Column) -> Column:
-    return F.round(amount * 100, 0).cast("bigint")
+    return F.round(amount * 100, 0).cast("decimal(30,0)")

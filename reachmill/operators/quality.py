@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,11 +37,18 @@ def event_violations(
     Rules: every required field is present, quantity and channel are among the
     allowed ones, the total is unit price times quantity rounded to cents.
     """
+    required = list(required)
     expected = F.round(F.col("unit_price") * F.col("quantity"), 2)
     rules = {f"missing {name}": F.col(name).isNull() for name in required}
-    rules["quantity"] = ~F.col("quantity").isin(*quantities)
-    rules["channel"] = ~F.col("channel").isin(*channels)
-    rules["total_amount"] = F.col("total_amount") != expected
+    checks = {
+        "quantity": (F.col("quantity").isin(*quantities), ["quantity"]),
+        "channel": (F.col("channel").isin(*channels), ["channel"]),
+        "total_amount": (F.col("total_amount") == expected, ["total_amount", "unit_price", "quantity"]),
+    }
+    for name, (holds, fields) in checks.items():
+        # what nulls leave undecided breaks the rule, unless the null is reported as missing
+        missing = [F.col(f).isNull() for f in fields if f in required]
+        rules[name] = ~F.coalesce(holds, reduce(or_, missing, F.lit(False)))
     broken = F.array_compact(F.array(*(_name_if(bad, name) for name, bad in rules.items())))
     return events.select("event_id", F.explode(broken).alias("rule"))
 

@@ -7,7 +7,7 @@ spend (fecha, ad_id, product_id, product_name, daily_spend).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reachmill.functions.ratios import money_sum
@@ -23,6 +23,19 @@ def observed_days(snapshots: DataFrame) -> DataFrame:
     return days.agg(F.array_sort(F.collect_list("fecha")).alias("days"))
 
 
+def calendar(snapshots: DataFrame) -> DataFrame:
+    """One row, one struct: the observed days, the first of them, and for every calendar day
+    from it on the number of days observed so far.
+
+    With it a day's place among the observed days is one look-up, however long the history.
+    The arrays have one entry per calendar day: ten years are some 30 kB.
+    """
+    gap = lambda day, i: F.coalesce(F.datediff(F.get("days", i + 1), day), F.lit(1))
+    upto = F.flatten(F.transform("days", lambda day, i: F.array_repeat(i + 1, gap(day, i))))
+    first = F.get("days", F.lit(0)).alias("first")
+    return observed_days(snapshots).select(F.struct("days", first, upto.alias("upto")).alias("calendar"))
+
+
 def ad_starts(snapshots: DataFrame) -> DataFrame:
     return snapshots.groupBy("ad_id").agg(
         F.min("ad_delivery_start_time").alias("fecha_inicio_anuncio")
@@ -52,12 +65,25 @@ def active_grid(snapshots: DataFrame, spend: DataFrame) -> DataFrame:
     return (
         ad_starts(snapshots)
         .join(ad_product(spend), "ad_id", "left")
-        .withColumn("fecha", F.explode(observed_days(snapshots).scalar()))
-        .where(F.col("fecha") >= F.col("fecha_inicio_anuncio"))
+        .withColumn("fecha", F.explode(_from_start(calendar(snapshots).scalar())))
         .select("fecha", "ad_id", "product_id", "product_name", "fecha_inicio_anuncio")
     )
 
 
+def _days_before(known: Column, day: Column) -> Column:
+    """Number of observed days before a day."""
+    upto = F.get(known["upto"], F.datediff(day, known["first"]) - 1)
+    return F.when(day <= known["first"], 0).otherwise(F.coalesce(upto, F.size(known["days"])))
+
+
+def _from_start(known: Column) -> Column:
+    """The observed days from an ad's start on; none without a start."""
+    start = F.col("fecha_inicio_anuncio")
+    seen = _days_before(known, start)
+    rest = F.slice(known["days"], seen + 1, F.greatest(F.size(known["days"]) - seen, F.lit(0)))
+    return F.when(start.isNotNull(), rest)
+
+
 def reach_deltas(snapshots: DataFrame) -> DataFrame:
     """Reach each snapshot added to the ad's previous one.
 
@@ -76,7 +102,7 @@ def reach_deltas(snapshots: DataFrame) -> DataFrame:
 
 def spend_by_ad_day(spend: DataFrame) -> DataFrame:
     return spend.groupBy("fecha", "ad_id").agg(
-        money_sum("daily_spend").alias("gasto")
+        money_sum(spend, "daily_spend").alias("gasto")
     )
 
 
@@ -92,8 +118,8 @@ def ad_days(snapshots: DataFrame, spend: DataFrame) -> DataFrame:
     tables are reduced map-side before they are shuffled, and the grid itself comes
     into being after the last shuffle.
     """
-    days = observed_days(snapshots)
-    facts = _facts(snapshots, spend, days)
+    known = calendar(snapshots).scalar()
+    facts = _facts(snapshots, spend, known)
 
     by_day = Window.partitionBy("ad_id").orderBy("fecha")
     whole = by_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -112,8 +138,8 @@ def ad_days(snapshots: DataFrame, spend: DataFrame) -> DataFrame:
     # The ad's first row also stands for the days between its start and that row; an
     # undated snapshot sorts first, has no position, and stands for nothing else.
     # The list of days stays a single value: it is never copied into the rows.
-    all_days, start = days.scalar(), F.col("fecha_inicio_anuncio")
-    start_pos = F.array_position(F.sort_array(F.array_append(all_days, start)), start)
+    all_days, start = known["days"], F.col("fecha_inicio_anuncio")
+    start_pos = _days_before(known, start) + 1
     first_pos = F.when(F.col("is_first"), F.least("pos", start_pos.cast("int"))).otherwise(
         F.col("pos")
     )
@@ -142,7 +168,7 @@ def ad_days(snapshots: DataFrame, spend: DataFrame) -> DataFrame:
     )
 
 
-def _facts(snapshots: DataFrame, spend: DataFrame, days: DataFrame) -> DataFrame:
+def _facts(snapshots: DataFrame, spend: DataFrame, known: Column) -> DataFrame:
     """One row per ad and day that has a snapshot or, on an observed day, spend.
 
     `pos` is the day's position among the observed days.
@@ -164,16 +190,17 @@ def _facts(snapshots: DataFrame, spend: DataFrame, days: DataFrame) -> DataFrame
         "daily_spend",
         F.lit(False).alias("is_snapshot"),
     )
+    place = F.get(known["upto"], F.datediff("fecha", known["first"]))
     return (
         from_snapshots.unionByName(from_spend)
         .groupBy("ad_id", "fecha")
         .agg(
             F.min("start").alias("start"),
             F.sum("reach").alias("alcance_acumulado"),
-            money_sum("daily_spend").alias("gasto"),
+            money_sum(spend, "daily_spend").alias("gasto"),
             F.max("is_snapshot").alias("is_snapshot"),
         )
-        .withColumn("pos", F.array_position(days.scalar(), F.col("fecha")).cast("int"))
+        .withColumn("pos", F.when(F.get(known["days"], place - 1) == F.col("fecha"), place))
         .where("is_snapshot or pos > 0")
     )
 

@@ -11,15 +11,14 @@ def absent_rows(
 ) -> DataFrame:
     """Incoming rows to insert: key not in target, first row per key in `order_by` order.
 
-    Key columns are expected to be non-null. Repeated keys are reduced before the
-    shuffle, so a key delivered very often costs no more than any other, and the
-    anti join reuses the partitioning of that reduction.
+    Key columns are expected to be non-null. Known keys are taken out first, so that
+    only absent rows are sorted, and adaptive execution can split a key delivered very
+    often in that join.
     """
+    absent = incoming.join(target.select(*keys), keys, "left_anti")
     row = F.struct(*(F.col(c) for c in incoming.columns))
     first = F.min_by(row, F.struct(*order_by)).alias("row")
-    candidates = incoming.groupBy(*keys).agg(first)
-    new = candidates.join(target.select(*keys), keys, "left_anti")
-    return new.select("row.*")
+    return absent.groupBy(*keys).agg(first).select("row.*")
 
 
 def upserted(

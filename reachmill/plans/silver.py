@@ -15,7 +15,7 @@ def daily_sales(sale_events: DataFrame) -> DataFrame:
         .groupBy("fecha", "product_id", "product_name")
         .agg(
             F.sum("quantity").alias("ventas_unidades"),
-            money_sum("total_amount").alias("ventas_importe"),
+            money_sum(sale_events, "total_amount").alias("ventas_importe"),
         )
     )
 

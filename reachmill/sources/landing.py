@@ -2,13 +2,12 @@
 
 Two file layouts live side by side in a landing folder:
 
-* documents: one indented JSON object per file, named after the dataset
-  (ventas_*.json, meta_ads_*.json). A document is one record, hence one task
-  however large it is.
+* documents: one indented JSON object (or array of objects) per file, whatever its
+  name, compressed or not. A document is one task's work however large it is.
 * lines: one compact envelope per line in part files, which is how this package
   writes. These files are splittable.
 
-Readers add `file_path` and, for files that are not valid JSON, `_corrupt_record`.
+Every file below the folder is one or the other, but for hidden ones. Readers add `file_path` and, for files that are not valid JSON, `_corrupt_record`.
 """
 
 from __future__ import annotations
@@ -18,10 +17,14 @@ from pyspark.sql import functions as F
 
 CORRUPT = "_corrupt_record"
 
+LINES = "part-*"
+# all other names: those that part from LINES at some character or end before it does
+DOCUMENTS = "{[!p]*,p[!a]*,pa[!r]*,par[!t]*,part[!-]*,p,pa,par,part}"
+
 
 def read_envelopes(spark: SparkSession, folder: str, dataset: str, schema: str) -> DataFrame:
     """All envelopes below the folder, at any depth."""
-    return _both_layouts(lambda: spark.read, folder, dataset, schema)
+    return _both_layouts(lambda: spark.read, folder, schema)
 
 
 def stream_envelopes(
@@ -30,21 +33,27 @@ def stream_envelopes(
     dataset: str,
     schema: str,
     max_files_per_trigger: int | None = None,
+    max_file_age: str = "3650d",
 ) -> DataFrame:
-    """The envelopes of files not seen before, as a stream."""
+    """The envelopes of files not seen before, as a stream.
+
+    Files older than max_file_age, counted back from the newest, are passed over, and
+    the stream forgets which of them it has read; Spark's own default of a week would
+    lose restored and late files.
+    """
 
     def reader():
-        stream = spark.readStream
+        stream = spark.readStream.option("maxFileAge", max_file_age)
         if max_files_per_trigger:
             stream = stream.option("maxFilesPerTrigger", max_files_per_trigger)
         return stream
 
-    return _both_layouts(reader, folder, dataset, schema)
+    return _both_layouts(reader, folder, schema)
 
 
-def _both_layouts(reader, folder: str, dataset: str, schema: str) -> DataFrame:
-    documents = _envelopes(reader(), folder, f"{dataset}_*.json", schema, whole_file=True)
-    lines = _envelopes(reader(), folder, "part-*", schema, whole_file=False)
+def _both_layouts(reader, folder: str, schema: str) -> DataFrame:
+    documents = _envelopes(reader(), folder, DOCUMENTS, schema, whole_file=True)
+    lines = _envelopes(reader(), folder, LINES, schema, whole_file=False)
     return documents.unionByName(lines)
 
 
@@ -90,5 +99,5 @@ def newest_snapshot(spark: SparkSession, folder: str, dataset: str) -> str | Non
 def read_entry(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The envelopes of one landing entry."""
     document = path.endswith(".json")
-    names = "*.json" if document else "part-*"
+    names = "*.json" if document else LINES
     return _envelopes(spark.read, path, names, schema, whole_file=document)

@@ -21,7 +21,7 @@ def ordered(data):
     return sorted(data, key=lambda r: tuple((v is not None, str(v)) for v in r))
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
 def test_query_matches_sql(spark, database, name):
     df = driver.queries()[name](spark, driver.SMOKE_DATA)
     relation = database.sql(driver.oracle_sql()[name])
