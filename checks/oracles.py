@@ -161,6 +161,8 @@ select cast(fecha as varchar) as fecha, product_id, product_name, ventas_unidade
     SILVER,
 )
 
+ORACLES["silver_sales_daily_from_bronze"] = ORACLES["silver_sales_daily"]
+
 ORACLES["silver_ad_spend"] = sql(
     """
 select cast(fecha as varchar) as fecha, ad_id, product_id, product_name,

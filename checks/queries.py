@@ -165,6 +165,12 @@ def silver_sales_daily(v: Views) -> DataFrame:
     return silver.daily_sales(v.sale_events)
 
 
+@query
+def silver_sales_daily_from_bronze(v: Views) -> DataFrame:
+    """The same from bronze, whose amounts are binary fractions."""
+    return silver.daily_sales(bronze_sales(v))
+
+
 @query
 def silver_ad_spend(v: Views) -> DataFrame:
     return silver.ad_spend(v.spend, v.mapping, v.products)
@@ -208,12 +214,12 @@ def gold_demographic_reach(v: Views) -> DataFrame:
 
 @query
 def gold_ad_daily_metrics(v: Views) -> DataFrame:
-    return gold.ad_daily_metrics(*_silver(v), ratio=exact_cent_ratio)
+    return gold.ad_daily_metrics(*_silver(v))
 
 
 @query
 def gold_ad_total_metrics(v: Views) -> DataFrame:
-    return gold.ad_total_metrics(gold_ad_daily_metrics(v), ratio=exact_cent_ratio)
+    return gold.ad_total_metrics(gold_ad_daily_metrics(v))
 
 
 @query
@@ -221,13 +227,13 @@ def gold_ad_total_from_stored(v: Views) -> DataFrame:
     """The totals as the job takes them: from the daily table after it was written."""
     folder = scratch_folder(v.spark, names.GOLD_AD_DAILY)
     write_gold(gold_ad_daily_metrics(v), folder)
-    return gold.ad_total_metrics(v.spark.read.parquet(folder), ratio=exact_cent_ratio)
+    return gold.ad_total_metrics(v.spark.read.parquet(folder))
 
 
 @query
 def gold_saturation_curve(v: Views) -> DataFrame:
     sales, spend, _ = _silver(v)
-    return gold.saturation_curve(sales, spend, ratio=exact_cent_ratio)
+    return gold.saturation_curve(sales, spend)
 
 
 # ---- functions ----------------------------------------------------------

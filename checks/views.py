@@ -67,7 +67,7 @@ class Views:
         purchases = self.events.where("event_type = 'purchase'").withColumn(
             "p_partkey", F.col("user_id") % PRODUCTS
         )
-        return purchases.join(F.broadcast(parts), "p_partkey").select(
+        return purchases.join(parts, "p_partkey").select(
             "fecha",
             F.col("event_id").cast("string").alias("event_id"),
             "ts",
@@ -103,7 +103,7 @@ class Views:
                     "ad_delivery_start_time": F.min("fecha").over(ad),
                 }
             )
-            .join(F.broadcast(nation), on_nation)
+            .join(nation, on_nation)
             .select(
                 "fecha",
                 F.col("user_id").cast("string").alias("ad_id"),

@@ -53,6 +53,17 @@ def backcast_envelopes(ads: DataFrame) -> DataFrame:
 
 
 def write_envelopes(envelopes: DataFrame, folder: str) -> None:
-    """Write to a folder, replacing what an earlier attempt may have left there."""
-    envelopes.write.mode("overwrite").json(folder)
+    """Land a batch in its folder, once: a folder that was written whole stays as it is.
+
+    Rewriting it would give its files new names, and readers that go by name would
+    count the batch twice. What a failed attempt has left there is replaced.
+    """
+    if not _landed(envelopes, folder):
+        envelopes.write.mode("overwrite").json(folder)
+
+
+def _landed(envelopes: DataFrame, folder: str) -> bool:
+    context = envelopes.sparkSession.sparkContext
+    mark = context._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return mark.getFileSystem(context._jsc.hadoopConfiguration()).exists(mark)
 

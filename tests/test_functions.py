@@ -135,3 +135,18 @@ def test_partition_predicate_prunes_folders(spark, tmp_path):
         file.write_bytes(b"not parquet")
     again = spark.read.schema(df.schema).parquet(str(tmp_path / "t"))
     assert again.where(dates.between_days(date(2026, 6, 1), date(2026, 6, 30))).count() == 1
+
+
+def test_money_sums_do_not_depend_on_the_layout(spark):
+    amounts = spark.range(200_000).selectExpr("id % 3 as k", "1e9 + id * 0.01 as amount")
+    sums = []
+    for parts in (1, 7, 64):
+        dealt = amounts.repartition(parts)
+        sums.append(sorted(map(tuple, dealt.groupBy("k").agg(ratios.money_sum(dealt, "amount").alias("s")).collect())))
+    assert sums[0] == sums[1] == sums[2]
+    assert amounts.agg(ratios.money_sum(amounts, "amount").alias("s")).schema["s"].dataType.typeName() == "double"
+
+
+def test_cent_ratio_of_very_large_amounts(spark):
+    frame = spark.range(1).selectExpr("4e17D as n", "2e17D as d")
+    assert frame.select(ratios.exact_cent_ratio(F.col("n"), F.col("d"))).first()[0] == 2.0

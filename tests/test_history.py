@@ -190,6 +190,13 @@ def test_event_rules(spark, rows):
     ]
 
 
+def test_event_rules_left_open_by_nulls_are_broken(spark, rows):
+    schema = "event_id string, quantity bigint, unit_price double, total_amount double, channel string"
+    events = spark.createDataFrame([("bare", None, 1.0, None, None), ("ok", 1, 1.0, 1.0, "ecommerce")], schema)
+    got = quality.event_violations(events, ["event_id"], [1, 2, 3], ["ecommerce"])
+    assert rows(got) == [("bare", "channel"), ("bare", "quantity"), ("bare", "total_amount")]
+
+
 def test_envelope_counts(spark, rows):
     data = [("a", 2, [("x",), ("y",)]), ("b", 3, [("x",)]), ("c", None, [("x",)]), ("d", 1, None)]
     df = spark.createDataFrame(

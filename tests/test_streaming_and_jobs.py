@@ -1,4 +1,6 @@
+import gzip
 import json
+import os
 from datetime import date, datetime, timedelta, timezone
 from decimal import Decimal
 
@@ -16,6 +18,7 @@ from reachmill.plans.jobs import (
     snapshot_to_landing,
 )
 from reachmill.runtime import SETTINGS, scratch_folder, tune
+from reachmill.sinks.landing import write_envelopes
 from reachmill.sinks.tables import append_absent, write_gold, write_silver
 from reachmill.sources import kafka, relational
 from reachmill.streaming import capture
@@ -44,6 +47,36 @@ def ad(i, female, male, start="2026-07-01"):
 
 
 # ---- landing to bronze ----------------------------------------------------
+def test_every_file_lands_whatever_its_name_or_age(spark, tmp_path):
+    folder = tmp_path / "landing" / "ventas" / "2026" / "07" / "01"
+    body = lambda i: {"batch_date": "2026-07-01", "events": [event(i)]}
+    run = lambda: ingest(spark, str(tmp_path), "ventas", names.SALES_ENVELOPE, bronze.sale_events)
+    put(folder, "ventas_1.json", body("a"))
+    put(folder, "sales_2.json", body("b"))
+    put(folder, "p.json", body("c"))
+    put(folder, "particulars", body("d"))
+    with gzip.open(folder / "ventas_5.json.gz", "wt") as packed:
+        packed.write(json.dumps(body("e"), indent=2))
+    put(folder / "batch", "part-0.json", json.dumps(body("f")))
+    run()
+    put(folder, "restored.json", body("g"))
+    long_ago = datetime(2025, 1, 1, tzinfo=timezone.utc).timestamp()
+    os.utime(folder / "restored.json", (long_ago, long_ago))
+    run()
+    stored = spark.read.parquet(str(tmp_path / "bronze" / "ventas"))
+    assert sorted(r["event_id"] for r in stored.collect()) == list("abcdefg")
+
+
+def test_a_batch_landed_again_is_ingested_once(spark, tmp_path):
+    envelope = {"batch_date": "2026-07-01", "batch_timestamp": "t", "total_events": 1, "events": [event("a")]}
+    batch = spark.read.schema(names.SALES_ENVELOPE).json(spark.sparkContext.parallelize([json.dumps(envelope)]))
+    folder = str(tmp_path / "landing" / "ventas" / "2026" / "07" / "01" / "batch-0")
+    for _ in range(2):
+        write_envelopes(batch, folder)
+        ingest(spark, str(tmp_path), "ventas", names.SALES_ENVELOPE, bronze.sale_events)
+    assert spark.read.parquet(str(tmp_path / "bronze" / "ventas")).count() == 1
+
+
 def test_ingest_is_incremental(spark, tmp_path, rows):
     lake, landing = str(tmp_path), tmp_path / "landing" / "ventas"
     put(landing / "2026/07/01", "ventas_1.json",
