@@ -37,7 +37,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies: the one with the smallest id."""
+    """One document of each class of near copies (runs of five words, 0.8 or more alike): the
+    one with the smallest id."""
     ship(spark)
     scratch = Scratch(spark, "near")
     rows = _numbered(docs, scratch)

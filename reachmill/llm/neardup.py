@@ -8,8 +8,8 @@ a link is confirmed on the full sets: |A and B| / |A or B| >= threshold. Compone
 links are found by components.linked_components, which compares members with pivots first
 and never emits the pairs of a group. Documents with equal sets are one candidate.
 
-With 20 bands of 6 rows a pair at 0.85 shares no bucket with a chance of 8 in 100,000, a
-pair at 0.9 with one of 3 in 10 million.
+With 25 bands of 5 rows a pair at 0.8 shares no bucket with a chance of 5 in 100,000; with
+20 bands of 6 rows a pair at 0.85 does so with one of 8 in 100,000.
 
 Sets are compared by 64-bit hashes of their members. Defined cases: texts with fewer than
 n words have one run, the whole sequence; null texts and texts without words have none and
@@ -91,7 +91,7 @@ def signatures(sets: np.ndarray, owner: np.ndarray, n_texts: int, k: int, seed:
     return has, found
 
 
-def prints(docs: DataFrame, key: str, text: str, n: int = 3, bands: int = 20, rows: int = 6, seed: int = 11) -> DataFrame:
+def prints(docs: DataFrame, key: str, text: str, n: int, bands: int, rows: int, seed: int = 11) -> DataFrame:
     """id, n_shingles, two hashes that name the set, and the bands' bucket keys."""
     schema = "id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>"
 
@@ -192,7 +192,7 @@ def _forest(ids: np.ndarray, component: np.ndarray, left: np.ndarray, right: np.
     return pa.table({"a": pa.array([k[0] for k in kept], pa.int64()), "b": pa.array([k[1] for k in kept], pa.int64())})
 
 
-def classes(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", n: int = 3, percent: int = 85, bands: int = 20, rows: int = 6) -> DataFrame:
+def classes(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80, bands: int = 25, rows: int = 5) -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept."""
     printed = scratch.keep(prints(docs, key, text, n, bands, rows), "prints")
     named = printed.where(F.col("n_shingles") > 0).where(F.col("id").isNotNull())

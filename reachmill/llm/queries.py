@@ -80,7 +80,7 @@ def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.classes(_table(spark, sf_dir, "documents"), Scratch(spark, "op9")).withColumnRenamed("id", "doc_id")
+    return neardup.classes(_table(spark, sf_dir, "documents"), Scratch(spark, "op9"), n=3, percent=85, bands=20, rows=6).withColumnRenamed("id", "doc_id")
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

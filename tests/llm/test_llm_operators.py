@@ -126,7 +126,7 @@ def test_line_classes_are_those_of_brute_force(spark, docs, none):
 
 
 def test_near_duplicate_classes_are_those_of_brute_force(spark, docs, none):
-    found = {(r["id"], r["n_shingles"], r["component_id"], r["kept"]) for r in neardup.classes(docs, Scratch(spark, "t-near")).collect()}
+    found = {(r["id"], r["n_shingles"], r["component_id"], r["kept"]) for r in neardup.classes(docs, Scratch(spark, "t-near"), n=3, percent=85, bands=20, rows=6).collect()}
     rows = sorted({(r["doc_id"], r["text"]) for r in docs.collect() if r["doc_id"] is not None}, key=lambda r: r[0])
     sets = []
     for _, text in rows:
