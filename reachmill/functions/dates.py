@@ -71,11 +71,21 @@ def between_days(start: date | None, end: date | None, day: str = "fecha") -> Co
     """
     year, month, dom = (F.col(c) for c in DATE_PARTS)
     stored = year * 10000 + month * 100 + dom
+    condition = in_days(start, end, day)
+    if start is not None:
+        condition = condition & (stored >= _yyyymmdd(start))
+    if end is not None:
+        condition = condition & (stored <= _yyyymmdd(end))
+    return condition
+
+
+def in_days(start: date | None, end: date | None, day: str = "fecha") -> Column:
+    """Inclusive range on a date column; an open end is None."""
     condition = F.lit(True)
     if start is not None:
-        condition = condition & (F.col(day) >= F.lit(start)) & (stored >= _yyyymmdd(start))
+        condition = condition & (F.col(day) >= F.lit(start))
     if end is not None:
-        condition = condition & (F.col(day) <= F.lit(end)) & (stored <= _yyyymmdd(end))
+        condition = condition & (F.col(day) <= F.lit(end))
     return condition
 
 

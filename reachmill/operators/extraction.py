@@ -27,6 +27,12 @@ def assemble_pages(pages: DataFrame, extracted_at: datetime | Column) -> DataFra
     )
 
 
+def raw_ads(pages: DataFrame, extracted_at: datetime | Column) -> DataFrame:
+    """The same for ads as received: column `ad` is the text of one, with all its fields."""
+    ads = assemble_pages(pages.select(F.transform("data", lambda ad: F.struct(ad.alias("ad"))).alias("data")), extracted_at)
+    return ads.select("extraction_date", "extraction_timestamp", "total_ads", "ad")
+
+
 def latest_snapshot(envelopes: DataFrame) -> DataFrame:
     """The ads of the envelopes whose file_path is last in text order.
 

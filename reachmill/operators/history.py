@@ -30,7 +30,8 @@ def days_between(first_and_last: DataFrame) -> DataFrame:
 
 def spend_per_day(days: DataFrame, spend: DataFrame) -> DataFrame:
     """Total spend of every day of the period, 0 on days without any."""
-    totals = spend.groupBy(F.col("date").alias("fecha")).agg(
+    first, last = (days.agg(bound("fecha")).scalar() for bound in (F.min, F.max))
+    totals = spend.where(F.col("date").between(first, last)).groupBy(F.col("date").alias("fecha")).agg(
         F.sum("daily_spend").alias("total")
     )
     return days.join(totals, "fecha", "left").select(

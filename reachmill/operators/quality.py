@@ -61,5 +61,14 @@ def miscounted_envelopes(envelopes: DataFrame, declared: str, body: str) -> Data
     )
 
 
+def miscounted_snapshots(
+    envelopes: DataFrame, key: str = "extraction_timestamp", declared: str = "total_ads", body: str = "ads"
+) -> DataFrame:
+    """Snapshots whose declared number of ads is not that of all their envelopes together."""
+    length = F.coalesce(F.array_size(body), F.lit(0)).cast("bigint")
+    found = envelopes.groupBy(key).agg(F.max(declared).alias(declared), F.sum(length).alias("actual"))
+    return found.where(~F.col(declared).eqNullSafe(F.col("actual")))
+
+
 def _name_if(condition: Column, name: str) -> Column:
     return F.when(condition, F.lit(name))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reachmill.functions.dates import date_in_path, lenient_date, lenient_timestamp
@@ -40,10 +40,18 @@ def sale_events(envelopes: DataFrame) -> DataFrame:
     return events.withColumn("timestamp", lenient_timestamp(F.col("timestamp")))
 
 
+def readable() -> Column:
+    """Whether an envelope was read in full; only then do its rows belong in bronze."""
+    return F.col("_corrupt_record").isNull()
+
+
 def unreadable(envelopes: DataFrame, body: str) -> DataFrame:
-    """Envelopes that are not fully valid JSON for their schema, or have no body.
+    """Envelopes that do not fit their schema in full, or have no body.
 
     Expects the columns file_path and _corrupt_record that the landing readers add.
+    Of an envelope without a body the text is what was read of it.
     """
-    broken = F.col("_corrupt_record").isNotNull() | F.col(body).isNull()
-    return envelopes.where(broken).select("file_path", "_corrupt_record")
+    without_body = F.col(body).isNull()
+    read = F.to_json(F.struct(*(c for c in envelopes.columns if c not in ("file_path", "_corrupt_record"))))
+    text = F.coalesce("_corrupt_record", read).alias("_corrupt_record")
+    return envelopes.where(~readable() | without_body).select("file_path", text)

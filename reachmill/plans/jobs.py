@@ -11,14 +11,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reachmill import contracts as names
-from reachmill.functions.dates import dated_folder
+from reachmill.functions.dates import dated_folder, in_days
 from reachmill.operators import extraction, history
+from reachmill.operators.timeline import ad_product, around
 from reachmill.plans import bronze, gold, silver
-from reachmill.sinks.landing import backcast_envelopes, snapshot_envelopes, write_envelopes
+from reachmill.sinks.landing import (
+    backcast_envelopes,
+    raw_snapshot_lines,
+    write_envelopes,
+    write_lines,
+)
 from reachmill.sinks.tables import write_gold, write_silver
-from reachmill.sources.files import read_ads_pages, read_stored
-from reachmill.sources.landing import newest_snapshot, read_entry
-from reachmill.streaming.ingest import ingest
+from reachmill.sources.files import read_raw_pages, read_stored
+from reachmill.sources.landing import CORRUPT, newest_snapshot, read_entry
+from reachmill.streaming.ingest import FILES_PER_BATCH, ingest, quarantine
 
 
 @dataclass(frozen=True)
@@ -31,20 +37,36 @@ class Lake:
     def path(self, layer: str, dataset: str) -> str:
         return f"{self.root}/{layer}/{dataset}"
 
-    def read(self, spark: SparkSession, layer: str, dataset: str) -> DataFrame:
-        return read_stored(spark, self.path(layer, dataset), self.table_format)
+    def read(
+        self,
+        spark: SparkSession,
+        layer: str,
+        dataset: str,
+        start: date | None = None,
+        end: date | None = None,
+    ) -> DataFrame:
+        return read_stored(spark, self.path(layer, dataset), self.table_format, start, end)
 
 
 def snapshot_to_landing(
     spark: SparkSession, lake: Lake, pages_folder: str, extracted_at: datetime
 ) -> str:
-    """Land the dumped pages of one ads API extraction as a snapshot; returns its path."""
+    """Land the dumped pages of one ads API extraction as a snapshot; returns its path.
+
+    Ads are landed as received, with fields this package does not know. A page that is
+    cut off ends the job before anything is landed: a snapshot without its ads would
+    pass for one on which they did not grow.
+    """
     moment = extracted_at.astimezone(timezone.utc)
     folder = dated_folder(names.LANDING, names.SNAPSHOTS, moment.date())
     path = f"{lake.root}/{folder}/{names.SNAPSHOTS}_{moment:%Y%m%d_%H%M%S}"
-    ads = extraction.assemble_pages(read_ads_pages(spark, pages_folder), moment)
-    stamp = ["extraction_date", "extraction_timestamp"]
-    write_envelopes(snapshot_envelopes(ads.drop("total_ads"), stamp), path)
+    pages = read_raw_pages(spark, pages_folder)
+    torn = pages.where(F.col(CORRUPT).isNotNull()).agg(
+        F.count(F.lit(1)).alias("pages"), F.min("file_path").alias("first")
+    ).first()
+    if torn["pages"]:
+        raise ValueError(f"{torn['pages']} unreadable pages, the first of them {torn['first']}")
+    write_lines(raw_snapshot_lines(extraction.raw_ads(pages, moment)), path)
     return path
 
 
@@ -75,20 +97,26 @@ def backcast_to_landing(
 
 
 def landing_to_bronze(
-    spark: SparkSession, lake: Lake, max_files_per_trigger: int | None = None
+    spark: SparkSession, lake: Lake, max_files_per_trigger: int | None = FILES_PER_BATCH
 ) -> dict[str, StreamingQuery]:
-    """Ingest new landing files of both datasets, one after the other."""
-    datasets: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
-        names.SNAPSHOTS: (names.SNAPSHOT_ENVELOPE, bronze.ad_snapshots),
-        names.SALES: (names.SALES_ENVELOPE, bronze.sale_events),
+    """Ingest new landing files of both datasets, one after the other.
+
+    Every record ends up in bronze or, with its text, under `quarantine`.
+    """
+    datasets: dict[str, tuple[str, str, Callable[[DataFrame], DataFrame]]] = {
+        names.SNAPSHOTS: (names.SNAPSHOT_ENVELOPE, "ads", bronze.ad_snapshots),
+        names.SALES: (names.SALES_ENVELOPE, "events", bronze.sale_events),
     }
-    return {
-        dataset: ingest(
+    ingested = {}
+    for dataset, (schema, body, flatten) in datasets.items():
+        ingested[dataset] = ingest(
             spark, lake.root, dataset, schema, flatten, lake.table_format,
             max_files_per_trigger,
         )
-        for dataset, (schema, flatten) in datasets.items()
-    }
+        quarantine(
+            spark, lake.root, dataset, schema, body, lake.table_format, max_files_per_trigger
+        )
+    return ingested
 
 
 def bronze_to_silver(
@@ -97,10 +125,21 @@ def bronze_to_silver(
     spend: DataFrame,
     mapping: DataFrame,
     products: DataFrame,
+    start: date | None = None,
+    end: date | None = None,
 ) -> dict[str, int]:
-    """Rebuild the silver tables; returns rows written per table."""
-    sales = silver.daily_sales(lake.read(spark, names.BRONZE, names.SALES))
-    snapshots = silver.demographic_snapshots(lake.read(spark, names.BRONZE, names.SNAPSHOTS))
+    """Rebuild the silver tables; returns rows written per table.
+
+    With `start` or `end` only these days are read, worked out and replaced. Days that
+    have rows no more keep those they had, and rows without a day are taken up by runs
+    over all days only.
+    """
+    some_days = start is not None or end is not None
+    sales = silver.daily_sales(lake.read(spark, names.BRONZE, names.SALES, start, end))
+    snapshots = silver.demographic_snapshots(
+        lake.read(spark, names.BRONZE, names.SNAPSHOTS, start, end)
+    )
+    spend = spend.where(in_days(start, end, "date"))
     # snapshots come row by row from a table already laid out by day
     tables = {
         names.SILVER_SALES: (sales, True),
@@ -108,30 +147,51 @@ def bronze_to_silver(
         names.SILVER_SNAPSHOTS: (snapshots, False),
     }
     return {
-        name: write_silver(df, lake.path(names.SILVER, name), lake.table_format, rebalance)
+        name: write_silver(
+            df, lake.path(names.SILVER, name), lake.table_format, rebalance, some_days
+        )
         for name, (df, rebalance) in tables.items()
     }
 
 
 def silver_to_gold(
-    spark: SparkSession, lake: Lake, schema: str | None = None
+    spark: SparkSession,
+    lake: Lake,
+    schema: str | None = None,
+    start: date | None = None,
+    end: date | None = None,
 ) -> dict[str, int]:
     """Rebuild the gold tables; returns rows written per table.
 
     With `schema` ("schema" or "catalog.schema") the tables are registered there too.
     The totals are summed from the stored daily table, so its plan runs once.
+
+    With `start` or `end` only these days of reach and daily metrics are worked out and
+    replaced, with the result a run over all days would have had for them. Of the other
+    days each ad's product, start and nearest snapshots are taken, see `around`. Totals
+    and the saturation curve are sums over all days and always made anew.
     """
+    some_days = start is not None or end is not None
     sales = lake.read(spark, names.SILVER, names.SILVER_SALES)
     spend = lake.read(spark, names.SILVER, names.SILVER_SPEND)
     snapshots = lake.read(spark, names.SILVER, names.SILVER_SNAPSHOTS)
+    sales_then, spend_then, snapshots_then = (
+        lake.read(spark, names.SILVER, name, start, end)
+        for name in (names.SILVER_SALES, names.SILVER_SPEND, names.SILVER_SNAPSHOTS)
+    )
     written: dict[str, int] = {}
 
-    def store(name: str, df: DataFrame) -> None:
+    def store(name: str, df: DataFrame, by_day: bool = False) -> None:
         table = f"{schema}.{name}" if schema else None
-        written[name] = write_gold(df, lake.path(names.GOLD, name), table, lake.table_format)
+        written[name] = write_gold(
+            df, lake.path(names.GOLD, name), table, lake.table_format,
+            by_day, by_day and some_days,
+        )
 
-    store(names.GOLD_REACH, gold.demographic_reach(spend, snapshots))
-    store(names.GOLD_AD_DAILY, gold.ad_daily_metrics(sales, spend, snapshots))
+    store(names.GOLD_REACH, gold.demographic_reach(spend, snapshots_then), by_day=True)
+    needed = around(snapshots, start, end) if some_days else snapshots
+    daily = gold.ad_daily_metrics(sales_then, spend_then, needed, promoted=ad_product(spend))
+    store(names.GOLD_AD_DAILY, daily.where(in_days(start, end)), by_day=True)
     stored_daily = lake.read(spark, names.GOLD, names.GOLD_AD_DAILY)
     store(names.GOLD_AD_TOTAL, gold.ad_total_metrics(stored_daily))
     store(names.GOLD_SATURATION, gold.saturation_curve(sales, spend))

@@ -37,6 +37,19 @@ def snapshot_envelopes(ads: DataFrame, stamp: list[str]) -> DataFrame:
     )
 
 
+def raw_snapshot_lines(ads: DataFrame) -> DataFrame:
+    """Each ad of `operators.extraction.raw_ads` as the text of an envelope.
+
+    `total_ads` is the number of ads of the whole snapshot, so that a snapshot some of
+    whose lines are lost can be told, see `operators.quality.miscounted_snapshots`.
+    """
+    line = F.format_string(
+        '{"extraction_date":"%s","extraction_timestamp":"%s","total_ads":%d,"ads":[%s]}',
+        "extraction_date", "extraction_timestamp", "total_ads", "ad",
+    )
+    return ads.select(line.alias("value"))
+
+
 def backcast_envelopes(ads: DataFrame) -> DataFrame:
     """Back-cast ads (with their day in fecha) as envelopes marked as synthetic."""
     midnight = F.concat(F.date_format("fecha", "yyyy-MM-dd"), F.lit("T00:00:00+00:00"))
@@ -62,6 +75,12 @@ def write_envelopes(envelopes: DataFrame, folder: str) -> None:
         envelopes.write.mode("overwrite").json(folder)
 
 
+def write_lines(lines: DataFrame, folder: str) -> None:
+    """The same for envelopes that are texts already."""
+    if not _landed(lines, folder):
+        lines.write.mode("overwrite").text(folder)
+
+
 def _landed(envelopes: DataFrame, folder: str) -> bool:
     context = envelopes.sparkSession.sparkContext
     mark = context._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")

@@ -49,25 +49,36 @@ def write_gold(
     path: str,
     table: str | None = None,
     table_format: str = "parquet",
+    by_day: bool = False,
+    only_days_present: bool = False,
 ) -> int:
     """Overwrite a gold table and its schema; returns the number of rows written.
 
+    `by_day` lays the table out in one folder per day, which makes `fecha` its last
+    column. `only_days_present` then replaces just the days found in `df`.
+
     With `table` ("schema.table" or "catalog.schema.table") the data at `path` is
     also registered in the catalog, by the same single write; the schema is created
     if needed.
     """
     counter = Observation()
-    writer = (
-        df.observe(counter, F.count(F.lit(1)).alias("rows"))
-        .write.format(table_format)
-        .mode("overwrite")
-    )
-    if table_format == "delta":
+    rows = df.observe(counter, F.count(F.lit(1)).alias("rows"))
+    if by_day:
+        rows = rows.hint("rebalance", "fecha")
+    writer = rows.write.format(table_format).mode("overwrite")
+    if by_day:
+        mode = "dynamic" if only_days_present else "static"
+        writer = writer.partitionBy("fecha").option("partitionOverwriteMode", mode)
+    if table_format == "delta" and not only_days_present:
         writer = writer.option("overwriteSchema", "true")
-    if table is None:
+    spark = df.sparkSession
+    if table is None or (only_days_present and spark.catalog.tableExists(table)):
         writer.save(path)
+        if table is not None and table_format != "delta":
+            spark.sql(f"alter table {_quoted(table)} recover partitions")
+            spark.catalog.refreshTable(table)
     else:
-        create_schema(df.sparkSession, table)
+        create_schema(spark, table)
         writer.option("path", path).saveAsTable(_quoted(table))
     return counter.get["rows"]
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from reachmill.contracts import ADS_PAGE, CATALOGUE
 from reachmill.functions.dates import between_days
+from reachmill.functions.records import records
+from reachmill.sources.landing import CORRUPT
 
 
 def read_stored(
@@ -39,6 +41,26 @@ def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_raw_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Dumped response pages with their ads as received, each as JSON text.
+
+    Columns file_path, data and _corrupt_record, the text of a page that is cut off or
+    has something other than a list as its data.
+    """
+    files = (
+        spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True)
+        .select(F.col("_metadata.file_path").alias("file_path"), F.inline(records(F.col("value"))))
+    )
+    page = F.from_json("text", f"data array<string>, {CORRUPT} string",
+                       {"columnNameOfCorruptRecord": CORRUPT})
+    torn = F.when(F.col("broken") | F.col("page").isNull(), F.coalesce("text", F.lit("")))
+    return files.withColumn("page", page).select(
+        "file_path",
+        F.array_compact("page.data").alias("data"),
+        F.coalesce(torn, F.col(f"page.{CORRUPT}")).alias(CORRUPT),
+    )
+
+
 def read_ads_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Dumped response pages of the ads API, one row per page."""
     return spark.read.schema(ADS_PAGE).option("multiLine", True).json(folder)

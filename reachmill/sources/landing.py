@@ -2,12 +2,15 @@
 
 Two file layouts live side by side in a landing folder:
 
-* documents: one indented JSON object (or array of objects) per file, whatever its
-  name, compressed or not. A document is one task's work however large it is.
+* documents: indented JSON in UTF-8, whatever the file's name, compressed or not: an
+  object, a list of objects, or several of these one after the other. A document is
+  one task's work however large it is.
 * lines: one compact envelope per line in part files, which is how this package
   writes. These files are splittable.
 
-Every file below the folder is one or the other, but for hidden ones. Readers add `file_path` and, for files that are not valid JSON, `_corrupt_record`.
+Every file below the folder is one or the other, but for hidden ones. Every record of a
+file is a row with its `file_path`; `_corrupt_record` has the text of one that does not
+fit the schema.
 """
 
 from __future__ import annotations
@@ -15,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reachmill.functions.records import records
+
 CORRUPT = "_corrupt_record"
 
 LINES = "part-*"
@@ -52,29 +57,39 @@ def stream_envelopes(
 
 
 def _both_layouts(reader, folder: str, schema: str) -> DataFrame:
-    documents = _envelopes(reader(), folder, DOCUMENTS, schema, whole_file=True)
-    lines = _envelopes(reader(), folder, LINES, schema, whole_file=False)
-    return documents.unionByName(lines)
+    documents = _texts(reader(), folder, DOCUMENTS, whole_file=True)
+    lines = _texts(reader(), folder, LINES, whole_file=False)
+    return parse_envelopes(documents.unionByName(lines), schema)
 
 
-def _envelopes(reader, folder: str, names: str, schema: str, whole_file: bool) -> DataFrame:
-    return (
-        reader.format("json")
-        .schema(f"{schema}, {CORRUPT} string")
-        .option("multiLine", whole_file)
-        .option("columnNameOfCorruptRecord", CORRUPT)
+def _texts(reader, folder: str, names: str, whole_file: bool) -> DataFrame:
+    texts = (
+        reader.format("text")
+        .option("wholetext", whole_file)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", names)
         .load(folder)
-        .select(F.col("_metadata.file_path").alias("file_path"), "*")
+        .select(F.col("_metadata.file_path").alias("file_path"), "value")
     )
+    if whole_file:
+        return texts.withColumn("value", F.regexp_replace("value", "^\ufeff", ""))
+    return texts.where(F.trim("value") != "")
 
 
 def parse_envelopes(texts: DataFrame, schema: str) -> DataFrame:
-    """Envelopes from rows that hold a whole JSON text (columns file_path, value)."""
-    parsed = F.from_json("value", f"{schema}, {CORRUPT} string",
+    """Envelopes from rows that hold JSON texts (columns file_path, value).
+
+    One row per record. What cannot be read in full, or has a field of another type,
+    has its text in `_corrupt_record`; its other columns are not to be relied on.
+    """
+    parsed = F.from_json("text", f"{schema}, {CORRUPT} string",
                          {"columnNameOfCorruptRecord": CORRUPT})
-    return texts.select("file_path", parsed.alias("parsed")).select("file_path", "parsed.*")
+    rows = texts.select("file_path", F.inline(records(F.col("value"))))
+    fields = rows.select("file_path", "text", "broken", parsed.alias("parsed")).select(
+        "file_path", "text", "broken", "parsed.*"
+    )
+    unread = F.when(F.col("broken"), F.col("text")).otherwise(F.col(CORRUPT))
+    return fields.withColumn(CORRUPT, unread).drop("text", "broken")
 
 
 def newest_snapshot(spark: SparkSession, folder: str, dataset: str) -> str | None:
@@ -86,7 +101,6 @@ def newest_snapshot(spark: SparkSession, folder: str, dataset: str) -> str | Non
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
         .load(folder)
     )
     entry = F.regexp_replace("path", r"/part-[^/]*$", "")
@@ -98,6 +112,6 @@ def newest_snapshot(spark: SparkSession, folder: str, dataset: str) -> str | Non
 
 def read_entry(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The envelopes of one landing entry."""
-    document = path.endswith(".json")
-    names = "*.json" if document else LINES
-    return _envelopes(spark.read, path, names, schema, whole_file=document)
+    document = "." in path.rsplit("/", 1)[-1]
+    names = "*" if document else LINES
+    return parse_envelopes(_texts(spark.read, path, names, whole_file=document), schema)

@@ -11,7 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from reachmill.contracts import LANDING, SALE_EVENT, SALE_FIELDS, SALES, SALES_ENVELOPE
 from reachmill.functions.dates import dated_folder, utc_date
+from reachmill.functions.records import records
 from reachmill.sinks.landing import sales_envelopes, write_envelopes
+from reachmill.sources.landing import CORRUPT
 
 TRIGGER = "1 minute"  # fixed value: how often a batch is landed
 EVENT_FIELDS = list(SALE_FIELDS)
@@ -20,18 +22,30 @@ EVENT_FIELDS = list(SALE_FIELDS)
 def parse_messages(messages: DataFrame) -> DataFrame:
     """One row per sale event: its fields, enqueued_time and the raw text.
 
-    A message holds either a bare event or an envelope of events; one parse with the
-    fields of both serves either. A message that is neither gives one row whose
-    event fields are all null.
+    A message holds bare events, envelopes of events, or both; one parse with the
+    fields of both serves either. A record that is neither, has a field of another
+    type, or is an envelope without events gives one row whose event fields are all
+    null.
     """
     text = F.col("value").cast("string")
-    body = F.from_json(text, f"{SALES_ENVELOPE}, {SALE_EVENT}")
+    schema = f"{SALES_ENVELOPE}, {SALE_EVENT}, {CORRUPT} string"
+    body = F.from_json("text", schema, {"columnNameOfCorruptRecord": CORRUPT})
+    read = ~F.col("broken") & F.col("body").isNotNull() & F.col(f"body.{CORRUPT}").isNull()
     bare = F.array(F.struct(*(F.col(f"body.{f}").alias(f) for f in EVENT_FIELDS)))
+    several = F.when(F.size("body.events") > 0, F.col("body.events"))
+    nothing = F.array(F.struct(*(F.lit(None).cast(t).alias(f) for f, t in SALE_FIELDS.items())))
+    events = F.when(
+        read, F.coalesce(several, F.when(F.col("body.events").isNull(), bare), nothing)
+    ).otherwise(nothing)
     return (
-        messages.select(
-            text.alias("raw"), F.col("timestamp").alias("enqueued_time"), body.alias("body")
+        messages.select(F.col("timestamp").alias("enqueued_time"), F.inline_outer(records(text)))
+        .select(
+            F.col("text").alias("raw"),
+            "enqueued_time",
+            F.coalesce("broken", F.lit(True)).alias("broken"),
+            body.alias("body"),
         )
-        .select("raw", "enqueued_time", F.inline(F.coalesce("body.events", bare)))
+        .select("raw", "enqueued_time", F.inline(events))
         .select(*EVENT_FIELDS, "enqueued_time", "raw")
     )
 
@@ -44,25 +58,28 @@ def is_readable():
 def batch_writer(lake: str, dataset: str = SALES) -> Callable[[DataFrame, int], None]:
     """The function to call for each micro-batch.
 
-    Folders are named after the batch id and overwritten, and the batch time is the
-    one Spark recorded for the batch, so a batch that is run again lands the same
-    files. Unreadable messages are set aside as raw text under `quarantine`.
+    Folders are named after the batch id and written once, and the batch time is the
+    one Spark recorded for the batch, so a batch that is run again changes nothing.
+    Unreadable messages are set aside as raw text under `quarantine`.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        first = batch.select(utc_date(F.col("batch_time")).alias("day")).head()
-        if first is None:
-            return
-        day = dated_folder(LANDING, dataset, date.fromisoformat(first["day"]))
         batch.persist()
         try:
-            events = batch.where(is_readable())
-            write_envelopes(
-                sales_envelopes(events, [*EVENT_FIELDS, "enqueued_time"], F.col("batch_time")),
-                f"{lake}/{day}/batch-{batch_id:012d}",
-            )
-            rejected = batch.where(~is_readable()).select("raw", "enqueued_time")
-            if not rejected.isEmpty():
+            found = batch.agg(
+                F.min(utc_date(F.col("batch_time"))).alias("day"),
+                F.count_if(is_readable()).alias("events"),
+                F.count_if(~is_readable()).alias("rejected"),
+            ).first()
+            if found["events"]:
+                day = dated_folder(LANDING, dataset, date.fromisoformat(found["day"]))
+                events = batch.where(is_readable())
+                write_envelopes(
+                    sales_envelopes(events, [*EVENT_FIELDS, "enqueued_time"], F.col("batch_time")),
+                    f"{lake}/{day}/batch-{batch_id:012d}",
+                )
+            if found["rejected"]:
+                rejected = batch.where(~is_readable()).select("raw", "enqueued_time")
                 write_envelopes(rejected, f"{lake}/quarantine/{dataset}/batch-{batch_id:012d}")
         finally:
             batch.unpersist()

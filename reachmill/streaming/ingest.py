@@ -10,9 +10,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from reachmill.contracts import BRONZE, DATE_PARTS, LANDING
 from reachmill.functions.dates import with_date_parts
-from reachmill.plans.bronze import unreadable
+from reachmill.plans.bronze import readable, unreadable
 from reachmill.sources.landing import stream_envelopes
 
+FILES_PER_BATCH = 100_000  # bounds a first run over a full landing zone, per layout
+
 
 def ingest(
     spark: SparkSession,
@@ -21,18 +23,18 @@ def ingest(
     schema: str,
     flatten: Callable[[DataFrame], DataFrame],
     table_format: str = "parquet",
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = FILES_PER_BATCH,
 ) -> StreamingQuery:
     """Bring landing files not seen before into bronze; returns the finished query.
 
     Stops once everything that was there has been read. Running it again adds
-    nothing. No shuffle: each task reads envelopes and writes their rows. The
+    nothing. Envelopes that were not read in full are left to `quarantine`. No shuffle: each task reads envelopes and writes their rows. The
     query's progress reports carry the rows added per batch as metric `bronze`.
     """
     envelopes = stream_envelopes(
         spark, f"{lake}/{LANDING}/{dataset}", dataset, schema, max_files_per_trigger
     )
-    rows = with_date_parts(flatten(envelopes))
+    rows = with_date_parts(flatten(envelopes.where(readable())))
     query = _append(
         rows.observe("bronze", F.count(F.lit(1)).alias("rows")),
         f"{lake}/{BRONZE}/{dataset}",
@@ -51,13 +53,16 @@ def quarantine(
     schema: str,
     body: str,
     table_format: str = "parquet",
+    max_files_per_trigger: int | None = FILES_PER_BATCH,
 ) -> StreamingQuery:
     """Record landing files that could not be read, with their text, under `quarantine`.
 
-    A separate pass with its own checkpoint, to be run as often as wanted; the
-    bronze job does not wait for it.
+    A separate pass with its own checkpoint: each of the two sinks keeps its own log of
+    batches, so neither loses or repeats rows when the other fails.
     """
-    envelopes = stream_envelopes(spark, f"{lake}/{LANDING}/{dataset}", dataset, schema)
+    envelopes = stream_envelopes(
+        spark, f"{lake}/{LANDING}/{dataset}", dataset, schema, max_files_per_trigger
+    )
     query = _append(
         unreadable(envelopes, body),
         f"{lake}/quarantine/{dataset}_files",
