@@ -451,3 +451,92 @@ select ad_id, case when cast(ad_id as bigint) % 2 = 0 then '' else 'late ' end |
 from fx_mapping
 """
 )
+
+# first snapshots come in on the first of February, newest ones on the second
+EXTRACTED = """
+x_days as (
+  select m.*, min(fecha) over (partition by ad_id) as lo, max(fecha) over (partition by ad_id) as hi
+  from fx_meta m),
+x_landed as (
+  select date '2024-02-01' as day, * from x_days where fecha = lo
+  union all select date '2024-02-02', * from x_days where fecha = hi),
+x_ads as (
+  select day, ad_id, fecha, ad_delivery_start_time, cast(sum(female + male) as bigint) as reach
+  from x_landed group by 1, 2, 3, 4)
+"""
+
+ORACLES["h_landed_snapshots"] = sql(
+    """
+select cast(x.day as varchar) as fecha, x.ad_id, a.reach as eu_total_reach,
+       cast(x.ad_delivery_start_time as varchar) as ad_delivery_start_time,
+       'All' as target_gender, '18,65' as target_ages, 'site,app' as publisher_platforms,
+       x.country, x.age_range, x.female, x.male, x.female + x.male as reach
+from x_landed x join x_ads a on a.day = x.day and a.ad_id = x.ad_id
+""",
+    EXTRACTED,
+)
+
+ORACLES["h_raw_snapshot"] = sql(
+    """
+select '2024-02-02T06:30:00.000000+00:00' as extraction_timestamp, count(*) over () as total_ads,
+       ad_id as id, reach as eu_total_reach,
+       cast(ad_delivery_start_time as varchar) as ad_delivery_start_time,
+       cast(cast(fecha + interval 9 day as date) as varchar) as ad_delivery_stop_time
+from x_ads where day = date '2024-02-02'
+""",
+    EXTRACTED,
+)
+
+ORACLES["q_snapshot_count"] = sql(
+    """
+select cast(day as varchar) || 'T06:30:00.000000+00:00' as extraction_timestamp,
+       count(*) as total_ads, count(*) filter (cast(ad_id as bigint) % 7 <> 0) as actual
+from x_ads group by 1 having count(*) <> count(*) filter (cast(ad_id as bigint) % 7 <> 0)
+""",
+    EXTRACTED,
+)
+
+ORACLES["s_catalogue"] = """
+select cast(p_partkey as varchar) as product_id, p_name as product_name, p_type as category,
+       cast(cast(p_retailprice as decimal(10,2)) as double) as price
+from part
+"""
+
+ORACLES["q_event_contract_doubles"] = """
+with e as (
+  select case when event_id % 11 <> 0 then cast(event_id as varchar) end as event_id,
+         event_id as n
+  from events where event_type = 'purchase')
+select event_id, 'missing event_id' as rule from e where n % 11 = 0
+union all select event_id, 'quantity' from e where n % 4 = 3 or n % 13 = 0
+union all select event_id, 'channel' from e where n % 5 = 0
+union all select event_id, 'total_amount' from e where n % 7 = 0 or n % 13 = 0 or n % 17 = 0
+"""
+
+ORACLES["t_landing_documents"] = sql(
+    """
+select cast(fecha as varchar) as fecha, cast(event_id as varchar) as event_id, product_id, quantity,
+       cast(total_amount as double) as total_amount, 'bronze' as found_in
+from fx_sales
+union all
+select null, cast(event_id as varchar), null, null, null, 'quarantine'
+from events where event_type = 'signup'
+"""
+)
+
+ORACLES["t_capture_rerun"] = sql(
+    """
+select '2024-02-01' as fecha, cast(event_id as varchar) as event_id, epoch_us(ts) as timestamp,
+       product_id, product_name, quantity, cast(unit_price as double) as unit_price,
+       cast(total_amount as double) as total_amount, region, channel, null as raw
+from (select * from fx_sales union all select * from fx_sales where event_id % 5 = 0) t
+union all
+select null, null, null, null, null, null, null, null, null, null,
+       unnest(['signup', '{"event_id":"' || cast(event_id as varchar) || '","quantity":"two"}'])
+from events where event_type = 'signup'
+"""
+)
+
+ORACLES["t_jobs_full"] = ORACLES["gold_ad_daily_metrics"]
+ORACLES["t_jobs_range"] = ORACLES["gold_ad_daily_metrics"]
+ORACLES["t_jobs_range_reach"] = ORACLES["gold_demographic_reach"]

@@ -7,7 +7,7 @@ engines print them alike.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,12 +28,13 @@ from reachmill.functions.response import daily_sales as expected_sales
 from reachmill.functions.response import hourly_sales
 from reachmill.operators import extraction, history, quality, timeline, upsert
 from reachmill.plans import bronze, gold, silver
+from reachmill.plans.jobs import Lake, bronze_to_silver, landing_to_bronze, silver_to_gold, snapshot_to_landing
 from reachmill.runtime import scratch_folder, tune
 from reachmill.sinks.landing import backcast_envelopes, write_envelopes
 from reachmill.sinks.tables import append_absent, write_gold, write_silver
-from reachmill.sources.files import read_stored
-from reachmill.sources.landing import parse_envelopes
-from reachmill.streaming.capture import parse_messages, start_capture
+from reachmill.sources.files import read_catalogue, read_stored
+from reachmill.sources.landing import newest_snapshot, parse_envelopes, read_entry, read_envelopes
+from reachmill.streaming.capture import batch_writer, parse_messages, start_capture
 from reachmill.streaming.ingest import ingest, quarantine
 
 EVENTS_PER_ENVELOPE = 50
@@ -69,7 +70,7 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 # ---- landing JSON made from the views -----------------------------------
-def sales_texts(v: Views) -> DataFrame:
+def sales_texts(v: Views, indented: bool = False) -> DataFrame:
     """Sales envelopes as JSON text, at most 50 events each: event ids are unique."""
     moment = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     event = F.struct(
@@ -93,7 +94,7 @@ def sales_texts(v: Views) -> DataFrame:
     name = F.concat(F.lit("ventas_"), F.col("chunk"), F.lit(".json"))
     return grouped.select(
         dated_path(names.LANDING, names.SALES, F.col("fecha"), name).alias("file_path"),
-        F.to_json(envelope).alias("value"),
+        F.to_json(envelope, {"pretty": str(indented).lower()}).alias("value"),
     )
 
 
@@ -398,6 +399,75 @@ def h_backcast_landed(v: Views) -> DataFrame:
     return silver.demographic_snapshots(stored).select(*BACKCAST)
 
 
+NEWEST = "2024-02-02T06:30:00Z"
+EXTRACTIONS = {"2024-02-01T06:30:00Z": F.min_by, NEWEST: F.max_by}
+
+
+def _extracted(v: Views) -> str:
+    """A lake with every ad's first and last snapshot dumped as API pages, landed as two
+    extractions, each of them twice, with an ingest after every landing.
+
+    The ads have a field that the engine does not know. A page file holds several pages.
+    """
+    lake = Lake(scratch_folder(v.spark, "lake"))
+    page = F.floor(F.col("ad_id").cast("bigint") / ADS_PER_PAGE).alias("page")
+    stop = F.date_format(F.date_add("fecha", 9), "yyyy-MM-dd").alias("ad_delivery_stop_time")
+    snapshots = v.nested_snapshots.select("fecha", "ad_id", F.struct(ad_struct().alias("known"), stop).alias("ad"))
+    for moment, pick in EXTRACTIONS.items():
+        ads = snapshots.groupBy("ad_id").agg(pick("ad", "fecha").alias("ad"))
+        ads = ads.select("ad_id", "ad.known.*", "ad.ad_delivery_stop_time")
+        ad = F.struct(*ads.columns[1:])
+        pages = ads.groupBy(page).agg(F.to_json(F.struct(F.collect_list(ad).alias("data"))).alias("value"))
+        folder = f"{lake.root}/pages/{moment[:10]}"
+        pages.select("value").write.text(folder)
+        for _ in range(2):
+            snapshot_to_landing(v.spark, lake, folder, datetime.fromisoformat(moment))
+            ingest(v.spark, lake.root, names.SNAPSHOTS, names.SNAPSHOT_ENVELOPE, bronze.ad_snapshots)
+    return lake.root
+
+
+@query
+def h_landed_snapshots(v: Views) -> DataFrame:
+    """From API pages to silver, the whole tree, with every landing repeated."""
+    stored = v.spark.read.parquet(f"{_extracted(v)}/{names.BRONZE}/{names.SNAPSHOTS}")
+    return silver.demographic_snapshots(stored)
+
+
+@query
+def h_raw_snapshot(v: Views) -> DataFrame:
+    """The newest landing entry: its ads as received, with the snapshot's number of ads."""
+    folder = f"{_extracted(v)}/{names.LANDING}/{names.SNAPSHOTS}"
+    schema = names.SNAPSHOT_ENVELOPE.replace("array<struct<", "array<struct<ad_delivery_stop_time string, ", 1)
+    ads = read_entry(v.spark, newest_snapshot(v.spark, folder, names.SNAPSHOTS), schema)
+    return ads.select("extraction_timestamp", "total_ads", F.inline("ads")).select(
+        "extraction_timestamp", "total_ads", "id", "eu_total_reach", "ad_delivery_start_time", "ad_delivery_stop_time"
+    )
+
+
+@query
+def q_snapshot_count(v: Views) -> DataFrame:
+    """Landed snapshots of which the ads whose id is divisible by 7 are lost."""
+    folder = f"{_extracted(v)}/{names.LANDING}/{names.SNAPSHOTS}"
+    landed = read_envelopes(v.spark, folder, names.SNAPSHOTS, names.SNAPSHOT_ENVELOPE)
+    return quality.miscounted_snapshots(landed.where("cast(ads[0].id as bigint) % 7 <> 0"))
+
+
+@query
+def s_catalogue(v: Views) -> DataFrame:
+    """All parts as catalogue documents of up to 100 products, several to a file."""
+    folder = scratch_folder(v.spark, "catalogue")
+    product = F.struct(
+        F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("name"),
+        F.col("p_type").alias("category"), F.col("p_retailprice").cast("double").alias("price"),
+    )
+    chunk = F.floor(F.col("p_partkey") / 100).alias("chunk")
+    documents = v.table("part").groupBy(chunk).agg(
+        F.to_json(F.struct(F.collect_list(product).alias("products")), {"pretty": "true"}).alias("value")
+    )
+    documents.select("value").write.text(folder)
+    return read_catalogue(v.spark, folder)
+
+
 # ---- data quality -------------------------------------------------------
 @query
 def q_duplicate_keys(v: Views) -> DataFrame:
@@ -433,6 +503,23 @@ def q_event_contract(v: Views) -> DataFrame:
     return quality.event_violations(events, ["event_id"], [1, 2, 3], ["ecommerce"])
 
 
+@query
+def q_event_contract_doubles(v: Views) -> DataFrame:
+    """The same with the doubles of the stored events, and with nulls in two fields."""
+    number = F.col("event_id")
+    price = F.col("value").cast("decimal(18,2)").cast("double")
+    cent = F.when(number % 7 == 0, 0.01).otherwise(0.0)
+    amount = 1 + number % 4
+    events = v.events.where("event_type = 'purchase'").select(
+        F.when(number % 11 != 0, number.cast("string")).alias("event_id"),
+        F.when(number % 13 != 0, amount).alias("quantity"),
+        price.alias("unit_price"),
+        F.when(number % 17 != 0, F.round(price * amount, 2) + cent).alias("total_amount"),
+        F.when(number % 5 == 0, "store").otherwise("ecommerce").alias("channel"),
+    )
+    return quality.event_violations(events, ["event_id"], [1, 2, 3], ["ecommerce"])
+
+
 @query
 def q_envelope_count(v: Views) -> DataFrame:
     """Sales envelopes, every third of which declares one event too many."""
@@ -455,6 +542,125 @@ def t_landing_stream(v: Views) -> DataFrame:
     return v.spark.read.parquet(f"{lake}/{names.BRONZE}/{names.SALES}")
 
 
+def _wrong_types(v: Views) -> DataFrame:
+    """An event with text for its quantity for every signup."""
+    event = F.struct(F.col("event_id").cast("string").alias("event_id"), F.lit("two").alias("quantity"))
+    envelope = F.struct(F.lit("2024-01-01").alias("batch_date"), F.array(event).alias("events"))
+    return v.events.where("event_type = 'signup'").select(
+        "fecha", F.to_json(event).alias("event"), F.to_json(envelope, {"pretty": "true"}).alias("envelope")
+    )
+
+
+@query
+def t_landing_documents(v: Views) -> DataFrame:
+    """Indented documents of several envelopes, one file a day, under names of all kinds, every
+    third compressed and every third years old; read in two runs. Bronze and what is set aside.
+    """
+    lake, day = scratch_folder(v.spark, "lake"), r"(\d{4}/\d{2}/\d{2})"
+    good = sales_texts(v, indented=True).select(F.regexp_extract("file_path", day, 1).alias("day"), "value")
+    bad = _wrong_types(v).select(F.date_format("fecha", "yyyy/MM/dd").alias("day"), F.col("envelope").alias("value"))
+    documents = good.unionByName(bad).repartition("day").withColumn("kind", F.substring("day", 9, 2).cast("int") % 3)
+    folder = f"{lake}/{names.LANDING}/{names.SALES}"
+    for kind, (name, codec) in enumerate([("ventas 1.json", "none"), ("sales_2.json.gz", "gzip"), ("restored", "none")]):
+        staged = f"{lake}/staged-{kind}"
+        texts = documents.where(F.col("kind") == kind)
+        texts.withColumn("day", F.regexp_replace("day", "/", "-")).select("day", "value").write.partitionBy("day").option(
+            "compression", codec
+        ).text(staged)
+        _name_files(v.spark, staged, folder, name, kind == 2)
+        ingest(v.spark, lake, names.SALES, names.SALES_ENVELOPE, bronze.sale_events)
+        quarantine(v.spark, lake, names.SALES, names.SALES_ENVELOPE, "events")
+    rows = v.spark.read.parquet(f"{lake}/{names.BRONZE}/{names.SALES}").select(
+        "fecha", "event_id", "product_id", "quantity", "total_amount", F.lit("bronze").alias("found_in")
+    )
+    aside = v.spark.read.parquet(f"{lake}/quarantine/{names.SALES}_files").select(
+        F.get_json_object("_corrupt_record", "$.events[0].event_id").alias("event_id"),
+        F.lit("quarantine").alias("found_in"),
+    )
+    return rows.unionByName(aside, allowMissingColumns=True)
+
+
+def _name_files(spark: SparkSession, staged: str, landing: str, name: str, old: bool) -> None:
+    """Give the one file of every staged day (day=yyyy-mm-dd) its place in landing, and a name."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path
+    files = path(staged).getFileSystem(context._jsc.hadoopConfiguration())
+    for found in files.globStatus(path(f"{staged}/day=*/part-*")):
+        source = found.getPath()
+        target = path(f"{landing}/{source.getParent().getName()[4:].replace('-', '/')}/{name}")
+        files.mkdirs(target.getParent())
+        files.rename(source, target)
+        if old:
+            files.setTimes(target, 1_500_000_000_000, -1)
+
+
+@query
+def t_capture_rerun(v: Views) -> DataFrame:
+    """A batch of messages landed, ingested, landed and ingested again: bronze row by row, and
+    what was set aside."""
+    lake, stamp = scratch_folder(v.spark, "lake"), F.lit("2024-02-01T00:00:00Z").cast("timestamp")
+    texts = _messages(v).unionByName(_wrong_types(v).select(F.col("event").alias("value")))
+    folder = f"{lake}/messages"
+    texts.write.text(folder)
+    messages = v.spark.read.text(folder).select(F.col("value").cast("binary"), stamp.alias("timestamp"))
+    write = batch_writer(lake)
+    for _ in range(2):
+        write(parse_messages(messages).withColumn("batch_time", stamp), 0)
+        ingest(v.spark, lake, names.SALES, names.SALES_ENVELOPE, bronze.sale_events)
+    rows = v.spark.read.parquet(f"{lake}/{names.BRONZE}/{names.SALES}").select(
+        "fecha", "event_id", "timestamp", "product_id", "product_name", "quantity", "unit_price",
+        "total_amount", "region", "channel", F.lit(None).cast("string").alias("raw"),
+    )
+    aside = v.spark.read.schema("raw string").json(f"{lake}/quarantine/{names.SALES}/*")
+    return rows.unionByName(aside, allowMissingColumns=True)
+
+
+# ---- jobs ---------------------------------------------------------------
+def _landed_lake(v: Views) -> Lake:
+    """A lake with all sales and snapshots in landing."""
+    lake = Lake(scratch_folder(v.spark, "lake"))
+    sales = sales_envelopes(v).drop("file_path", "_corrupt_record")
+    write_envelopes(sales, f"{lake.path(names.LANDING, names.SALES)}/all")
+    snapshots = v.nested_snapshots.select(
+        F.date_format("fecha", "yyyy-MM-dd").alias("extraction_date"),
+        F.lit(1).cast("bigint").alias("total_ads"),
+        F.array(ad_struct()).alias("ads"),
+    )
+    write_envelopes(snapshots, f"{lake.path(names.LANDING, names.SNAPSHOTS)}/all")
+    landing_to_bronze(v.spark, lake)
+    return lake
+
+
+@query
+def t_jobs_full(v: Views) -> DataFrame:
+    """All jobs, from landing to gold, over all days."""
+    lake = _landed_lake(v)
+    bronze_to_silver(v.spark, lake, v.spend, v.mapping, v.products)
+    silver_to_gold(v.spark, lake)
+    return lake.read(v.spark, names.GOLD, names.GOLD_AD_DAILY)
+
+
+def _jobs_by_range(v: Views) -> Lake:
+    lake = _landed_lake(v)
+    ranges = [(None, date(2024, 1, 9)), (date(2024, 1, 10), date(2024, 1, 14)), (date(2024, 1, 15), None)]
+    for start, end in ranges:
+        bronze_to_silver(v.spark, lake, v.spend, v.mapping, v.products, start, end)
+    for start, end in [*ranges, ranges[1]]:
+        silver_to_gold(v.spark, lake, start=start, end=end)
+    return lake
+
+
+@query
+def t_jobs_range(v: Views) -> DataFrame:
+    """The same in three ranges of days, one of them made twice."""
+    return _jobs_by_range(v).read(v.spark, names.GOLD, names.GOLD_AD_DAILY)
+
+
+@query
+def t_jobs_range_reach(v: Views) -> DataFrame:
+    return _jobs_by_range(v).read(v.spark, names.GOLD, names.GOLD_REACH)
+
+
 def _messages(v: Views) -> DataFrame:
     """Broker messages: envelopes and, for every fifth event, a bare event; some junk."""
     envelopes = sales_texts(v).select("value")

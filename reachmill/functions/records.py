@@ -14,6 +14,8 @@ _NEXT_VALUE = (
     r'\G((?s:[^"}\]]++|"(?:[^"\\]++|\\.)*+"|[}\]](?!\s*+[{\[]))*+)([}\]])\s*+(?=[{\[])'
 )
 
+_END = "end of the text"
+
 
 def records(text: Column) -> Column:
     """The records of a text, in order, as structs of `text` and `broken`.
@@ -22,9 +24,12 @@ def records(text: Column) -> Column:
     with or without line breaks between them. One that is none of that is a single
     broken record, so nothing is passed over. An empty list is broken too.
     """
-    joined = F.concat(F.lit("["), F.regexp_replace(text, _NEXT_VALUE, "$1$2,"), F.lit("]"))
+    joined = F.concat(F.regexp_replace(text, _NEXT_VALUE, "$1$2,"), F.lit(f',"{_END}"]'))
+    listed = _elements(F.concat(F.lit("["), joined))
+    # a bracket too many ends the list before its last element
+    listed = F.when(F.get(listed, F.size(listed) - 1) == _END, F.slice(listed, 1, F.size(listed) - 1))
     values = F.flatten(
-        F.transform(_elements(joined), lambda v: F.when(v.rlike(r"^\["), _elements(v)).otherwise(F.array(v)))
+        F.transform(listed, lambda v: F.when(v.rlike(r"^\["), _elements(v)).otherwise(F.array(v)))
     )
     whole = F.transform(values, lambda v: F.struct(v.alias("text"), F.lit(False).alias("broken")))
     broken = F.array(F.struct(text.alias("text"), F.lit(True).alias("broken")))

@@ -31,9 +31,10 @@ def read_stored(
 
 
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
-    """Products of a catalogue file, in the shape of the relational product table."""
-    document = spark.read.schema(CATALOGUE).option("multiLine", True).json(path)
-    return document.select(F.inline("products")).select(
+    """Products of catalogue files, in the shape of the relational product table."""
+    files = spark.read.text(path, wholetext=True).select(F.inline(records(F.col("value"))))
+    document = files.select(F.from_json("text", CATALOGUE).alias("document"))
+    return document.select(F.inline("document.products")).select(
         F.col("id").alias("product_id"),
         F.col("name").alias("product_name"),
         "category",
@@ -45,7 +46,7 @@ def read_raw_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Dumped response pages with their ads as received, each as JSON text.
 
     Columns file_path, data and _corrupt_record, the text of a page that is cut off or
-    has something other than a list as its data.
+    has something other than a list as its data. Spark passes over files of no bytes.
     """
     files = (
         spark.read.option("recursiveFileLookup", True).text(folder, wholetext=True)

@@ -1,14 +1,16 @@
 from datetime import date, datetime, timezone
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from reachmill.contracts import AD, ADS_PAGE, KEYS, SNAPSHOT_ENVELOPE, SQL_PRODUCTS
 from reachmill.operators import extraction, history, quality, upsert
 from reachmill.plans import bronze, silver
+from reachmill.plans.jobs import Lake, snapshot_to_landing
 from reachmill.sinks.landing import backcast_envelopes, write_envelopes
-from reachmill.sources.files import read_ads_pages, read_catalogue
+from reachmill.sources.files import read_ads_pages, read_catalogue, read_raw_pages
 from reachmill.sources.landing import read_envelopes
 
 TODAY = date(2026, 7, 5)
@@ -131,6 +133,22 @@ def test_assemble_pages(spark, rows, tmp_path):
     assert nothing.count() == 0
 
 
+def test_raw_pages(spark, rows, tmp_path):
+    (tmp_path / "1.json").write_text('{"data": [{"id": "1", "other": {"x": 1.5}}, null]}\n{"data": []} {}')
+    (tmp_path / "2.json").write_text('{"data": [{"id": "2"}, {"id"')
+    (tmp_path / "3.json").write_text("")
+    (tmp_path / "4.json").write_text('{"data": "none"}')
+    pages = read_raw_pages(spark, str(tmp_path))
+    torn = pages.where("_corrupt_record is not null")
+    assert [r[0][-6:] for r in rows(torn, "file_path")] == ["2.json", "4.json"]
+    moment = datetime(2026, 7, 5, tzinfo=timezone.utc)
+    ads = extraction.raw_ads(pages.where("_corrupt_record is null"), moment)
+    assert rows(ads, "total_ads", "ad") == [(1, '{"id":"1","other":{"x":1.5}}')]
+    with pytest.raises(ValueError, match="2 unreadable pages.*2.json"):
+        snapshot_to_landing(spark, Lake(str(tmp_path / "lake")), str(tmp_path), moment)
+    assert not (tmp_path / "lake").exists()
+
+
 def test_latest_snapshot_and_ids(spark, rows):
     data = [
         ("l/2026/07/05/meta_ads_20260705_1.json", [("1",), ("2",)]),
