@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from reachmill.llm.components import linked_components
 from reachmill.llm.neardup import _forest
 from reachmill.llm.scratch import Scratch
-from reachmill.llm.textarrays import blocks, mix
+from reachmill.llm.textarrays import blocks, mix, portions
 
 _BLOCK = 1 << 18
 _U = np.uint64
@@ -110,8 +110,23 @@ def entries(lines: DataFrame, max_edits: int, remembered: int = 200_000) -> Data
     return lines.select("line_id", "line").mapInArrow(run, "bucket bigint, id bigint")
 
 
-def within(left: list[str], right: list[str], max_edits: int) -> np.ndarray:
-    """Which pairs are at most max_edits apart, all pairs together.
+def within(left: list[str], right: list[str], max_edits: int, limit: int = 1 << 20) -> np.ndarray:
+    """Which pairs are at most max_edits apart. As many pairs as have about limit characters
+    (one longer pair goes by itself) move through their columns together, so that memory
+    is bounded however many the pairs and however long the lines."""
+    answer, begin, size = [np.zeros(0, dtype=bool)], 0, 0
+    for n, (x, y) in enumerate(zip(left, right, strict=True)):
+        length = len(x) + len(y)
+        if size and size + length > limit:
+            answer.append(_within(left[begin:n], right[begin:n], max_edits))
+            begin, size = n, 0
+        size += length
+    answer.append(_within(left[begin:], right[begin:], max_edits))
+    return np.concatenate(answer)
+
+
+def _within(left: list[str], right: list[str], max_edits: int) -> np.ndarray:
+    """The same, all pairs together.
 
     The band of 2 * max_edits + 1 diagonals is one machine word per pair. Bit b of a word
     stands for row (column - max_edits + b); with every column the band moves down a row."""
@@ -200,8 +215,10 @@ def _plain(x: str, y: str) -> int:
 def _linked(max_edits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            close = within(batch.column(2).to_pylist(), batch.column(3).to_pylist(), max_edits)
-            yield batch.select([0, 1]).filter(pa.array(close))
+            for begin, left in portions(batch.column(2)):
+                part = batch.slice(begin, len(left))
+                close = within(left, part.column(3).to_pylist(), max_edits)
+                yield part.select([0, 1]).filter(pa.array(close))
 
     def test(pairs: DataFrame, contents: DataFrame) -> DataFrame:
         a = contents.select(F.col("id").alias("a"), F.col("line").alias("_a"))
