@@ -9,25 +9,28 @@ from __future__ import annotations
 
 # ---- the campaign tables --------------------------------------------------
 FX = """
+fx_users as (
+  select user_id, case when user_id % 3 = 0 then 0
+                  else user_id % (select count(*) from part) end as part_key
+  from (select distinct user_id from events)),
 fx_products as (
   select cast(p_partkey as varchar) as product_id, p_name as product_name,
          cast(p_retailprice as decimal(10,2)) as price
-  from part where p_partkey between 0 and 23),
+  from part where p_partkey % 25 <> 24),
 fx_mapping as (
-  select distinct cast(user_id as varchar) as ad_id,
-         cast(user_id % 25 as varchar) as product_id
-  from events where user_id % 10 <> 9),
+  select cast(user_id as varchar) as ad_id, cast(part_key as varchar) as product_id
+  from fx_users where user_id % 10 <> 9),
 fx_spend as (
   select cast(user_id as varchar) as ad_id, cast(ts as date) as date,
          cast(sum(cast(value as decimal(18,2))) as decimal(10,2)) as daily_spend
   from events where event_type = 'click' group by 1, 2),
 fx_sales as (
   select cast(e.ts as date) as fecha, e.event_id, e.ts,
-         cast(e.user_id % 25 as varchar) as product_id, p.p_name as product_name,
+         cast(u.part_key as varchar) as product_id, p.p_name as product_name,
          cast(1 + e.event_id % 3 as bigint) as quantity, p.p_retailprice as unit_price,
          cast(e.value as decimal(18,2)) as total_amount,
          'zone ' || cast(e.user_id % 5 as varchar) as region, 'ecommerce' as channel
-  from events e join part p on p.p_partkey = e.user_id % 25
+  from events e join fx_users u on u.user_id = e.user_id join part p on p.p_partkey = u.part_key
   where e.event_type = 'purchase'),
 fx_counts as (
   select cast(ts as date) as fecha, user_id, event_type as age_range,

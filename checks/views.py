@@ -1,6 +1,7 @@
 """Campaign tables derived from the driver's tables.
 
-A user is an ad and ``user_id % 25`` its product. Clicks are spend, purchases are
+A user is an ad. Every third one promotes part 0, the others the part of their number modulo
+the number of parts; the product table lacks every 25th part on purpose. Clicks are spend, purchases are
 sales, views and errors are reach; even event ids count as female, odd ones as male.
 Ids become text, as they are in the campaign tables.
 """
@@ -9,10 +10,10 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-PRODUCTS = 25  # user_id % 25; the product table lacks the last of them on purpose
+NATIONS = 25  # fixed value: rows of nation
 
 
 class Views:
@@ -27,13 +28,13 @@ class Views:
         return self.table("events").withColumn("fecha", F.col("ts").cast("date"))
 
     @cached_property
-    def _promoted_parts(self) -> DataFrame:
-        # p_partkey is the primary key, so the range holds at most 25 rows
-        return self.table("part").where(F.col("p_partkey").between(0, PRODUCTS - 1))
+    def _product_of_user(self) -> Column:
+        parts = self.table("part").agg(F.count(F.lit(1)).alias("n")).scalar()
+        return F.when(F.col("user_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id") % parts)
 
     @cached_property
     def products(self) -> DataFrame:
-        return self._promoted_parts.where(F.col("p_partkey") < PRODUCTS - 1).select(
+        return self.table("part").where("p_partkey % 25 <> 24").select(
             F.col("p_partkey").cast("string").alias("product_id"),
             F.col("p_name").alias("product_name"),
             F.col("p_type").alias("category"),
@@ -48,7 +49,7 @@ class Views:
             .distinct()
             .select(
                 F.col("user_id").cast("string").alias("ad_id"),
-                (F.col("user_id") % PRODUCTS).cast("string").alias("product_id"),
+                self._product_of_user.cast("string").alias("product_id"),
             )
         )
 
@@ -63,9 +64,9 @@ class Views:
 
     @cached_property
     def sale_events(self) -> DataFrame:
-        parts = self._promoted_parts.select("p_partkey", "p_name", "p_retailprice")
+        parts = self.table("part").select("p_partkey", "p_name", "p_retailprice")
         purchases = self.events.where("event_type = 'purchase'").withColumn(
-            "p_partkey", F.col("user_id") % PRODUCTS
+            "p_partkey", self._product_of_user
         )
         return purchases.join(parts, "p_partkey").select(
             "fecha",
@@ -94,7 +95,7 @@ class Views:
         )
         ad = Window.partitionBy("user_id")
         running = Window.partitionBy("user_id", "age_range").orderBy("fecha")
-        on_nation = (F.col("user_id") % PRODUCTS).cast("int") == F.col("n_nationkey")
+        on_nation = (F.col("user_id") % NATIONS).cast("int") == F.col("n_nationkey")
         return (
             daily.withColumns(
                 {

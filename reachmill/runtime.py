@@ -14,8 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # join by hashing instead of sorting where every measured partition of the
-    # smaller side is below this size
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # smaller side is below this size; it is that of compressed shuffle data, and a hash
+    # table several times larger has to fit into a task's memory
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "16MB",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -34,7 +35,7 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.conf.get("spark.master", "").split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="reachmill-")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

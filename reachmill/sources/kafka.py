@@ -20,8 +20,13 @@ def kafka_options(
     configured_topic: str | None = None,
     login_module: str = LOGIN_MODULE,
     max_offsets_per_trigger: int | None = None,
+    fail_on_data_loss: bool = False,
 ) -> dict[str, str]:
-    """Reader options. A topic from configuration wins over the argument."""
+    """Reader options. A topic from configuration wins over the argument.
+
+    By default messages that the broker no longer has are passed over; with
+    fail_on_data_loss the stream ends instead.
+    """
     subscribe = configured_topic or topic
     if not subscribe:
         raise ValueError("no topic given, neither as argument nor in the configuration")
@@ -33,8 +38,8 @@ def kafka_options(
             f"{login_module} required"
             f' username="{LOGIN_USER}" password="{connection_string}";'
         ),
-        "startingOffsets": "earliest",
-        "failOnDataLoss": "false",
+        "startingOffsets": "earliest",  # fixed value
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if max_offsets_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
