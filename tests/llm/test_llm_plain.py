@@ -177,3 +177,16 @@ def test_signatures_shift_one_permutation():
 def test_training_without_both_labels_gives_the_share():
     assert classifier.train([], 16).probability(np.zeros(1))[0] == pytest.approx(0.5)
     assert classifier.Model(np.zeros(4), 2.0).probability(np.array([2.0]))[0] > 0.8
+
+
+def test_pairs_are_told_alike_in_portions_of_any_size():
+    from reachmill.llm.lines import within
+
+    base = ["", "a", "the quick brown fox", "the quick brwn fix", "x" * 300, "x" * 301 + "yz", "x" * 150 + "ab" + "x" * 150]
+    left = [a for a in base for _ in base]
+    right = [b for _ in base for b in base]
+    whole = within(left, right, 2).tolist()
+    assert any(whole) and not all(whole)
+    for limit in (1, 40, 500, 10_000):
+        assert within(left, right, 2, limit).tolist() == whole
+    assert within([], [], 2).tolist() == []
