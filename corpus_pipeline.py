@@ -30,7 +30,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that are copies of an earlier one go; documents of which no word is left go too."""
     ship(spark)
     scratch = Scratch(spark, "lines")
-    classes = lines.classes(docs, scratch)
+    classes = lines.classes(docs, scratch, min_chars=1)
     dropped = scratch.keep(classes.where(~F.col("kept")).select("doc_id", "line_no"), "dropped")
     left = lines.without(docs, dropped)
     return left.where(mixing.n_words(F.col("text")) > 0).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)

@@ -13,9 +13,13 @@ Copies form classes (components.linked_components: members meet pivots first, th
 a group are never emitted). Of every class the first line, by document id and line number,
 stays in its document.
 
-Lines shorter than min_chars are no evidence of copying and always stay. Lines are told
-apart by 64-bit hashes; a second hash finds the lines whose first one agrees by chance,
-and these always stay.
+Lines shorter than edit_chars are copies only when equal in lower case: two edits turn most
+of them into some other line, and chains of such pairs run through different texts. Of the
+given documents (sf0.1), where lines of less than 26 characters are compared, edits from 3
+characters on put 848 different lines into one class, from 7 on 287, from 8 on 16, from 10
+on 5. Blank lines part paragraphs and always stay, and so do lines shorter than min_chars,
+which the registered queries set to 1. Lines are told apart by 64-bit hashes; a second hash
+finds the lines whose first one agrees by chance, and these always stay.
 
 Defined cases: a null text has no line, an empty one a single empty line; rows without id
 come last in order; rows with the same id are told apart by their number among them
@@ -48,7 +52,7 @@ def split_lines(text: Column) -> Column:
 def folded_lines(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
     """doc_id, line_no, line_id, check_id and line (lower case) of every line that counts."""
     lines = docs.select(F.col(key).cast("long").alias("doc_id"), F.posexplode(split_lines(F.lower(F.col(text)))).alias("line_no", "line"))
-    lines = lines.where(F.char_length("line") >= min_chars)
+    lines = lines.where((F.char_length("line") >= min_chars) & F.col("line").rlike(r"[^\x20\x09-\x0D]"))
     return lines.select("doc_id", "line_no", F.xxhash64("line").alias("line_id"), F.xxhash64(F.lit(1), F.col("line")).alias("check_id"), "line")
 
 
@@ -243,19 +247,20 @@ def _linked_inside(max_edits: int):
     return lambda cells: cells.groupBy("cell").applyInArrow(compare, "a bigint, b bigint")
 
 
-def classes(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", max_edits: int = 2, min_chars: int = 20) -> DataFrame:
+def classes(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", max_edits: int = 2, min_chars: int = 20, edit_chars: int = 10) -> DataFrame:
     """One row for every line that counts: doc_id, line_no, class_doc_id, class_line_no (where
     its class comes first) and kept."""
-    if min_chars <= max_edits:
+    if edit_chars <= max_edits:
         raise ValueError("a line needs more characters than edits")
     lines = folded_lines(docs, key, text, min_chars)
+    edited = lines.where(F.char_length("line") >= edit_chars)
     # one shuffle by key serves both the counting of a bucket and the look at its members
-    members = entries(lines, max_edits).repartition("bucket")
+    members = entries(edited, max_edits).repartition("bucket")
 
     def contents_of(ids: DataFrame) -> DataFrame:
         # by sort and merge at every size, as ids grow with the input; written before copies
         # go, since the join alone can be split where a line is very common
-        wanted = lines.select(F.col("line_id").alias("id"), "line").join(ids.hint("merge"), "id", "left_semi")
+        wanted = edited.select(F.col("line_id").alias("id"), "line").join(ids.hint("merge"), "id", "left_semi")
         return scratch.keep(wanted, "wanted").dropDuplicates(["id"])
 
     linked = linked_components(members, contents_of, _linked(max_edits), _linked_inside(max_edits), scratch)

@@ -28,7 +28,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.classes(_table(spark, sf_dir, "documents"), Scratch(spark, "op2"))
+    return lines.classes(_table(spark, sf_dir, "documents"), Scratch(spark, "op2"), min_chars=1)
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

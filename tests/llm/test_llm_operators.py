@@ -125,6 +125,20 @@ def test_line_classes_are_those_of_brute_force(spark, docs, none):
     assert texts[0] == fixture_texts()[0].split("\n")[0] and texts[2] == fixture_texts()[2].split("\n")[1]
 
 
+def test_lines_of_every_length_take_part(spark, none):
+    ship(spark)
+    texts = ["Menu\na\n\n   \nabcdefghijkl", "menu\nmenus\nabcdefghijkx\nab", "\nMENU\nb\nAB\nabcdefghi", "abcdefghx\nmenu\n\t\na"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {(r["doc_id"], r["line_no"]): (r["class_doc_id"], r["class_line_no"]) for r in lines.classes(frame, Scratch(spark, "t-short"), min_chars=1).collect()}
+    kept_lines = [((doc, n), x) for doc, t in enumerate(texts) for n, x in enumerate(t.lower().split("\n")) if x.strip()]
+    near = lambda x, y: x == y or (min(len(x), len(y)) >= 10 and lines._plain(x, y) <= 2)
+    assert found == {at: next(first for first, y in kept_lines if near(x, y)) for at, x in kept_lines}
+    assert found[1, 0] == found[2, 1] == found[3, 1] == (0, 0) and found[1, 2] == (0, 4) and found[3, 0] == (3, 0)
+    # both users of the operator let them in
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, frame.select("*", F.lit(0).cast("long").alias("n_chars")), "").collect()}
+    assert left == {0: texts[0], 1: "menus\nab", 2: "\nb\nabcdefghi", 3: "abcdefghx\n\t"}
+
+
 def test_near_duplicate_classes_are_those_of_brute_force(spark, docs, none):
     found = {(r["id"], r["n_shingles"], r["component_id"], r["kept"]) for r in neardup.classes(docs, Scratch(spark, "t-near"), n=3, percent=85, bands=20, rows=6).collect()}
     rows = sorted({(r["doc_id"], r["text"]) for r in docs.collect() if r["doc_id"] is not None}, key=lambda r: r[0])
