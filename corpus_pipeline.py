@@ -27,25 +27,27 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that are copies of an earlier one go; documents of which no word is left go too."""
+    """Lines that are copies of an earlier one go; documents of which no word is left go too.
+    Rows are told apart by their number, as ids may repeat; the smallest id comes first."""
     ship(spark)
     scratch = Scratch(spark, "lines")
-    classes = lines.classes(docs, scratch, min_chars=1)
+    rows = _numbered(docs, scratch)
+    classes = lines.classes(rows, scratch, key="_row", min_chars=1, order="doc_id")
     dropped = scratch.keep(classes.where(~F.col("kept")).select("doc_id", "line_no"), "dropped")
-    left = lines.without(docs, dropped)
+    left = lines.without(rows, dropped, key="_row")
     return left.where(mixing.n_words(F.col("text")) > 0).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies (runs of five words, 0.8 or more alike): the
-    one with the smallest id."""
+    one with the smallest id, rows without id last. Rows are told apart by their number."""
     ship(spark)
     scratch = Scratch(spark, "near")
     rows = _numbered(docs, scratch)
-    kept = neardup.classes(rows, scratch).where("kept").select("id").distinct()
-    # of rows that share an id and a class the first one stays; rows without id all stay
-    first = rows.groupBy("doc_id").agg(F.min("_row").alias("_row")).join(kept, F.col("doc_id") == F.col("id")).select("_row")
-    stay = first.union(rows.where(F.col("doc_id").isNull()).select("_row"))
+    classed = neardup.classes(rows, scratch, key="_row").select(F.col("id").alias("_row"), "component_id")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row")
+    named = classed.join(rows.select("_row", "doc_id"), "_row")
+    stay = named.groupBy("component_id").agg(F.min(place).alias("first")).select("first._row")
     return rows.join(stay, "_row", "left_semi").select(*docs.columns)
 
 

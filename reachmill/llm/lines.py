@@ -22,9 +22,9 @@ which the registered queries set to 1. Lines are told apart by 64-bit hashes; a
 finds the lines whose first one agrees by chance, and these always stay.
 
 Defined cases: a null text has no line, an empty one a single empty line; rows without id
-come last in order; rows with the same id are told apart by their number among them
-being lost: the same line of the same id counts once and stays in each; an empty table
-gives an empty result. Other columns are not read.
+come last in order; rows with the same key are not told apart: the same line of the same key
+counts once and stays in each, so rows whose ids may repeat need a key of their own and
+their id as the order of preference; an empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -49,11 +49,12 @@ def split_lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def folded_lines(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
-    """doc_id, line_no, line_id, check_id and line (lower case) of every line that counts."""
-    lines = docs.select(F.col(key).cast("long").alias("doc_id"), F.posexplode(split_lines(F.lower(F.col(text)))).alias("line_no", "line"))
+def folded_lines(docs: DataFrame, key: str, text: str, min_chars: int, order: str | None = None) -> DataFrame:
+    """doc_id (the key), rank (the order of preference), line_no, line_id, check_id and line
+    (lower case) of every line that counts."""
+    lines = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(order or key).cast("long").alias("rank"), F.posexplode(split_lines(F.lower(F.col(text)))).alias("line_no", "line"))
     lines = lines.where((F.char_length("line") >= min_chars) & F.col("line").rlike(r"[^\x20\x09-\x0D]"))
-    return lines.select("doc_id", "line_no", F.xxhash64("line").alias("line_id"), F.xxhash64(F.lit(1), F.col("line")).alias("check_id"), "line")
+    return lines.select("doc_id", "rank", "line_no", F.xxhash64("line").alias("line_id"), F.xxhash64(F.lit(1), F.col("line")).alias("check_id"), "line")
 
 
 def _segments(length: np.ndarray, parts: int, i: int) -> tuple[np.ndarray, np.ndarray]:
@@ -247,12 +248,13 @@ def _linked_inside(max_edits: int):
     return lambda cells: cells.groupBy("cell").applyInArrow(compare, "a bigint, b bigint")
 
 
-def classes(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", max_edits: int = 2, min_chars: int = 20, edit_chars: int = 10) -> DataFrame:
+def classes(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", max_edits: int = 2, min_chars: int = 20, edit_chars: int = 10, order: str | None = None) -> DataFrame:
     """One row for every line that counts: doc_id, line_no, class_doc_id, class_line_no (where
-    its class comes first) and kept."""
+    its class comes first) and kept. The ids are those of key; order names the column by
+    which a class's first line is told, before key, if it is not key itself."""
     if edit_chars <= max_edits:
         raise ValueError("a line needs more characters than edits")
-    lines = folded_lines(docs, key, text, min_chars)
+    lines = folded_lines(docs, key, text, min_chars, order)
     edited = lines.where(F.char_length("line") >= edit_chars)
     # one shuffle by key serves both the counting of a bucket and the look at its members
     members = entries(edited, max_edits).repartition("bucket")
@@ -265,8 +267,8 @@ def classes(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str =
 
     linked = linked_components(members, contents_of, _linked(max_edits), _linked_inside(max_edits), scratch)
 
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "line_no")
-    placed = scratch.keep(lines.select("doc_id", "line_no", "line_id", "check_id"), "places")
+    place = F.struct(F.col("rank").isNull().alias("last"), "rank", "doc_id", "line_no")
+    placed = scratch.keep(lines.select("doc_id", "rank", "line_no", "line_id", "check_id"), "places")
     texts = placed.groupBy("line_id").agg(F.min(place).alias("first"), F.min("check_id").alias("low"), F.max("check_id").alias("high"))
     clear = texts.where("low = high").select(F.col("line_id").alias("id"), "first")
     classed = clear.join(linked, "id", "left").withColumn("component", F.coalesce("component", "id"))

@@ -289,3 +289,19 @@ def test_near_copies_leave_one_document(spark, docs):
     kept = corpus_pipeline.near_dedup(spark, docs, "").collect()
     classes = {(r["id"], r["component_id"]) for r in neardup.classes(docs, Scratch(spark, "t-one")).collect()}
     assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == sorted({c for i, c in classes if i is not None})
+
+
+def test_rows_that_share_an_id_are_told_apart(spark):
+    ship(spark)
+    r = random.Random(9)
+    text = lambda: " ".join("".join(r.choices("abcdefgh", k=6)) for _ in range(40))
+    a, b, c, d = text(), text(), text(), text()
+    # id 5 has a copy of id 1 and two texts of its own; ids come in falling order; two rows have none
+    rows = [(5, b), (5, a + " more"), (5, c), (1, a), (None, d), (None, d + " more")]
+    frame = spark.createDataFrame([(i, t, "s", 0) for i, t in rows], "doc_id long, text string, source string, n_chars long").coalesce(1)
+    near = sorted(((x["doc_id"], x["text"]) for x in corpus_pipeline.near_dedup(spark, frame, "").collect()), key=str)
+    assert near == sorted([(5, b), (5, c), (1, a), (None, d)], key=str)
+    rows = [(5, f"{b}\n{c}"), (5, f"{a}\n{d}"), (1, f"x\n{a}")]
+    frame = spark.createDataFrame([(i, t, "s", 0) for i, t in rows], "doc_id long, text string, source string, n_chars long").coalesce(1)
+    left = sorted((x["doc_id"], x["text"]) for x in corpus_pipeline.line_dedup(spark, frame, "").collect())
+    assert left == sorted([(5, f"{b}\n{c}"), (5, d), (1, f"x\n{a}")])
