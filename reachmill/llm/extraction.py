@@ -10,7 +10,10 @@ whose gradient needs the same marginals.
 
 An element's text is kept when its marginal is above one half. White space inside a block
 becomes one space, blocks are trimmed and joined in page order by two line feeds. Scripts,
-styles, comments of the markup, controls and the page's head are never text.
+styles, comments of the markup, controls, inert templates, foreign frames, drawings and
+the page's head are never text. A head that is left open ends where a browser ends it: at
+the body, at an element that cannot stand in a head, or at text of its own. Formulas belong
+to the text around them; what objects, media and noscript hold is an element like others.
 
 Defined cases: a null or empty page, or one without main text, gives an empty text; torn
 pages are read as far as they go; repeated rows give equal results; other columns are not
@@ -34,7 +37,14 @@ from reachmill.llm.labelled_pages import labelled_pages
 #: Elements of the markup language by what they do to text.
 INLINE = set("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter output q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = set("head title script style noscript template button select option textarea iframe svg math object canvas audio video".split())
+SILENT = set("head title script style template button select option textarea iframe svg".split())
+#: What may stand in a head.
+IN_HEAD = set("html head base basefont bgsound link meta title script style template noscript noframes".split())
+#: Formulas, which run on in their line.
+FORMULA = set("math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom menclose mfenced maction msub msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr mlabeledtr mtd semantics annotation annotation-xml".split())
+INLINE |= FORMULA
+#: Elements whose content the model judges by itself, but which part no text by standing in it.
+FALLBACK = set("noscript object canvas audio video param source track".split())
 CLOSES_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul li dt dd td th tr".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}}
 HOLDS_SIBLINGS = set("ul ol dl menu table tbody thead tfoot".split())
@@ -67,7 +77,17 @@ class _Tree(HTMLParser):
         self.open: list[tuple[str, int]] = [("#page", 0)]
         self.silent, self.links, self.fresh = 0, 0, True
 
+    def _end_head(self, everything: bool = False) -> None:
+        """Close a head that is open; not from inside its title, scripts, styles or templates,
+        unless everything in it ends."""
+        names = [name for name, _ in self.open]
+        inside = names[names.index("head") + 1 :] if "head" in names else ["none"]
+        if everything or all(name == "noscript" for name in inside):
+            self._close("head", stop=())
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag == "body" or tag not in IN_HEAD:
+            self._end_head(everything=tag == "body")
         if tag in INLINE:
             if tag == "br":
                 self.handle_data(" ")
@@ -81,9 +101,9 @@ class _Tree(HTMLParser):
                 self.open.append((tag, -1))
                 self.silent += 1
             return
-        self.fresh = True
+        self.fresh |= tag not in FALLBACK
         if tag in CLOSES_P:
-            self._close("p", stop=CLOSES_P - {"p"})
+            self._close("p", stop=CLOSES_P - {"p"} | {"object"})
         for sibling in SIBLINGS.get(tag, ()):
             self._close(sibling, stop=HOLDS_SIBLINGS | ({"tr"} if tag in ("td", "th") else set()))
         if tag in VOID:
@@ -97,7 +117,7 @@ class _Tree(HTMLParser):
         self.open.append((tag, len(self.tag) - 1))
 
     def handle_endtag(self, tag: str) -> None:
-        if tag not in INLINE and tag not in SILENT:
+        if tag not in INLINE and tag not in SILENT and tag not in FALLBACK:
             self.fresh = True
         self._close(tag, stop=() if tag not in INLINE else CLOSES_P)
 
@@ -115,6 +135,8 @@ class _Tree(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if self.silent and not data.isspace():
+            self._end_head()
         if self.silent or not data:
             return
         element = next(n for _, n in reversed(self.open) if n >= 0)

@@ -162,6 +162,25 @@ def test_extraction_on_pages_it_has_not_seen_and_odd_ones():
     assert extraction.main_texts([None, "", page, "<p"], model) == ["", "", "T & t\n\nOne two three.\n\nFour.", ""]
 
 
+def test_an_open_head_ends_and_only_what_is_not_shown_is_silent():
+    model = extraction.default_model()
+    page = "<html><head><title>T</title>{}<body><nav><a href=/>Home</a></nav><article><h1>A title</h1><p>One sentence of some words{} and its end.</p>{}<p>Another sentence, with more words.</p></article></body></html>"
+    whole = "A title\n\nOne sentence of some words and its end.\n\nAnother sentence, with more words."
+    for head in ("</head>", "", "<meta charset=utf-8><style>p {{}}</style><script>'<p>'</script>", "<noscript><style>x</style></noscript>", "<noscript><img src=x></noscript></head>", "<template><p>no</p></template>"):
+        assert extraction.main_texts([page.format(head, "", "")], model) == [whole], head
+    no_body = page.replace("<body>", "").format("", "", "")
+    assert extraction.main_texts([no_body], model) == [whole]
+    bare = extraction._parse("<head><title>T</title> Words first <p>More</p>")
+    assert ["".join(b[1]).strip() for b in bare.blocks] == ["Words first", "More"]
+    # formulas run on, and media without content part no text
+    assert extraction.main_texts([page.format("", " <math><mi>x</mi><mo>=</mo><mn>2</mn></math>", "")], model) == [whole.replace("words and", "words x=2 and")]
+    assert extraction.main_texts([page.format("", "<audio src=a></audio><video><source src=b></video>", "")], model) == [whole]
+    for tag in ("noscript", "object", "canvas", "audio", "video"):
+        trees = extraction.forest([page.format("", "", f"<{tag}><p>This tells in words what is shown here.</p></{tag}>")])
+        assert "This tells in words what is shown here." in [text for _, text in trees.texts[0]], tag
+        assert "This tells in words what is shown here." in extraction.main_texts([page.format("", "", f"<{tag}><p>This tells in words what is shown here.</p></{tag}>")], model)[0], tag
+
+
 def test_signatures_shift_one_permutation():
     block = Block(["a b c d e", "", "x"], lower=True)
     sets, owner = neardup._sets(block, 3)
