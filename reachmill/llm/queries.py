@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from reachmill.llm import chat, classifier, exact, extraction, lines, mixing, neardup, pieces, quality, warc
+from reachmill.llm import audit, chat, classifier, codebooks, exact, extraction, lines, mixing, neardup, pieces, quality, simhash, warc
 from reachmill.llm.scratch import Scratch
 from reachmill.llm.shipping import ship
 
@@ -107,6 +107,25 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lang = F.coalesce(F.col("lang").cast("string"), F.lit(""))
+    failed = audit.failures(_table(spark, sf_dir, "documents"), Scratch(spark, "op11"), lang)
+    labelled = audit.with_labels(failed, _table(spark, sf_dir, "labels"), ["quality", "toxic"])
+    return audit.audit(labelled, "ABCDE", {"good_lost": "quality", "toxic_lost": "toxic"})
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.classes(_table(spark, sf_dir, "documents"), Scratch(spark, "op12"))
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "op13")
+    coded, books = codebooks.compressed(_table(spark, sf_dir, "embeddings"), scratch, "vec_id", "embedding", F.col("label"))
+    found = codebooks.with_label_error(scratch.keep(coded, "coded"))
+    return found.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(codebooks.digest(books)).alias("codebooks_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -120,13 +139,92 @@ QUERIES = {
         op8_main_text,
         op9_near_duplicates,
         op10_chat_format,
+        op11_filter_audit,
+        op12_simhash,
+        op13_vector_codes,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
 
 WORDS = r"""regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"""
 
+
+
+def _vector_code_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Every part compared with every entry in every round."""
+    steps = []
+    for turn in range(rounds + 1):
+        steps.append(f"""
+dist_{turn} as (
+  select x.rid, x.part, b.entry, sum((x.v - b.v) * (x.v - b.v)) d
+  from x join book_{turn} b on x.part = b.part and x.place = b.place group by all
+),
+near_{turn} as (select rid, part, arg_min(entry, d * {entries} + entry) entry, min(d) d from dist_{turn} group by rid, part)""")
+        if turn < rounds:
+            steps.append(f"""
+mean_{turn} as (
+  select x.part, n.entry, x.place, floor(sum(x.v) / count(*))::bigint v
+  from x join near_{turn} n on x.rid = n.rid and x.part = n.part group by all
+),
+book_{turn + 1} as (
+  select b.part, b.entry, b.place, coalesce(m.v, b.v) v from book_{turn} b
+  left join mean_{turn} m on b.part = m.part and b.entry = m.entry and b.place = m.place
+)""")
+    return f"""
+with kept as (
+  select vec_id, label, embedding, row_number() over (order by vec_id) - 1 rid from embeddings
+  where len(embedding) > 0 and len(list_filter(embedding, lambda e: e is null or not isfinite(e))) = 0
+),
+flat as (select rid, unnest(range(len(embedding))) pos, len(embedding) // {parts} width, unnest(embedding) e from kept),
+x as (select rid, pos // width part, pos % width place, floor(4096 * e::double)::bigint v from flat),
+book_0 as (select part, rid entry, place, v from x where rid < {entries}),{",".join(steps)},
+coded as (select rid, string_agg(printf('%02x', entry), '' order by part) code, sum(d)::bigint error from near_{rounds} group by rid),
+digest as (select sha256(string_agg(v::varchar, ',' order by part, entry, place)) codebooks_sha256 from book_{rounds})
+select vec_id, code, error, (sum(error) over (partition by label))::bigint label_error, codebooks_sha256
+from coded join kept using (rid), digest"""
+
+
 ORACLES = {
+    "op13_vector_codes": _vector_code_sql(),
+    "op11_filter_audit": rf"""
+with d as (
+  select doc_id, coalesce(lang, '') part, coalesce(text, '') body, {WORDS} w, min(doc_id) over (partition by coalesce(text, '')) first_id from documents
+),
+l as (select doc_id, max(quality) quality, max(toxic) toxic from labels group by doc_id),
+m as (
+  select part, len(w) < 200 a, 100 * len(list_distinct(w)) < 50 * len(w) b,
+    100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 3 * length(body) c, regexp_matches(body, '[#$%&*|]') d,
+    coalesce(d.doc_id > first_id, false) e, coalesce(quality = 1, false) good, coalesce(toxic = 1, false) bad
+  from d left join l on d.doc_id = l.doc_id
+),
+g as (select part, a, b, c, d, e, count(*) n, sum(good::int) good, sum(bad::int) bad from m group by all),
+f as (select unnest(['A', 'B', 'C', 'D', 'E']) f),
+o as (
+  select p.f || q.f || r.f || s.f || t.f filter_order from f p, f q, f r, f s, f t
+  where len(list_distinct([p.f, q.f, r.f, s.f, t.f])) = 5
+),
+ranked as (
+  select g.*, filter_order, least(
+    case when a then position('A' in filter_order) else 6 end, case when b then position('B' in filter_order) else 6 end,
+    case when c then position('C' in filter_order) else 6 end, case when d then position('D' in filter_order) else 6 end,
+    case when e then position('E' in filter_order) else 6 end) gone_at
+  from g, o
+),
+steps as (
+  select *, filter_order[step] letter,
+    case filter_order[step] when 'A' then a when 'B' then b when 'C' then c when 'D' then d else e end fails,
+    a::int + b::int + c::int + d::int + e::int n_fails
+  from ranked, (select unnest(range(1, 6))::int step)
+),
+summed as (
+  select part, filter_order, step, letter, coalesce(sum(n) filter (gone_at > step), 0)::bigint kept, coalesce(sum(n) filter (gone_at = step), 0)::bigint removed,
+    coalesce(sum(n) filter (fails and gone_at < step), 0)::bigint redundant, coalesce(sum(n) filter (fails and n_fails = 1), 0)::bigint unique_fails,
+    coalesce(sum(good) filter (gone_at = step), 0)::bigint good_lost, coalesce(sum(bad) filter (gone_at = step), 0)::bigint toxic_lost
+  from steps group by all
+)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) over (partition by part, letter))::bigint shapley
+from summed""",
     "op1_quality_rules": rf"""
 with d as (select row_number() over () rid, doc_id, source, coalesce(text, '') text, {WORDS} w from documents),
 grams as (

@@ -37,3 +37,9 @@ class Scratch:
             frame = frame.coalesce(1 + rows // 500_000)
         frame.write.mode("overwrite").parquet(target)
         return self.spark.read.schema(frame.schema).parquet(target)
+
+    def drop(self, name: str) -> None:
+        """Delete a table that no later step reads any more."""
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,0 +1,279 @@
+"""Filter audit, SimHash and vector codes against plain Python."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+from itertools import permutations
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from reachmill.llm import audit, codebooks, simhash
+from reachmill.llm.scratch import Scratch
+from reachmill.llm.shipping import ship
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.fixture(scope="module", autouse=True)
+def sent(spark):
+    ship(spark)
+
+
+# ---- filter audit -------------------------------------------------------
+def plain_audit(docs, labels):
+    """docs: (doc_id, text, lang); labels: (doc_id, quality, toxic)."""
+    first = {}
+    for i, text, _ in docs:
+        if i is not None and (text or "") not in first or i is not None and i < first[text or ""]:
+            first[text or ""] = i
+    quality, toxic = {}, {}
+    for i, q, t in labels:
+        quality[i], toxic[i] = max(quality.get(i, 0), q or 0), max(toxic.get(i, 0), t or 0)
+    found = {}
+    for i, text, lang in docs:
+        text = text or ""
+        words = WORD.findall(text)
+        fails = {
+            "A": len(words) < 200,
+            "B": 100 * len(set(words)) < 50 * len(words),
+            "C": 100 * len(re.findall("[A-Z]", text)) > 3 * len(text),
+            "D": bool(re.search(r"[#$%&*|]", text)),
+            "E": i is not None and first[text] < i,
+        }
+        found.setdefault(lang or "", []).append((fails, i is not None and quality.get(i) == 1, i is not None and toxic.get(i) == 1))
+    rows = set()
+    for part, members in found.items():
+        steps, shapley = {}, dict.fromkeys("ABCDE", 0)
+        for order in map("".join, permutations("ABCDE")):
+            left = members
+            for n, f in enumerate(order, 1):
+                gone = [m for m in left if m[0][f]]
+                before = [m for m in members if m not in left or any(m[0][g] for g in order[: n - 1])]
+                left = [m for m in left if not m[0][f]]
+                shapley[f] += len(gone)
+                steps[order, n] = (len(left), len(gone), sum(m[0][f] for m in before), sum(m[0][f] and sum(m[0].values()) == 1 for m in members), sum(m[1] for m in gone), sum(m[2] for m in gone))
+        rows |= {(part, order, n, *counts, shapley[order[n - 1]]) for (order, n), counts in steps.items()}
+    return rows
+
+
+def run_audit(spark, docs, labels, name):
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string").withColumn("digest", F.lit(1)).withColumn("id", F.lit("x")).withColumn("counts", F.lit(2))
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int").withColumn("id", F.lit(3))
+    failed = audit.failures(frame, Scratch(spark, name), F.coalesce("lang", F.lit("")))
+    labelled = audit.with_labels(failed, known, ["quality", "toxic"])
+    return [tuple(r) for r in audit.audit(labelled, "ABCDE", {"good_lost": "quality", "toxic_lost": "toxic"}).collect()]
+
+
+def test_audit_equals_plain_python(spark):
+    pick = random.Random(5)
+    vocabulary = [f"w{k}" for k in range(300)] + ["Big", "SHOUT", "a&b", "c|d", "é"]
+    texts = [None, "", " \t", "#"] + [" ".join(pick.choices(vocabulary, k=pick.choice([3, 150, 250, 400]))) for _ in range(40)] + ["x " * 250, "A" * 300, "y z " * 3000]
+    docs = [(k if k % 17 else None, pick.choice(texts), pick.choice(["en", "de", None, ""])) for k in range(150)]
+    docs += [(3, "same", "en"), (3, "same", "en"), (4, "same", "de")]
+    labels = [(k, pick.choice([0, 1, None]), pick.choice([0, 1])) for k in range(0, 150, 2)] + [(2, 1, 1), (2, 0, 0), (None, 1, 1)]
+    found = run_audit(spark, docs, labels, "audit")
+    assert len(found) == len(set(found)) == 3 * 600
+    assert set(found) == plain_audit(docs, labels)
+
+
+def test_audit_of_nothing_and_of_clean_rows(spark):
+    assert run_audit(spark, [], [], "audit-empty") == []
+    clean = " ".join(f"word{k}" for k in range(200))
+    found = run_audit(spark, [(1, clean, "en")], [], "audit-clean")
+    assert len(found) == 600 and {r[3:] for r in found} == {(1, 0, 0, 0, 0, 0, 0)}
+
+
+def test_one_text_of_a_third_of_all_rows(spark):
+    docs = [(k, "copy" if k % 3 == 0 else f"text {k}", "en") for k in range(3000)]
+    removed = {r[2]: r[4] for r in run_audit(spark, docs, [], "audit-hot") if r[1] == "EABCD"}
+    assert removed[1] == 999 and removed[2] == 2001
+
+
+def test_ranks_of_other_numbers_of_filters():
+    import numpy as np
+
+    orders = np.array([[0, 1, 2], [2, 0, 1]])
+    assert audit.removal_ranks(np.array([0, 1, 6]), orders).tolist() == [[4, 4], [1, 2], [2, 1]]
+    with pytest.raises(ValueError):
+        audit.audit(None, "AA", {})
+
+
+# ---- simhash ------------------------------------------------------------
+def plain_fingerprint(text, n=4):
+    words = re.sub(r"[A-Z]", lambda m: m[0].lower(), text or "")
+    words = WORD.findall(words)
+    runs = [" ".join(words[k : k + n]) for k in range(len(words) - n + 1)] if len(words) >= n else [" ".join(words)] if words else []
+    hashes = [xxhash.xxh64_intdigest(r.encode(), 42) for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(prints, ids, distance=4):
+    root = list(range(len(prints)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(prints)):
+        for b in range(a):
+            if bin(prints[a] ^ prints[b]).count("1") <= distance:
+                root[find(a)] = find(b)
+    least = {}
+    for k, i in enumerate(ids):
+        if i is not None:
+            least[find(k)] = min(least.get(find(k), i), i)
+    return [least.get(find(k)) for k in range(len(prints))]
+
+
+def test_fingerprints_and_components_equal_plain_python(spark):
+    pick = random.Random(9)
+    texts = [None, "", "\t \n", "One", "one", "a b\x0bc", "É é Z", "x " * 5000]
+    for _ in range(12):
+        words = [f"{pick.choice('abcdefgh')}{pick.randrange(900)}" for _ in range(pick.choice([5, 60, 300, 900]))]
+        texts.append(" ".join(words))
+        for changes in (1, 2, 4):
+            other = list(words)
+            for _ in range(changes):
+                other[pick.randrange(len(other))] = "Changed"
+            texts.append("  ".join(other).upper() if changes == 2 else "\n".join(other))
+    docs = [(None if k % 11 == 3 else 1000 - k // 2, t) for k, t in enumerate(texts)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("print", F.lit(0)).withColumn("id", F.lit("x"))
+    found = simhash.classes(frame, Scratch(spark, "simhash")).collect()
+    prints = [plain_fingerprint(t) for _, t in docs]
+    expected = zip([i for i, _ in docs], prints, plain_components(prints, [i for i, _ in docs]), strict=True)
+    order = lambda rows: sorted(rows, key=str)
+    assert order((r["id"], r["print"] % 2**64, r["component_id"]) for r in found) == order(expected)
+
+
+@pytest.mark.parametrize("distance", [1, 4])
+def test_every_link_is_found_among_planted_fingerprints(spark, distance, monkeypatch):
+    pick = random.Random(distance)
+    prints = []
+    for _ in range(60):
+        centre = pick.getrandbits(64)
+        prints.append(centre)
+        for _ in range(pick.choice([1, 5])):
+            flips = pick.sample(range(64), pick.choice([1, distance - 1, distance, distance + 1, distance + 2]))
+            prints.append(centre ^ sum(1 << b for b in flips))
+    centre = pick.getrandbits(64)
+    prints += [centre ^ (1 << a) ^ (1 << b) for a in range(0, 40) for b in range(a)]
+    signed = [p - 2**64 if p >= 2**63 else p for p in prints]
+    rows = spark.createDataFrame([(k, str(p)) for k, p in enumerate(signed)], "doc_id long, text string")
+    monkeypatch.setattr(simhash, "fingerprint", lambda text, n, seed: text.cast("long"))
+    found = {r["id"]: r["component_id"] for r in simhash.classes(rows, Scratch(spark, f"planted-{distance}"), distance=distance).collect()}
+    assert [found[k] for k in range(len(prints))] == plain_components(prints, list(range(len(prints))), distance)
+
+
+def test_chains_keep_every_pair_within_the_distance():
+    pick, distance = random.Random(1), 4
+    ring = simhash.segments(distance)
+    assert sum(w for _, w in ring) == 64
+    for _ in range(3000):
+        differing = sum(1 << b for b in pick.sample(range(64), pick.randrange(distance + 1)))
+        parts = [bin(differing >> at & (1 << width) - 1).count("1") for at, width in ring]
+        assert any(all(sum(parts[(b + k) % 5] for k in range(n)) <= simhash.budget(n, distance) for n in range(1, 5)) for b in range(5))
+
+
+def test_long_texts_are_hashed_in_portions(monkeypatch):
+    text = " ".join(f"word{k}" for k in range(500)).encode()
+    whole = simhash._fingerprint(text, 4, 42)
+    monkeypatch.setattr(simhash, "_PORTION", 13)
+    assert simhash._fingerprint(text, 4, 42) == whole == plain_fingerprint(text.decode())
+    assert simhash._fingerprint(b"  a  b  ", 4, 42) == plain_fingerprint("a b")
+    assert simhash._fingerprint(text, 1, 42) == plain_fingerprint(text.decode(), 1)
+
+
+def test_simhash_of_nothing(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert simhash.classes(empty, Scratch(spark, "simhash-empty")).collect() == []
+    with pytest.raises(ValueError):
+        simhash.classes(empty, Scratch(spark, "simhash-bad"), distance=0)
+
+
+# ---- vector codes -------------------------------------------------------
+def plain_codes(rows, parts=8, entries=16, rounds=6):
+    """rows: (id, vector, label) that are kept, in order. Every part against every entry."""
+    whole = [[math.floor(4096 * v) for v in vector] for _, vector, _ in rows]
+    width = len(whole[0]) // parts
+    cut = [[w[p * width : (p + 1) * width] for p in range(parts)] for w in whole]
+    books = [[cut[k][p] for k in range(min(entries, len(cut)))] for p in range(parts)]
+    square = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b, strict=True))
+
+    def nearest(part, book):
+        return min((square(part, e), k) for k, e in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            groups = {}
+            for c in cut:
+                groups.setdefault(nearest(c[p], books[p])[1], []).append(c[p])
+            books[p] = [[sum(v) // len(groups[k]) for v in zip(*groups[k], strict=True)] if k in groups else e for k, e in enumerate(books[p])]
+    found = [[nearest(c[p], books[p]) for p in range(parts)] for c in cut]
+    text = ",".join(str(v) for book in books for entry in book for v in entry)
+    return [("".join(f"{k:02x}" for _, k in f), sum(d for d, _ in f)) for f in found], hashlib.sha256(text.encode()).hexdigest()
+
+
+def run_codes(spark, rows, name):
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumn("x", F.lit(1)).withColumn("is_sum", F.lit(True)).withColumn("code", F.lit(""))
+    scratch = Scratch(spark, name)
+    coded, books = codebooks.compressed(frame, scratch, "vec_id", "embedding", F.col("label"))
+    found = codebooks.with_label_error(scratch.keep(coded, "coded"))
+    return found.select("id", "label", "code", "error", "label_error").collect(), codebooks.digest(books)
+
+
+def test_codes_equal_plain_python(spark):
+    pick = random.Random(3)
+    centres = [[pick.gauss(0, 1) for _ in range(24)] for _ in range(20)]
+    rows = [(k, [c + pick.gauss(0, 0.2) for c in pick.choice(centres)], pick.choice([None, 1, 2])) for k in range(400)]
+    rows += [(400 + k, rows[7][1], 3) for k in range(50)]
+    unusable = [(-1, None, 1), (-2, [], 1), (-3, [None] + [0.0] * 23, None), (-4, [float("nan")] * 24, 2), (-5, [float("inf")] + [1.0] * 23, 2)]
+    found, digest = run_codes(spark, unusable + rows, "codes")
+    expected, expected_digest = plain_codes(rows)
+    assert digest == expected_digest
+    assert {r["id"]: (r["code"], r["error"]) for r in found} == {rows[k][0]: e for k, e in enumerate(expected)}
+    by_label = {}
+    for (_, _, label), (_, error) in zip(rows, expected, strict=True):
+        by_label[label] = by_label.get(label, 0) + error
+    assert len(found) == len(rows) and all(r["label_error"] == by_label[r["label"]] for r in found)
+
+
+def test_ties_repeated_rows_and_few_vectors(spark):
+    same = [(5, [0.5] * 8, None), (5, [0.5] * 8, None), (None, [-0.25] * 8, 1)]
+    found, digest = run_codes(spark, same, "codes-few")
+    expected, expected_digest = plain_codes(same)
+    assert digest == expected_digest
+    assert sorted((r["code"], r["error"]) for r in found) == sorted(expected)
+    many = [(k, [float(k % 2)] * 8, k % 2) for k in range(100)]
+    found, digest = run_codes(spark, many, "codes-ties")
+    assert digest == plain_codes(many)[1] and {r["code"] for r in found} == {"00" * 8, "01" * 8}
+
+
+def test_codes_of_nothing_and_of_what_cannot_be_cut(spark):
+    assert run_codes(spark, [(1, None, 1)], "codes-empty")[0] == []
+    with pytest.raises(ValueError):
+        run_codes(spark, [(1, [1.0] * 9, 1)], "codes-nine")
+    with pytest.raises(ValueError):
+        run_codes(spark, [(1, [1.0] * 8, 1), (2, [1.0] * 16, 1)], "codes-ragged")
+
+
+def test_bounds_skip_comparisons_and_change_nothing():
+    import numpy as np
+
+    pick = np.random.default_rng(2)
+    x = pick.integers(-4000, 4000, (500, 4))
+    history = [x[:8].copy()]
+    own, stamp, bound = np.zeros(500, np.int32), np.full(500, -1, np.int32), np.zeros(500, np.float32)
+    skipped = 0
+    for turn in range(6):
+        squares = codebooks.assigned(x, np.array(history), own, stamp, bound)
+        every = ((x[:, None] - history[-1][None]) ** 2).sum(axis=2)
+        assert (every.argmin(axis=1) == own).all() and (every.min(axis=1) == squares).all()
+        skipped += int((stamp < turn).sum())
+        history.append(np.array([x[own == k].sum(axis=0) // max(1, (own == k).sum()) if (own == k).any() else history[-1][k] for k in range(8)]))
+    assert skipped > 500
