@@ -43,6 +43,7 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         joined = small.join(least, "u")
         moved = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         now = scratch.keep(moved.where("u <> v").distinct(), f"{name}-{turn}", 2 * state[0])
+        scratch.drop(f"{name}-{turn}-*", f"{name}-{turn - 1}")
         after = print_of(now)
         if after == state:
             break
@@ -113,4 +114,6 @@ def linked_components(
     cells = placed.withColumn("_cell", F.explode(F.when(other, own).otherwise(down)))
     cells = cells.select(F.struct("bucket", "_cell").alias("cell"), F.when(other, 0).otherwise(1).alias("side"), "id", "component")
     late = scratch.keep(linked_inside(cells.join(contents, "id")), "links-blocks")
-    return components(links.union(late), scratch, "all")
+    found = components(links.union(late), scratch, "all")
+    scratch.drop("inside", "ids", "contents", "links-*", "first-*")
+    return found

@@ -23,8 +23,9 @@ finds the lines whose first one agrees by chance, and these always stay.
 
 Defined cases: a null text has no line, an empty one a single empty line; rows without id
 come last in order; rows with the same key are not told apart: the same line of the same key
-counts once and stays in each, so rows whose ids may repeat need a key of their own and
-their id as the order of preference; an empty table gives an empty result. Other columns are not read.
+counts once and stays in each, so rows whose ids may repeat, or are no integers, need an
+integer key of their own and their id, of any type that can be sorted, as the order of
+preference; an empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -52,7 +53,7 @@ def split_lines(text: Column) -> Column:
 def folded_lines(docs: DataFrame, key: str, text: str, min_chars: int, order: str | None = None) -> DataFrame:
     """doc_id (the key), rank (the order of preference), line_no, line_id, check_id and line
     (lower case) of every line that counts."""
-    lines = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(order or key).cast("long").alias("rank"), F.posexplode(split_lines(F.lower(F.col(text)))).alias("line_no", "line"))
+    lines = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(order or key).alias("rank"), F.posexplode(split_lines(F.lower(F.col(text)))).alias("line_no", "line"))
     lines = lines.where((F.char_length("line") >= min_chars) & F.col("line").rlike(r"[^\x20\x09-\x0D]"))
     return lines.select("doc_id", "rank", "line_no", F.xxhash64("line").alias("line_id"), F.xxhash64(F.lit(1), F.col("line")).alias("check_id"), "line")
 
@@ -266,6 +267,7 @@ def classes(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str =
         return scratch.keep(wanted, "wanted").dropDuplicates(["id"])
 
     linked = linked_components(members, contents_of, _linked(max_edits), _linked_inside(max_edits), scratch)
+    scratch.drop("wanted")
 
     place = F.struct(F.col("rank").isNull().alias("last"), "rank", "doc_id", "line_no")
     placed = scratch.keep(lines.select("doc_id", "rank", "line_no", "line_id", "check_id"), "places")

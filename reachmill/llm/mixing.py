@@ -5,15 +5,19 @@ A document may belong to several sources. Documents are aggregated by membership
 max_repeats times, each further time at a higher, convex cost; every source has a quota.
 The cheapest flow from patterns to sources says how many words each pattern gives. Whole
 documents are then chosen in the order of a seeded hash until their pattern's words are
-given: all of them as often as fits, and the first ones in that order once more.
+given: all of them as often as fits, and the first ones in that order once more. That
+choice is a cut in the order, so one small row for each pattern says of any document,
+wherever it lies, how often it is taken: texts are neither numbered nor shuffled.
 
 What reaches the driver is one row per pattern. Patterns are combinations of the sources
 that a mix names, so a mix of too many is refused (max_patterns), never cut.
 
 Defined cases: a null text has size 0 and gives nothing; a null source is a source, last
-in order; rows with the same id are documents of their own and share one place in the
-order; empty tables give empty results; without any word every target is 0. Other columns
-pass through; names beginning with "_mix" are reserved.
+in order; rows with the same id are documents of their own that follow each other in the
+order, by size and by the column tie (a hash of the text, say); rows equal in all three are
+taken or left together; empty tables give empty results; without any word every target is
+0. Other columns pass through; "place" and "mix_times" are replaced, "_mix_cut" and "no"
+must not be there.
 """
 
 from __future__ import annotations
@@ -121,6 +125,90 @@ def cheapest_flow(supplies: list[tuple[frozenset, float]], targets: dict, max_re
         open_quota[end] -= amount
 
 
+def place(members: Column, size: Column, key: Column, tie: Column | None = None, seed: int = 7, slices: int = 256) -> Column:
+    """Where a document stands: its membership pattern, and its place in the pattern's seeded
+    order, first by the hash of its key, then by size and tie. slices splits the order into
+    ranges that are summed apart from each other, so that a pattern with a third of all
+    rows is no hot spot; the choice does not depend on it."""
+    text = F.concat_ws(":", F.lit(str(seed)), F.coalesce(key.cast("string"), F.lit("")))
+    draw = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
+    return F.struct(
+        F.array_sort(F.array_distinct(members)).alias("pattern"),
+        F.shiftright(draw, 52 - (slices - 1).bit_length()).cast("int").alias("slice"),
+        F.struct(draw.alias("draw"), size.cast("long").alias("size"), (F.lit(0) if tie is None else tie).cast("long").alias("tie")).alias("at"),
+    )
+
+
+def _name(pattern: Column) -> Column:
+    """A number for a pattern. The hash of an array passes over nulls, so its size counts too."""
+    return F.xxhash64(F.size(pattern), pattern)
+
+
+def plan(placed: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3, max_patterns: int = 10_000) -> tuple[DataFrame, dict[str | None, float], dict[str | None, int]]:
+    """What to take of each pattern (one row for each, at most max_patterns), and the sources'
+    targets and sizes. placed has the column place and is read several times: hand in a
+    written table. Only the slice in which a pattern's cut lies is ever sorted."""
+    rows = placed.select(_name(F.col("place.pattern")).alias("no"), "place.pattern", "place.slice", "place.at", F.col("place.at.size").alias("size"))
+    patterns = rows.groupBy("pattern").agg(F.sum("size").alias("words")).limit(max_patterns + 1).collect()
+    if len(patterns) > max_patterns:
+        raise ValueError(f"more than {max_patterns} membership patterns: name fewer sources in the mix")
+    supplies = [(frozenset(r["pattern"]), float(r["words"])) for r in patterns]
+    source_words: dict[str | None, int] = {}
+    for r in patterns:
+        for s in set(r["pattern"]):
+            source_words[s] = source_words.get(s, 0) + r["words"]
+    # the corpus is shared out: a word that several sources have is there once
+    targets = quotas(source_words, sum(r["words"] for r in patterns), weights, max_repeats)
+    flow = cheapest_flow(supplies, targets, max_repeats)
+
+    given = [(r["pattern"], int(f // r["words"]) if r["words"] else 0, float(f % r["words"]) if r["words"] else 0.0) for r, f in zip(patterns, flow, strict=True)]
+    schema = T.StructType([rows.schema["pattern"], T.StructField("whole", T.IntegerType()), T.StructField("rest", T.DoubleType())])
+    shares = placed.sparkSession.createDataFrame(given, schema).select(_name(F.col("pattern")).alias("no"), "whole", "rest")
+    return _cuts(rows.drop("pattern"), shares, max_repeats), targets, source_words
+
+
+def _cuts(rows: DataFrame, shares: DataFrame, max_repeats: int) -> DataFrame:
+    """A row for each pattern: whole (times that all of it is taken), and which documents are
+    taken once more: those in slices before cut_slice, those of it up to cut, and closing,
+    the one further document that comes closest to what is left.
+
+    What has one row a pattern is broadcast, or else every document of a pattern would
+    move to one task to meet that row."""
+    in_order = Window.partitionBy("no").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy("no", "slice").agg(F.sum("size").alias("here"))
+    sums = sums.withColumn("before", F.coalesce(F.sum("here").over(in_order), F.lit(0))).join(F.broadcast(shares), "no")
+    crossed = F.struct("slice", F.col("before").alias("before"))
+    open_ = sums.groupBy("no").agg(F.min(F.when(F.col("before") + F.col("here") > F.col("rest"), crossed)).alias("crossed"), F.sum("here").alias("all"))
+    shares = shares.join(open_, "no").select("no", "whole", "rest", "all", F.coalesce("crossed.slice", F.lit(1 << 30)).alias("cut_slice"), F.coalesce("crossed.before", "all").alias("before"))
+
+    # rows that share a place are taken or left together
+    upto = Window.partitionBy("no").orderBy("at")
+    inside = rows.join(F.broadcast(shares), "no").where("slice = cut_slice").withColumn("reached", F.col("before") + F.sum("size").over(upto))
+    last = inside.where("reached <= rest").groupBy("no").agg(F.max("at").alias("cut"), F.max("reached").alias("reached"))
+    shares = shares.join(last, "no", "left").withColumn("gap", F.col("rest") - F.coalesce("reached", "before")).drop("reached", "all", "before")
+
+    off = F.abs(F.col("size") - F.col("gap"))
+    left = rows.join(F.broadcast(shares), "no").where(~_fits() & (off < F.col("gap")) & (F.col("whole") < max_repeats))
+    closing = left.groupBy("no").agg(F.min(F.struct(off.alias("off"), "at")).alias("closing"))
+    return shares.join(closing, "no", "left").select("no", "whole", "cut_slice", "cut", F.col("closing.at").alias("closing"))
+
+
+def _fits() -> Column:
+    return (F.col("slice") < F.col("cut_slice")) | ((F.col("slice") == F.col("cut_slice")) & F.coalesce(F.col("at") <= F.col("cut"), F.lit(False)))
+
+
+def with_times(placed: DataFrame, plan: DataFrame, name: str = "mix_times") -> DataFrame:
+    """placed with how often each row is taken. The rows stay where they are: what is
+    broadcast has one row a pattern."""
+    cuts = F.broadcast(plan.select("no", F.struct("*").alias("_mix_cut")))
+    joined = placed.join(cuts, _name(F.col("place.pattern")) == F.col("no")).drop("no")
+    at, cut = F.col("place.at"), F.col("_mix_cut")
+    before = (F.col("place.slice") < cut["cut_slice"]) | ((F.col("place.slice") == cut["cut_slice"]) & (at <= cut["cut"]))
+    more = F.coalesce(before, F.lit(False)) | F.coalesce(at == cut["closing"], F.lit(False))
+    times = F.when(F.col("place.at.size") > 0, cut["whole"] + more.cast("int")).otherwise(0)
+    return joined.withColumn(name, times.cast("int")).drop("_mix_cut")
+
+
 def taken(
     docs: DataFrame,
     members: Column,
@@ -131,62 +219,10 @@ def taken(
     seed: int = 7,
     max_patterns: int = 10_000,
     slices: int = 256,
+    tie: Column | None = None,
 ) -> tuple[DataFrame, dict[str | None, float], dict[str | None, int]]:
-    """docs with mix_size and mix_times (how often the document is taken), the sources'
-    targets and sizes. members is an array of sources. slices splits the seeded order of a
-    pattern into ranges that are summed apart from each other, so a pattern with a third
-    of all rows is no hot spot; the result does not depend on it."""
-    drawn = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(key).cast("string"), F.lit("")))), 1, 13), 16, 10).cast("long")
-    sized = docs.withColumn("_mix_set", F.array_sort(F.array_distinct(members))).withColumn("mix_size", size.cast("long")).withColumn("_mix_draw", drawn)
-    sized = sized.withColumn("_mix_slice", F.shiftright("_mix_draw", 52 - (slices - 1).bit_length()).cast("int"))
-
-    patterns = sized.groupBy("_mix_set").agg(F.sum("mix_size").alias("words")).limit(max_patterns + 1).collect()
-    if len(patterns) > max_patterns:
-        raise ValueError(f"more than {max_patterns} membership patterns: name fewer sources in the mix")
-    supplies = [(frozenset(r["_mix_set"]), float(r["words"])) for r in patterns]
-    source_words: dict[str | None, int] = {}
-    for r in patterns:
-        for s in set(r["_mix_set"]):
-            source_words[s] = source_words.get(s, 0) + r["words"]
-    # the corpus is shared out: a word that several sources have is there once
-    targets = quotas(source_words, sum(r["words"] for r in patterns), weights, max_repeats)
-    flow = cheapest_flow(supplies, targets, max_repeats)
-
-    rows = [(r["_mix_set"], int(f // r["words"]) if r["words"] else 0, float(f % r["words"]) if r["words"] else 0.0) for r, f in zip(patterns, flow, strict=True)]
-    schema = T.StructType([*sized.select("_mix_set").schema, T.StructField("_mix_whole", T.IntegerType()), T.StructField("_mix_rest", T.DoubleType())])
-    plan = docs.sparkSession.createDataFrame(rows, schema)
-    named = sized.withColumn("_mix_no", F.xxhash64("_mix_set"))
-    plan = plan.withColumn("_mix_no", F.xxhash64("_mix_set")).drop("_mix_set")
-    return _draw(named, plan, key, max_repeats), targets, source_words
-
-
-def _draw(named: DataFrame, plan: DataFrame, key: str, max_repeats: int) -> DataFrame:
-    """Choose documents: each pattern's rest goes to the first ones in the seeded order that
-    fit whole, and to the one further document that comes closest to what is left.
-
-    What has one row a pattern (at most max_patterns, as counted) is broadcast, or else
-    every document of a pattern would move to one task to meet that row."""
-    by_slice = Window.partitionBy("_mix_no").orderBy("_mix_slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = named.groupBy("_mix_no", "_mix_slice").agg(F.sum("mix_size").alias("_mix_sum"))
-    starts = slices.withColumn("_mix_from", F.coalesce(F.sum("_mix_sum").over(by_slice), F.lit(0))).drop("_mix_sum")
-    starts = starts.join(F.broadcast(plan), "_mix_no")
-    inside = Window.partitionBy("_mix_no", "_mix_slice").orderBy("_mix_draw", "mix_size")
-    placed = (
-        named.join(starts, ["_mix_no", "_mix_slice"])
-        .withColumn("_mix_rank", F.row_number().over(inside))
-        .withColumn("_mix_end", F.col("_mix_from") + F.sum("mix_size").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-    )
-    fits = F.col("_mix_end") <= F.col("_mix_rest")
-    placed = placed.withColumn("_mix_first", fits & (F.col("mix_size") > 0))
-
-    # what the whole documents leave open, and the document that closes it best
-    reached = placed.groupBy("_mix_no").agg(F.max(F.when(fits, F.col("_mix_end"))).alias("_mix_reached"))
-    gap = F.col("_mix_rest") - F.coalesce(F.col("_mix_reached"), F.lit(0))
-    candidates = placed.where(~fits).join(F.broadcast(reached), "_mix_no").withColumn("_mix_off", F.abs(F.col("mix_size") - gap)).where((F.col("_mix_off") < gap) & (F.col("_mix_whole") < max_repeats))
-    place = F.struct("_mix_off", "_mix_draw", "_mix_slice", "_mix_rank")
-    closing = candidates.groupBy("_mix_no").agg(F.min(place).alias("_mix_closing"))
-    closing = closing.select("_mix_no", F.col("_mix_closing._mix_slice").alias("_mix_slice"), F.col("_mix_closing._mix_rank").alias("_mix_rank"), F.lit(True).alias("_mix_last"))
-    joined = placed.join(F.broadcast(closing), ["_mix_no", "_mix_slice", "_mix_rank"], "left")
-    times = F.col("_mix_whole") + F.when(F.col("_mix_first") | F.col("_mix_last"), 1).otherwise(0)
-    joined = joined.withColumn("mix_times", F.when(F.col("mix_size") > 0, times).otherwise(0).cast("int"))
-    return joined.drop(*[c for c in joined.columns if c.startswith("_mix")])
+    """docs (a written table, as it is read several times) with mix_times, how often each
+    document is taken, the sources' targets and sizes. members is an array of sources."""
+    placed = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in ("place", "mix_times")), place(members, size, F.col(key), tie, seed, slices).alias("place"))
+    found, targets, words = plan(placed.select("place"), weights, max_repeats, max_patterns)
+    return with_times(placed, found).drop("place"), targets, words

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
+_NOTED: list[list[Scratch]] = []
 
 
 def folder(spark: SparkSession) -> str:
@@ -27,6 +28,8 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
+        if _NOTED:
+            _NOTED[-1].append(self)
 
     def keep(self, frame: DataFrame, name: str, rows: int | None = None) -> DataFrame:
         """Write the table and read it back: cuts the lineage and survives lost executors.
@@ -38,8 +41,25 @@ class Scratch:
         frame.write.mode("overwrite").parquet(target)
         return self.spark.read.schema(frame.schema).parquet(target)
 
-    def drop(self, name: str) -> None:
-        """Delete a table that no later step reads any more."""
+    def drop(self, *names: str) -> None:
+        """Delete tables that no later step reads any more; * stands for any letters."""
         context = self.spark.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        path = context._jvm.org.apache.hadoop.fs.Path
+        for name in names:
+            target = path(f"{self.path}/{name}")
+            files = target.getFileSystem(context._jsc.hadoopConfiguration())
+            for found in files.globStatus(target) or []:
+                files.delete(found.getPath(), True)
+
+
+class Released:
+    """Within this block every new Scratch is noted; at its end their folders are deleted.
+    For callers that have by then written what they want to keep elsewhere."""
+
+    def __enter__(self) -> Released:
+        _NOTED.append([])
+        return self
+
+    def __exit__(self, *_) -> None:
+        for scratch in _NOTED.pop():
+            scratch.drop("*")

@@ -197,6 +197,38 @@ def test_mix_comes_near_its_targets(spark, none):
         mixing.taken(frame, F.array("source"), F.col("size"), max_patterns=2)
 
 
+def test_overlapping_sources_are_mixed_in_spark(spark):
+    r = random.Random(4)
+    sets = [["a"], ["b"], ["a", "b"], ["b", "a", "b"], [None, "c"], ["c"], ["a", "b", "c"], [None]]
+    rows = [(i, r.randint(0, 60), sets[0] if i % 3 == 0 else r.choice(sets), 1, 2, 3) for i in range(1200)]
+    frame = spark.createDataFrame(rows, "doc_id long, size long, sources array<string>, mix_times int, place int, slice int")
+    drawn, targets, words = mixing.taken(frame, F.col("sources"), F.col("size"))
+    found = drawn.collect()
+    assert len(found) == 1200 and drawn.columns == ["doc_id", "size", "sources", "slice", "mix_times"]
+    assert words == {s: sum(n for _, n, of, *_ in rows if s in of) for s in ("a", "b", "c", None)}
+    assert sum(targets.values()) == pytest.approx(sum(n for _, n, *_ in rows))
+    # each pattern gives what the flow says, up to half a document
+    supplies = {}
+    for _, n, of, *_ in rows:
+        supplies[frozenset(of)] = supplies.get(frozenset(of), 0.0) + n
+    flow = mixing.cheapest_flow(list(supplies.items()), targets)
+    given = dict.fromkeys(supplies, 0)
+    for x in found:
+        given[frozenset(x["sources"])] += x["size"] * x["mix_times"]
+    for (members, _), wanted in zip(supplies.items(), flow, strict=True):
+        assert abs(given[members] - wanted) <= 30
+    assert max(x["mix_times"] for x in found) <= 3
+
+
+def test_rows_without_id_are_mixed_one_by_one(spark):
+    rows = [(None, f"{k} " * (1 + k % 50), f"s{k % 2}") for k in range(600)] + [(7, "same text", "s0")] * 50
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("size", mixing.n_words(F.col("text")))
+    drawn, targets, _ = mixing.taken(frame, F.array("source"), F.col("size"), tie=F.xxhash64("text"))
+    got = {x["source"]: x["n"] for x in drawn.groupBy("source").agg(F.sum(F.col("size") * F.col("mix_times")).alias("n")).collect()}
+    assert all(abs(got[s] - target) <= 100 for s, target in targets.items())
+    assert drawn.where("doc_id = 7").select("mix_times").distinct().count() == 1
+
+
 def test_archives_come_back_with_revisits(spark):
     ship(spark)
     rows = [(5, "u5", "<p>a</p>", "x"), (3, None, "<p>a</p>", "x"), (9, "u\n9", "<p>a</p>", None), (4, "u4", None, "x"), (6, "u6", "", "x"), (None, "n", "<p>a</p>", "x"), (7, "é", LONG, "x"), (3, None, "<p>a</p>", "x")]
@@ -285,6 +317,24 @@ def test_every_stage_takes_odd_rows_and_none(spark, docs, none):
     assert {r["doc_id"] for r in at.collect()} <= {r["doc_id"] for r in docs.collect()}
 
 
+CLASHING = ["_row", "row", "_copy", "_id", "_gone", "mix_times", "place", "doc", "rest", "no", "kept", "rank", "line_no", "base_failed", "n_words", "host_rejected", "component_id", "id", "a.b"]
+
+
+def test_stages_carry_columns_of_any_name_and_ids_of_any_type(spark, docs):
+    odd = docs.select(F.col("doc_id").cast("string").alias("doc_id"), *[docs[c] for c in docs.columns if c != "doc_id"])
+    odd = odd.withColumns({c: F.coalesce("doc_id", F.lit("none")) for c in CLASHING})
+    plain = {}
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        found = stage(spark, odd, "")
+        assert found.columns == odd.columns, name
+        left = found.collect()
+        assert left and all(r[c] == (r["doc_id"] or "none") for r in left for c in CLASHING), name
+        plain[name] = sorted(map(str, (r["text"] for r in left)))
+    # the rules, and which lines and near copies go, do not hang on the type of the ids
+    same = sorted(str(r["text"]) for r in corpus_pipeline.quality_rules(spark, docs, "").collect())
+    assert plain["quality rules"] == same
+
+
 def test_near_copies_leave_one_document(spark, docs):
     kept = corpus_pipeline.near_dedup(spark, docs, "").collect()
     classes = {(r["id"], r["component_id"]) for r in neardup.classes(docs, Scratch(spark, "t-one")).collect()}
