@@ -199,7 +199,7 @@ def gold_active_grid(v: Views) -> DataFrame:
 
 @query
 def gold_reach_delta(v: Views) -> DataFrame:
-    return timeline.reach_deltas(v.flat_snapshots)
+    return timeline.reach_deltas(v.flat_snapshots, silver_ad_spend(v))
 
 
 @query

@@ -79,16 +79,26 @@ def between_days(start: date | None, end: date | None, day: str = "fecha") -> Co
     return condition
 
 
-def in_days(start: date | None, end: date | None, day: str = "fecha") -> Column:
+def in_days(start: date | None, end: date | None, day: str | Column = "fecha") -> Column:
     """Inclusive range on a date column; an open end is None."""
-    condition = F.lit(True)
+    condition, day = F.lit(True), F.col(day) if isinstance(day, str) else day
     if start is not None:
-        condition = condition & (F.col(day) >= F.lit(start))
+        condition = condition & (day >= F.lit(start))
     if end is not None:
-        condition = condition & (F.col(day) <= F.lit(end))
+        condition = condition & (day <= F.lit(end))
     return condition
 
 
+def on_days(days: list[date], stored_in_parts: bool = False) -> Column:
+    """Some single days, repeated on the partition columns of a table laid out by them, so
+    that Spark reads the folders of these days alone."""
+    condition = F.col("fecha").isin(days) if days else F.lit(False)
+    if not stored_in_parts or not days:
+        return condition
+    year, month, dom = (F.col(c) for c in DATE_PARTS)
+    return condition & (year * 10000 + month * 100 + dom).isin([_yyyymmdd(d) for d in days])
+
+
 def _yyyymmdd(day: date) -> int:
     return day.year * 10000 + day.month * 100 + day.day
 

@@ -7,13 +7,11 @@ spend (fecha, ad_id, product_id, product_name, daily_spend).
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reachmill.functions.dates import in_days
 from reachmill.functions.ratios import money_sum
+from reachmill.operators.adstate import ad_state, grown
 
 
 def observed_days(snapshots: DataFrame) -> DataFrame:
@@ -87,19 +85,15 @@ def _from_start(known: Column) -> Column:
     return F.when(start.isNotNull(), rest)
 
 
-def reach_deltas(snapshots: DataFrame) -> DataFrame:
-    """Reach each snapshot added to the ad's previous one.
+def reach_deltas(snapshots: DataFrame, spend: DataFrame) -> DataFrame:
+    """New reach of every ad and snapshot day, undated ones included.
 
     Snapshots are cumulative. The first counts in full; after that the difference
     to the previous snapshot row of the ad counts, however many days lie between,
     and a fall counts as 0. Two snapshots of one day are added together.
     """
-    by_day = Window.partitionBy("ad_id").orderBy("fecha")
-    return (
-        snapshots.groupBy("fecha", "ad_id")
-        .agg(F.sum("reach").alias("alcance_acumulado"))
-        .withColumn("previous", F.lag("alcance_acumulado").over(by_day))
-        .select("fecha", "ad_id", _growth("alcance_acumulado", "previous").alias("alcance"))
+    return ad_state(snapshots, spend).select("ad_id", F.inline(grown(F.col("days")))).select(
+        "fecha", "ad_id", F.col("added").alias("alcance")
     )
 
 
@@ -109,35 +103,7 @@ def spend_by_ad_day(spend: DataFrame) -> DataFrame:
     )
 
 
-def around(snapshots: DataFrame, start: date | None, end: date | None) -> DataFrame:
-    """As many snapshot rows as the days of a range depend on.
-
-    Those of the range, those without a day, and of each ad its last day before the
-    range, from which growth is counted, and its first after it; both carry the ad's
-    earliest start on their side. The rest of history is reduced map-side and has no
-    part in windows, grid or joins. `ad_days` of the result, taken for the range only,
-    is that of all snapshots.
-    """
-    slim = snapshots.select("ad_id", "fecha", "ad_delivery_start_time", "reach")
-    inside = in_days(start, end)
-    is_before = F.lit(False) if start is None else F.col("fecha") < F.lit(start)
-    by_day = slim.where(~inside).groupBy("ad_id", "fecha").agg(
-        F.min("ad_delivery_start_time").alias("ad_delivery_start_time"), F.sum("reach").alias("reach")
-    )
-    nearest = F.struct(
-        F.when(is_before, F.datediff("fecha", F.lit("1970-01-01")))
-        .otherwise(-F.datediff("fecha", F.lit("1970-01-01"))).alias("near"), "fecha", "reach"
-    )
-    outside = by_day.groupBy("ad_id", is_before.alias("before")).agg(
-        F.max(nearest).alias("day"), F.min("ad_delivery_start_time").alias("ad_delivery_start_time")
-    )
-    kept = outside.select("ad_id", "day.fecha", "ad_delivery_start_time", "day.reach")
-    return slim.where(inside | F.col("fecha").isNull()).unionByName(kept)
-
-
-def ad_days(
-    snapshots: DataFrame, spend: DataFrame, promoted: DataFrame | None = None
-) -> DataFrame:
+def ad_days(snapshots: DataFrame, spend: DataFrame) -> DataFrame:
     """The active grid with each day's spend and reach already on it.
 
     Same rows and values as `active_grid` left-joined with `spend_by_ad_day` and
@@ -148,11 +114,7 @@ def ad_days(
     still in window order, and exploding the stretches then fills the gaps. Both
     tables are reduced map-side before they are shuffled, and the grid itself comes
     into being after the last shuffle.
-
-    `promoted` is the product of each ad, by default `ad_product(spend)`; it is handed in
-    where `spend` is that of some days only.
     """
-    promoted = ad_product(spend) if promoted is None else promoted
     known = calendar(snapshots).scalar()
     facts = _facts(snapshots, spend, known)
 
@@ -182,7 +144,7 @@ def ad_days(
     length = F.greatest(end_pos - first_pos, F.lit(0))
     stretch = (
         per_ad.where(start.isNotNull())
-        .join(promoted, "ad_id", "left")
+        .join(ad_product(spend), "ad_id", "left")
         .withColumn("day", F.explode(F.slice(all_days, first_pos, length)))
         .where(F.col("day") >= start)
     )

@@ -129,7 +129,7 @@ def test_ad_days_equal_grid_with_joins(lake, rows):
     joined = (
         timeline.active_grid(lake.snapshots, lake.spend)
         .join(timeline.spend_by_ad_day(lake.spend), ["fecha", "ad_id"], "left")
-        .join(timeline.reach_deltas(lake.snapshots), ["fecha", "ad_id"], "left")
+        .join(timeline.reach_deltas(lake.snapshots, lake.spend), ["fecha", "ad_id"], "left")
     )
     direct = timeline.ad_days(lake.snapshots, lake.spend)
     columns = ["fecha", "ad_id", "product_id", "product_name", "fecha_inicio_anuncio"]
