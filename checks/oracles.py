@@ -540,6 +540,88 @@ from events where event_type = 'signup'
 """
 )
 
+ORACLES["t_landing_archived"] = ORACLES["t_landing_documents"]
+
+ORACLES["t_capture_reset"] = sql(
+    """
+select cast(event_id as varchar) as event_id, epoch_us(ts) as timestamp, product_id, product_name, quantity,
+       cast(unit_price as double) as unit_price, cast(total_amount as double) as total_amount, region, channel,
+       null as raw
+from (select * from fx_sales union all select * from fx_sales where event_id % 5 = 0) t
+union all
+select null, null, null, null, null, null, null, null, null,
+       unnest(['signup', '{"event_id":"' || cast(event_id as varchar) || '","quantity":"two"}'])
+from events where event_type = 'signup'
+"""
+)
+
+EVENT_TEXTS = """
+x_events as (
+  select cast(event_id as varchar) as event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' as timestamp,
+         product_id, product_name, quantity, cast(unit_price as double) as unit_price,
+         cast(total_amount as double) as total_amount, region, channel
+  from (select * from fx_sales union all select * from fx_sales where event_id % 5 = 0) t)
+"""
+
+ORACLES["t_capture_events"] = sql("select 1 as total_events, * from x_events", EVENT_TEXTS)
+
+ORACLES["t_parse_events"] = sql(
+    """
+select *, epoch_us(timestamp '2024-02-01 00:00:00') as enqueued_time, null as raw from x_events
+union all
+select null, null, null, null, null, null, null, null, null, epoch_us(timestamp '2024-02-01 00:00:00'), event_type
+from events where event_type = 'signup'
+""",
+    EVENT_TEXTS,
+)
+
+TREE = """
+x_tree as (
+  select *, sum(female + male) over (partition by ad_id, fecha) as total, 1 as unknown from fx_meta)
+"""
+
+ORACLES["bronze_meta_tree"] = sql(
+    """
+select cast(fecha as varchar) as fecha, ad_id, cast(total as bigint) as eu_total_reach,
+       cast(ad_delivery_start_time as varchar) as ad_delivery_start_time, 'All' as target_gender,
+       '18,65' as target_ages, 'site,app' as publisher_platforms, country, age_range, female, male, unknown
+from x_tree
+""",
+    TREE,
+)
+
+ORACLES["h_assemble_days"] = sql(
+    """
+select cast(fecha as varchar) as extraction_date, cast(fecha as varchar) || 'T06:30:00.000000+00:00' as extraction_timestamp,
+       (select count(distinct ad_id) from fx_meta m where m.fecha = t.fecha) as total_ads, ad_id as id,
+       cast(total as bigint) as eu_total_reach, cast(ad_delivery_start_time as varchar) as ad_delivery_start_time,
+       'All' as target_gender, '18,65' as target_ages, 'site,app' as publisher_platforms, country, age_range,
+       female, male, unknown
+from x_tree t
+""",
+    TREE,
+)
+
 ORACLES["t_jobs_full"] = ORACLES["gold_ad_daily_metrics"]
 ORACLES["t_jobs_range"] = ORACLES["gold_ad_daily_metrics"]
 ORACLES["t_jobs_range_reach"] = ORACLES["gold_demographic_reach"]
+
+
+def _with_late_products(query: str) -> str:
+    """The query over spend that names other products from the second day on."""
+    renamed = "case when s.date > date '2024-01-01' then 'p' || {0} else {0} end as {1}"
+    pieces = {
+        "s.ad_id, m.product_id, p.product_name, p.price": "s.ad_id, "
+        + ", ".join(renamed.format(*c) for c in (("m.product_id", "product_id"), ("p.product_name", "product_name")))
+        + ", p.price",
+        "min(product_name) as product_name": "arg_min(product_name, product_id) as product_name",
+    }
+    for old, new in pieces.items():
+        query = query.replace(old, new)
+    return query
+
+
+ORACLES["t_jobs_late_days"] = "\nunion all by name\n".join(
+    f"select '{name}' as gold, * from ({_with_late_products(ORACLES[name])})"
+    for name in ("gold_ad_daily_metrics", "gold_ad_total_metrics", "gold_demographic_reach", "gold_saturation_curve")
+)

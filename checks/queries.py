@@ -7,7 +7,9 @@ engines print them alike.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timezone
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,7 @@ from reachmill import contracts as names
 from reachmill.functions.dates import (
     date_in_path,
     dated_path,
+    in_days,
     lenient_date,
     lenient_timestamp,
     publication_date,
@@ -30,12 +33,13 @@ from reachmill.operators import extraction, history, quality, timeline, upsert
 from reachmill.plans import bronze, gold, silver
 from reachmill.plans.jobs import Lake, bronze_to_silver, landing_to_bronze, silver_to_gold, snapshot_to_landing
 from reachmill.runtime import scratch_folder, tune
+from reachmill.sinks.files import Files
 from reachmill.sinks.landing import backcast_envelopes, write_envelopes
 from reachmill.sinks.tables import append_absent, write_gold, write_silver
-from reachmill.sources.files import read_catalogue, read_stored
+from reachmill.sources.files import read_ads_pages, read_catalogue, read_stored
 from reachmill.sources.landing import newest_snapshot, parse_envelopes, read_entry, read_envelopes
 from reachmill.streaming.capture import batch_writer, parse_messages, start_capture
-from reachmill.streaming.ingest import ingest, quarantine
+from reachmill.streaming.ingest import ingest
 
 EVENTS_PER_ENVELOPE = 50
 ADS_PER_PAGE = 100  # fixed value: page size of the ads API
@@ -154,6 +158,15 @@ def bronze_meta(v: Views) -> DataFrame:
     )
 
 
+@query
+def bronze_meta_tree(v: Views) -> DataFrame:
+    """Bronze snapshots with every count of their tree."""
+    ads = bronze.ad_snapshots(snapshot_envelopes(v))
+    known = ["fecha", "ad_id", "eu_total_reach", "ad_delivery_start_time", "target_gender", "target_ages", "publisher_platforms"]
+    countries = ads.select(*known, F.inline("age_country_gender_reach_breakdown"))
+    return countries.select(*known, "country", F.inline("age_gender_breakdowns"))
+
+
 @query
 def bronze_date_parts(v: Views) -> DataFrame:
     days = with_date_parts(bronze.sale_events(sales_envelopes(v)))
@@ -367,6 +380,27 @@ def h_assemble_pages(v: Views) -> DataFrame:
     )
 
 
+@query
+def h_assemble_days(v: Views) -> DataFrame:
+    """Every snapshot with all its fields: each day's ads dumped as API pages of up to 100 ads,
+    and each day assembled by itself."""
+    page = F.floor(F.col("ad_id").cast("bigint") / ADS_PER_PAGE)
+    texts = v.nested_snapshots.groupBy("fecha", page.alias("page")).agg(
+        F.to_json(F.struct(F.collect_list(ad_struct()).alias("data"))).alias("value")
+    )
+    folder = scratch_folder(v.spark, "pages")
+    texts.select("fecha", "value").write.partitionBy("fecha").text(folder)
+    days = [r["fecha"] for r in v.flat_snapshots.select("fecha").distinct().orderBy("fecha").collect()]  # the calendar
+    assembled = [
+        extraction.assemble_pages(read_ads_pages(v.spark, f"{folder}/fecha={day}"), datetime(day.year, day.month, day.day, 6, 30, tzinfo=timezone.utc))
+        for day in days
+    ]
+    ads = reduce(DataFrame.unionByName, assembled)
+    known = ["extraction_date", "extraction_timestamp", "total_ads", "id", "eu_total_reach", "ad_delivery_start_time", "target_gender", "target_ages", "publisher_platforms"]
+    countries = ads.select(*known, F.inline("age_country_gender_reach_breakdown"))
+    return countries.select(*known, "country", F.inline("age_gender_breakdowns"))
+
+
 def _backcast(v: Views) -> DataFrame:
     """Latest snapshot of every ad projected back over the whole period."""
     newest = v.nested_snapshots.groupBy("ad_id").agg(
@@ -394,7 +428,7 @@ def h_backcast_landed(v: Views) -> DataFrame:
     lake = scratch_folder(v.spark, "lake")
     folder = f"{lake}/{names.LANDING}/{names.SNAPSHOTS}/backcast"
     write_envelopes(backcast_envelopes(_backcast(v)), folder)
-    ingest(v.spark, lake, names.SNAPSHOTS, names.SNAPSHOT_ENVELOPE, bronze.ad_snapshots)
+    ingest(v.spark, lake, names.SNAPSHOTS, names.SNAPSHOT_ENVELOPE, "ads", bronze.ad_snapshots)
     stored = v.spark.read.parquet(f"{lake}/{names.BRONZE}/{names.SNAPSHOTS}")
     return silver.demographic_snapshots(stored).select(*BACKCAST)
 
@@ -422,7 +456,7 @@ def _extracted(v: Views) -> str:
         pages.select("value").write.text(folder)
         for _ in range(2):
             snapshot_to_landing(v.spark, lake, folder, datetime.fromisoformat(moment))
-            ingest(v.spark, lake.root, names.SNAPSHOTS, names.SNAPSHOT_ENVELOPE, bronze.ad_snapshots)
+            ingest(v.spark, lake.root, names.SNAPSHOTS, names.SNAPSHOT_ENVELOPE, "ads", bronze.ad_snapshots)
     return lake.root
 
 
@@ -538,7 +572,7 @@ def t_landing_stream(v: Views) -> DataFrame:
     lake = scratch_folder(v.spark, "lake")
     landing = sales_envelopes(v).drop("file_path", "_corrupt_record")
     write_envelopes(landing, f"{lake}/{names.LANDING}/{names.SALES}/all")
-    ingest(v.spark, lake, names.SALES, names.SALES_ENVELOPE, bronze.sale_events)
+    ingest(v.spark, lake, names.SALES, names.SALES_ENVELOPE, "events", bronze.sale_events)
     return v.spark.read.parquet(f"{lake}/{names.BRONZE}/{names.SALES}")
 
 
@@ -554,22 +588,33 @@ def _wrong_types(v: Views) -> DataFrame:
 @query
 def t_landing_documents(v: Views) -> DataFrame:
     """Indented documents of several envelopes, one file a day, under names of all kinds, every
-    third compressed and every third years old; read in two runs. Bronze and what is set aside.
+    third compressed and every third from 1970; read in three runs, of which the last finds
+    the oldest files. Bronze and what is set aside.
     """
+    return _landed_documents(v)
+
+
+@query
+def t_landing_archived(v: Views) -> DataFrame:
+    """The same with read files moved out of landing, and a run that finds none."""
+    return _landed_documents(v, archive=True)
+
+
+def _landed_documents(v: Views, archive: bool = False) -> DataFrame:
     lake, day = scratch_folder(v.spark, "lake"), r"(\d{4}/\d{2}/\d{2})"
     good = sales_texts(v, indented=True).select(F.regexp_extract("file_path", day, 1).alias("day"), "value")
     bad = _wrong_types(v).select(F.date_format("fecha", "yyyy/MM/dd").alias("day"), F.col("envelope").alias("value"))
     documents = good.unionByName(bad).repartition("day").withColumn("kind", F.substring("day", 9, 2).cast("int") % 3)
     folder = f"{lake}/{names.LANDING}/{names.SALES}"
-    for kind, (name, codec) in enumerate([("ventas 1.json", "none"), ("sales_2.json.gz", "gzip"), ("restored", "none")]):
+    for kind, (name, codec) in enumerate([("ventas 1.json", "none"), ("sales_[2]{x}*.json.gz", "gzip"), ("restored", "none")]):
         staged = f"{lake}/staged-{kind}"
         texts = documents.where(F.col("kind") == kind)
         texts.withColumn("day", F.regexp_replace("day", "/", "-")).select("day", "value").write.partitionBy("day").option(
             "compression", codec
         ).text(staged)
         _name_files(v.spark, staged, folder, name, kind == 2)
-        ingest(v.spark, lake, names.SALES, names.SALES_ENVELOPE, bronze.sale_events)
-        quarantine(v.spark, lake, names.SALES, names.SALES_ENVELOPE, "events")
+        ingest(v.spark, lake, names.SALES, names.SALES_ENVELOPE, "events", bronze.sale_events, max_files=7, archive=archive)
+    ingest(v.spark, lake, names.SALES, names.SALES_ENVELOPE, "events", bronze.sale_events, archive=archive)
     rows = v.spark.read.parquet(f"{lake}/{names.BRONZE}/{names.SALES}").select(
         "fecha", "event_id", "product_id", "quantity", "total_amount", F.lit("bronze").alias("found_in")
     )
@@ -591,7 +636,7 @@ def _name_files(spark: SparkSession, staged: str, landing: str, name: str, old:
         files.mkdirs(target.getParent())
         files.rename(source, target)
         if old:
-            files.setTimes(target, 1_500_000_000_000, -1)
+            files.setTimes(target, 0, -1)
 
 
 @query
@@ -606,7 +651,7 @@ def t_capture_rerun(v: Views) -> DataFrame:
     write = batch_writer(lake)
     for _ in range(2):
         write(parse_messages(messages).withColumn("batch_time", stamp), 0)
-        ingest(v.spark, lake, names.SALES, names.SALES_ENVELOPE, bronze.sale_events)
+        ingest(v.spark, lake, names.SALES, names.SALES_ENVELOPE, "events", bronze.sale_events)
     rows = v.spark.read.parquet(f"{lake}/{names.BRONZE}/{names.SALES}").select(
         "fecha", "event_id", "timestamp", "product_id", "product_name", "quantity", "unit_price",
         "total_amount", "region", "channel", F.lit(None).cast("string").alias("raw"),
@@ -615,6 +660,30 @@ def t_capture_rerun(v: Views) -> DataFrame:
     return rows.unionByName(aside, allowMissingColumns=True)
 
 
+@query
+def t_capture_reset(v: Views) -> DataFrame:
+    """Messages captured and ingested in two halves on one day, with the checkpoint of the
+    capture lost in between: all of them, in bronze or set aside, once."""
+    lake = scratch_folder(v.spark, "lake")
+    texts = _messages(v).unionByName(_wrong_types(v).select(F.col("event").alias("value")))
+    halves = F.pmod(F.xxhash64("value"), F.lit(2))
+    for half in range(2):
+        inbox = f"{lake}/messages-{half}"
+        texts.where(halves == half).write.text(inbox)
+        stream = v.spark.readStream.text(inbox).select(
+            F.col("value").cast("binary"), F.lit("2024-02-01T00:00:00Z").cast("timestamp").alias("timestamp")
+        )
+        start_capture(stream, lake, trigger={"availableNow": True}).awaitTermination()
+        ingest(v.spark, lake, names.SALES, names.SALES_ENVELOPE, "events", bronze.sale_events)
+        Files(v.spark).delete(f"{lake}/checkpoints/{names.SALES}_streaming")
+    rows = v.spark.read.parquet(f"{lake}/{names.BRONZE}/{names.SALES}").select(
+        "event_id", "timestamp", "product_id", "product_name", "quantity", "unit_price", "total_amount", "region",
+        "channel", F.lit(None).cast("string").alias("raw"),
+    )
+    aside = v.spark.read.schema("raw string").json(f"{lake}/quarantine/{names.SALES}/*")
+    return rows.unionByName(aside, allowMissingColumns=True)
+
+
 # ---- jobs ---------------------------------------------------------------
 def _landed_lake(v: Views) -> Lake:
     """A lake with all sales and snapshots in landing."""
@@ -661,6 +730,48 @@ def t_jobs_range_reach(v: Views) -> DataFrame:
     return _jobs_by_range(v).read(v.spark, names.GOLD, names.GOLD_REACH)
 
 
+#: Ranges that come late: the first days of most ads, two later ones, and one corrected day.
+LATE = [(date(2024, 1, 1), date(2024, 1, 2)), (date(2024, 1, 10), date(2024, 1, 11))]
+CORRECTED = date(2024, 1, 20)
+
+
+def _late_lake(v: Views) -> Lake:
+    """Gold over all days but the late ones, with one day counted double; then the right rows
+    of these days, each range landed in silver and run by itself.
+
+    A snapshot knows of a start three days back at most, so that starts move as days
+    come late; the first day's spend names products that the others do not have.
+    """
+    lake = Lake(scratch_folder(v.spark, "lake"))
+    sales, spend, snapshots = _silver(v)
+    known_start = F.greatest("ad_delivery_start_time", F.date_sub("fecha", 3))
+    snapshots = snapshots.withColumn("ad_delivery_start_time", known_start)
+    other = F.col("fecha") > F.lit(date(2024, 1, 1))
+    spend = spend.withColumns({c: F.when(other, F.concat(F.lit("p"), c)).otherwise(F.col(c)) for c in ("product_id", "product_name")})
+    tables = {names.SILVER_SALES: sales, names.SILVER_SPEND: spend, names.SILVER_SNAPSHOTS: snapshots}
+    doubled = {names.SILVER_SALES: "ventas_unidades", names.SILVER_SPEND: "daily_spend", names.SILVER_SNAPSHOTS: "reach"}
+    on_time = reduce(and_, (~in_days(start, end) for start, end in LATE))
+    for name, table in tables.items():
+        wrong = F.when(F.col("fecha") == F.lit(CORRECTED), F.col(doubled[name]) * 2).otherwise(F.col(doubled[name]))
+        first = table.where(on_time).withColumn(doubled[name], wrong.cast(table.schema[doubled[name]].dataType))
+        write_silver(first, lake.path(names.SILVER, name))
+    silver_to_gold(v.spark, lake)
+    for start, end in [*LATE, (CORRECTED, CORRECTED)]:
+        for name, table in tables.items():
+            write_silver(table.where(in_days(start, end)), lake.path(names.SILVER, name), only_days_present=True)
+        silver_to_gold(v.spark, lake, start=start, end=end)
+    return lake
+
+
+@query
+def t_jobs_late_days(v: Views) -> DataFrame:
+    """All four gold tables after days that came late, in one table."""
+    lake = _late_lake(v)
+    tables = (names.GOLD_AD_DAILY, names.GOLD_AD_TOTAL, names.GOLD_REACH, names.GOLD_SATURATION)
+    shown = [lake.read(v.spark, names.GOLD, name).withColumn("gold", F.lit(name)) for name in tables]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), shown)
+
+
 def _messages(v: Views) -> DataFrame:
     """Broker messages: envelopes and, for every fifth event, a bare event; some junk."""
     envelopes = sales_texts(v).select("value")
@@ -674,23 +785,52 @@ def _messages(v: Views) -> DataFrame:
     return envelopes.unionByName(bare).unionByName(junk)
 
 
-@query
-def t_parse_messages(v: Views) -> DataFrame:
-    """Events per product and how they were parsed, junk as nulls."""
-    rows = parse_messages(
+def _parsed(v: Views) -> DataFrame:
+    return parse_messages(
         _messages(v).select(
             F.col("value").cast("binary"),
             F.lit("2024-02-01T00:00:00Z").cast("timestamp").alias("timestamp"),
         )
     )
+
+
+@query
+def t_parse_events(v: Views) -> DataFrame:
+    """Every event of the messages with all its fields, junk as nulls with its text."""
+    rows = _parsed(v)
+    return rows.withColumn("raw", F.when(F.col("event_id").isNull(), F.col("raw")))
+
+
+@query
+def t_parse_messages(v: Views) -> DataFrame:
+    """Events per product and how they were parsed, junk as nulls."""
+    rows = _parsed(v)
     return rows.groupBy("product_id", "enqueued_time").agg(
         F.count(F.lit(1)).alias("events"), F.sum("quantity").alias("quantity")
     )
 
 
+@query
+def t_capture_events(v: Views) -> DataFrame:
+    """Messages through the capture stream to landing files, read back event by event."""
+    return _captured(v).select("total_events", F.inline("events"))
+
+
 @query
 def t_capture_stream(v: Views) -> DataFrame:
-    """Messages through the capture stream to landing files, read back per product."""
+    """The same added up by product."""
+    return (
+        _captured(v).select("total_events", F.inline("events"))
+        .groupBy("product_id", "product_name")
+        .agg(
+            F.sum("total_events").alias("events"),
+            F.sum("quantity").alias("quantity"),
+            F.round(F.sum(F.col("total_amount").cast("decimal(18,2)")), 2).alias("amount"),
+        )
+    )
+
+
+def _captured(v: Views) -> DataFrame:
     lake = scratch_folder(v.spark, "lake")
     _messages(v).write.text(f"{lake}/messages")
     stream = (
@@ -698,20 +838,11 @@ def t_capture_stream(v: Views) -> DataFrame:
         .select(F.col("value").cast("binary"), F.current_timestamp().alias("timestamp"))
     )
     start_capture(stream, lake, trigger={"availableNow": True}).awaitTermination()
-    landed = (
+    return (
         v.spark.read.schema(names.SALES_ENVELOPE)
         .option("recursiveFileLookup", True)
         .json(f"{lake}/{names.LANDING}/{names.SALES}")
     )
-    return (
-        landed.select("total_events", F.inline("events"))
-        .groupBy("product_id", "product_name")
-        .agg(
-            F.sum("total_events").alias("events"),
-            F.sum("quantity").alias("quantity"),
-            F.round(F.sum(F.col("total_amount").cast("decimal(18,2)")), 2).alias("amount"),
-        )
-    )
 
 
 @query
@@ -723,7 +854,7 @@ def t_quarantine_stream(v: Views) -> DataFrame:
     )
     lines = sales_texts(v).select("value").unionByName(junk)
     lines.write.text(f"{lake}/{names.LANDING}/{names.SALES}/all")
-    quarantine(v.spark, lake, names.SALES, names.SALES_ENVELOPE, "events")
+    ingest(v.spark, lake, names.SALES, names.SALES_ENVELOPE, "events", bronze.sale_events)
     aside = v.spark.read.parquet(f"{lake}/quarantine/{names.SALES}_files")
     return aside.select(F.col("_corrupt_record").alias("text"))
 

@@ -8,7 +8,6 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from reachmill import contracts as names
 from reachmill.functions.dates import dated_folder, in_days, on_days
@@ -27,7 +26,8 @@ from reachmill.sinks.staged import Staging, Target, outside
 from reachmill.sinks.tables import gold_target, laid_out_by_day, register, silver_target
 from reachmill.sources.files import read_raw_pages, read_stored
 from reachmill.sources.landing import CORRUPT, newest_snapshot, read_entry
-from reachmill.streaming.ingest import FILES_PER_BATCH, ingest, quarantine
+from reachmill.sources.ledger import FILES_PER_BATCH
+from reachmill.streaming.ingest import Ingested, ingest
 
 
 @dataclass(frozen=True)
@@ -100,26 +100,23 @@ def backcast_to_landing(
 
 
 def landing_to_bronze(
-    spark: SparkSession, lake: Lake, max_files_per_trigger: int | None = FILES_PER_BATCH
-) -> dict[str, StreamingQuery]:
+    spark: SparkSession, lake: Lake, max_files: int = FILES_PER_BATCH, archive: bool = False
+) -> dict[str, Ingested]:
     """Ingest new landing files of both datasets, one after the other.
 
-    Every record ends up in bronze or, with its text, under `quarantine`.
+    Every record ends up in bronze or, with its text, under `quarantine`. With `archive`
+    read files leave landing, see `streaming.ingest`.
     """
     datasets: dict[str, tuple[str, str, Callable[[DataFrame], DataFrame]]] = {
         names.SNAPSHOTS: (names.SNAPSHOT_ENVELOPE, "ads", bronze.ad_snapshots),
         names.SALES: (names.SALES_ENVELOPE, "events", bronze.sale_events),
     }
-    ingested = {}
-    for dataset, (schema, body, flatten) in datasets.items():
-        ingested[dataset] = ingest(
-            spark, lake.root, dataset, schema, flatten, lake.table_format,
-            max_files_per_trigger,
+    return {
+        dataset: ingest(
+            spark, lake.root, dataset, schema, body, flatten, lake.table_format, max_files, archive
         )
-        quarantine(
-            spark, lake.root, dataset, schema, body, lake.table_format, max_files_per_trigger
-        )
-    return ingested
+        for dataset, (schema, body, flatten) in datasets.items()
+    }
 
 
 def bronze_to_silver(

@@ -48,6 +48,14 @@ class Files:
             return []
         return sorted(s.getPath().getName() for s in store.listStatus(found))
 
+    def stands_at(self, path: str, length: int, modified: float) -> bool:
+        """Whether the file is there with this length and time (seconds)."""
+        found, store = self._at(path)
+        if not store.exists(found):
+            return False
+        status = store.getFileStatus(found)
+        return status.getLen() == length and status.getModificationTime() == round(modified * 1000)
+
     def write(self, path: str, text: str) -> None:
         """A small file, there as a whole or not at all."""
         beside = f"{path}.tmp"

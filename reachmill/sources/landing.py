@@ -1,4 +1,4 @@
-"""Landing files as envelopes, in batch or as an incremental stream.
+"""Landing files as envelopes. Which of them are new is told by `sources.ledger`.
 
 Two file layouts live side by side in a landing folder:
 
@@ -15,6 +15,9 @@ fit the schema.
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,28 +35,19 @@ def read_envelopes(spark: SparkSession, folder: str, dataset: str, schema: str)
     return _both_layouts(lambda: spark.read, folder, schema)
 
 
-def stream_envelopes(
-    spark: SparkSession,
-    folder: str,
-    dataset: str,
-    schema: str,
-    max_files_per_trigger: int | None = None,
-    max_file_age: str = "3650d",
-) -> DataFrame:
-    """The envelopes of files not seen before, as a stream.
-
-    Files older than max_file_age, counted back from the newest, are passed over, and
-    the stream forgets which of them it has read; Spark's own default of a week would
-    lose restored and late files.
-    """
+def read_files(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
+    """All envelopes of some files."""
+    lines = [path for path in paths if path.rsplit("/", 1)[-1].startswith("part-")]
+    documents = sorted(set(paths) - set(lines))
+    texts = [_texts(spark.read, [_literal(p) for p in some], "*", whole_file) for some, whole_file in ((documents, True), (lines, False)) if some]
+    if not texts:
+        return parse_envelopes(spark.createDataFrame([], "file_path string, value string"), schema)
+    return parse_envelopes(reduce(DataFrame.unionByName, texts), schema)
 
-    def reader():
-        stream = spark.readStream.option("maxFileAge", max_file_age)
-        if max_files_per_trigger:
-            stream = stream.option("maxFilesPerTrigger", max_files_per_trigger)
-        return stream
 
-    return _both_layouts(reader, folder, schema)
+def _literal(path: str) -> str:
+    """A path in which no character stands for others."""
+    return re.sub(r"([\\\[\]{}*?^])", r"\\\1", path)
 
 
 def _both_layouts(reader, folder: str, schema: str) -> DataFrame:
@@ -62,7 +56,7 @@ def _both_layouts(reader, folder: str, schema: str) -> DataFrame:
     return parse_envelopes(documents.unionByName(lines), schema)
 
 
-def _texts(reader, folder: str, names: str, whole_file: bool) -> DataFrame:
+def _texts(reader, folder: str | list[str], names: str, whole_file: bool) -> DataFrame:
     texts = (
         reader.format("text")
         .option("wholetext", whole_file)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import Future
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -55,15 +56,21 @@ def is_readable():
     return F.coalesce(*(F.col(f).cast("string") for f in EVENT_FIELDS)).isNotNull()
 
 
-def batch_writer(lake: str, dataset: str = SALES) -> Callable[[DataFrame, int], None]:
+def batch_writer(
+    lake: str, dataset: str = SALES, stream: Callable[[], str] = lambda: "manual"
+) -> Callable[[DataFrame, int], None]:
     """The function to call for each micro-batch.
 
-    Folders are named after the batch id and written once, and the batch time is the
-    one Spark recorded for the batch, so a batch that is run again changes nothing.
-    Unreadable messages are set aside as raw text under `quarantine`.
+    A landed unit is named after the stream's own id and the batch's, and written once:
+    the mark that Spark leaves in a folder written whole is its commit record. The batch
+    time is the one Spark recorded for the batch. So a batch that is run again changes
+    nothing, while the batches of another stream, or of one whose checkpoint was reset and
+    whose ids begin anew, are units of their own. Unreadable messages are set aside as
+    raw text under `quarantine`.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        unit = f"stream-{stream()}-batch-{batch_id:012d}"
         batch.persist()
         try:
             found = batch.agg(
@@ -76,11 +83,11 @@ def batch_writer(lake: str, dataset: str = SALES) -> Callable[[DataFrame, int],
                 events = batch.where(is_readable())
                 write_envelopes(
                     sales_envelopes(events, [*EVENT_FIELDS, "enqueued_time"], F.col("batch_time")),
-                    f"{lake}/{day}/batch-{batch_id:012d}",
+                    f"{lake}/{day}/{unit}",
                 )
             if found["rejected"]:
                 rejected = batch.where(~is_readable()).select("raw", "enqueued_time")
-                write_envelopes(rejected, f"{lake}/quarantine/{dataset}/batch-{batch_id:012d}")
+                write_envelopes(rejected, f"{lake}/quarantine/{dataset}/{unit}")
         finally:
             batch.unpersist()
 
@@ -99,9 +106,13 @@ def start_capture(
     Pass trigger={"availableNow": True} to take what is there and stop.
     """
     stamped = parse_messages(messages).withColumn("batch_time", F.current_timestamp())
-    return (
-        stamped.writeStream.foreachBatch(batch_writer(lake, dataset))
+    # the id is the checkpoint's: it lasts over restarts, and a new checkpoint has another one
+    identity: Future[str] = Future()
+    query = (
+        stamped.writeStream.foreachBatch(batch_writer(lake, dataset, identity.result))
         .option("checkpointLocation", f"{lake}/checkpoints/{dataset}_streaming")
         .trigger(**(trigger or {"processingTime": TRIGGER}))
         .start()
     )
+    identity.set_result(query.id)
+    return query

@@ -3,17 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from reachmill.contracts import BRONZE, DATE_PARTS, LANDING
 from reachmill.functions.dates import with_date_parts
 from reachmill.plans.bronze import readable, unreadable
-from reachmill.sources.landing import stream_envelopes
+from reachmill.sinks.files import Files
+from reachmill.sources.landing import read_files
+from reachmill.sources.ledger import FILES_PER_BATCH, Batch, Ledger
 
-FILES_PER_BATCH = 100_000  # bounds a first run over a full landing zone, per layout
+
+@dataclass
+class Ingested:
+    """What a run has done."""
+
+    batches: int = 0
+    files: int = 0
+    rows: int = 0
+    set_aside: int = 0
 
 
 def ingest(
@@ -21,66 +31,65 @@ def ingest(
     lake: str,
     dataset: str,
     schema: str,
+    body: str,
     flatten: Callable[[DataFrame], DataFrame],
     table_format: str = "parquet",
-    max_files_per_trigger: int | None = FILES_PER_BATCH,
-) -> StreamingQuery:
-    """Bring landing files not seen before into bronze; returns the finished query.
+    max_files: int = FILES_PER_BATCH,
+    archive: bool = False,
+) -> Ingested:
+    """Bring landing files not read before into bronze, and what cannot be read to `quarantine`.
 
-    Stops once everything that was there has been read. Running it again adds
-    nothing. Envelopes that were not read in full are left to `quarantine`. No shuffle: each task reads envelopes and writes their rows. The
-    query's progress reports carry the rows added per batch as metric `bronze`.
+    Stops once everything that was there has been read. Running it again adds nothing.
+    Each file is read and parsed once: the batch is written as envelopes, which both
+    outputs are then taken from. Both are appended under the batch's number and the
+    batch is closed after that, so a run that fails in between is repeated: the next one
+    finds the envelopes, clears away what it has under that number, and writes it anew.
+    With `archive` read files are moved to `archive/<dataset>`.
     """
-    envelopes = stream_envelopes(
-        spark, f"{lake}/{LANDING}/{dataset}", dataset, schema, max_files_per_trigger
-    )
-    rows = with_date_parts(flatten(envelopes.where(readable())))
-    query = _append(
-        rows.observe("bronze", F.count(F.lit(1)).alias("rows")),
-        f"{lake}/{BRONZE}/{dataset}",
-        f"{lake}/checkpoints/{dataset}_{BRONZE}",
-        table_format,
-        DATE_PARTS,
-    )
-    query.awaitTermination()
-    return query
+    folder = f"{lake}/checkpoints/{dataset}_{BRONZE}"
+    ledger, done = Ledger(spark, folder, f"{lake}/{LANDING}/{dataset}"), Ingested()
+    if archive:
+        ledger.archive(f"{lake}/archive/{dataset}")
+    for batch in ledger.batches(max_files):
+        envelopes = _envelopes(spark, batch, schema, f"{folder}/envelopes")
+        rows = with_date_parts(flatten(envelopes.where(readable())))
+        aside = unreadable(envelopes, body)
+        done.rows += _append(rows, f"{lake}/{BRONZE}/{dataset}", batch, table_format, DATE_PARTS)
+        done.set_aside += _append(aside, f"{lake}/quarantine/{dataset}_files", batch, table_format)
+        ledger.close(batch)
+        Files(spark).delete(f"{folder}/envelopes")
+        done.batches, done.files = done.batches + 1, done.files + len(batch.files)
+        if archive:
+            ledger.archive(f"{lake}/archive/{dataset}")
+    return done
 
 
-def quarantine(
-    spark: SparkSession,
-    lake: str,
-    dataset: str,
-    schema: str,
-    body: str,
-    table_format: str = "parquet",
-    max_files_per_trigger: int | None = FILES_PER_BATCH,
-) -> StreamingQuery:
-    """Record landing files that could not be read, with their text, under `quarantine`.
-
-    A separate pass with its own checkpoint: each of the two sinks keeps its own log of
-    batches, so neither loses or repeats rows when the other fails.
-    """
-    envelopes = stream_envelopes(
-        spark, f"{lake}/{LANDING}/{dataset}", dataset, schema, max_files_per_trigger
-    )
-    query = _append(
-        unreadable(envelopes, body),
-        f"{lake}/quarantine/{dataset}_files",
-        f"{lake}/checkpoints/{dataset}_quarantine",
-        table_format,
-    )
-    query.awaitTermination()
-    return query
+def _envelopes(spark: SparkSession, batch: Batch, schema: str, folder: str) -> DataFrame:
+    """The batch's envelopes, as a table that an earlier run may have written already."""
+    path = f"{folder}/{batch.number:012d}"
+    read = read_files(spark, [path for path, *_ in batch.files], schema)
+    if not (batch.again and Files(spark).exists(f"{path}/_SUCCESS")):
+        read.write.mode("overwrite").parquet(path)
+    return spark.read.schema(read.schema).parquet(path)
 
 
 def _append(
-    df: DataFrame, path: str, checkpoint: str, table_format: str, partitions: tuple = ()
-) -> StreamingQuery:
-    return (
-        df.writeStream.format(table_format)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .partitionBy(*partitions)
-        .trigger(availableNow=True)
-        .start(path)
-    )
+    df: DataFrame, path: str, batch: Batch, table_format: str, partitions: tuple[str, ...] = ()
+) -> int:
+    """Append rows under the number of a batch, once; returns their number."""
+    name = f"batch-{batch.number:012d}"
+    files = Files(df.sparkSession)
+    writer = lambda rows: rows.write.format(table_format).mode("append").partitionBy(*partitions)
+    if table_format == "delta":
+        # Delta's log has the number of the last append of each application
+        writer_of = lambda rows: writer(rows).option("txnAppId", path).option("txnVersion", batch.number)
+    else:
+        writer_of = lambda rows: writer(rows).option("mapreduce.output.basename", name)
+        if batch.again:
+            for left in files.matching(path + "/*" * len(partitions) + f"/{name}-*"):
+                files.delete(left)
+    if df.isEmpty():
+        return 0
+    counter = Observation()
+    writer_of(df.observe(counter, F.count(F.lit(1)).alias("rows"))).save(path)
+    return counter.get["rows"]

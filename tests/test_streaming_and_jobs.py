@@ -22,7 +22,8 @@ from reachmill.sinks.landing import write_envelopes
 from reachmill.sinks.tables import append_absent, write_gold, write_silver
 from reachmill.sources import kafka, relational
 from reachmill.streaming import capture
-from reachmill.streaming.ingest import ingest, quarantine
+from reachmill.streaming import ingest as job
+from reachmill.streaming.ingest import Ingested, ingest
 
 D1, D2 = date(2026, 7, 1), date(2026, 7, 2)
 
@@ -50,7 +51,7 @@ def ad(i, female, male, start="2026-07-01"):
 def test_every_file_lands_whatever_its_name_or_age(spark, tmp_path):
     folder = tmp_path / "landing" / "ventas" / "2026" / "07" / "01"
     body = lambda i: {"batch_date": "2026-07-01", "events": [event(i)]}
-    run = lambda: ingest(spark, str(tmp_path), "ventas", names.SALES_ENVELOPE, bronze.sale_events)
+    run = lambda: ingest(spark, str(tmp_path), "ventas", names.SALES_ENVELOPE, "events", bronze.sale_events)
     put(folder, "ventas_1.json", body("a"))
     put(folder, "sales_2.json", body("b"))
     put(folder, "p.json", body("c"))
@@ -60,8 +61,7 @@ def test_every_file_lands_whatever_its_name_or_age(spark, tmp_path):
     put(folder / "batch", "part-0.json", json.dumps(body("f")))
     run()
     put(folder, "restored.json", body("g"))
-    long_ago = datetime(2025, 1, 1, tzinfo=timezone.utc).timestamp()
-    os.utime(folder / "restored.json", (long_ago, long_ago))
+    os.utime(folder / "restored.json", (0, 0))
     run()
     stored = spark.read.parquet(str(tmp_path / "bronze" / "ventas"))
     assert sorted(r["event_id"] for r in stored.collect()) == list("abcdefg")
@@ -73,7 +73,7 @@ def test_a_batch_landed_again_is_ingested_once(spark, tmp_path):
     folder = str(tmp_path / "landing" / "ventas" / "2026" / "07" / "01" / "batch-0")
     for _ in range(2):
         write_envelopes(batch, folder)
-        ingest(spark, str(tmp_path), "ventas", names.SALES_ENVELOPE, bronze.sale_events)
+        ingest(spark, str(tmp_path), "ventas", names.SALES_ENVELOPE, "events", bronze.sale_events)
     assert spark.read.parquet(str(tmp_path / "bronze" / "ventas")).count() == 1
 
 
@@ -84,33 +84,92 @@ def test_ingest_is_incremental(spark, tmp_path, rows):
     put(landing / "2026/07/01", "ventas_2.json", "{ broken")
 
     def run():
-        return ingest(spark, lake, "ventas", names.SALES_ENVELOPE, bronze.sale_events,
-                      max_files_per_trigger=1)
+        return ingest(spark, lake, "ventas", names.SALES_ENVELOPE, "events", bronze.sale_events,
+                      max_files=1)
 
-    def added(query):
-        return sum(p.observedMetrics["bronze"]["rows"] for p in query.recentProgress
-                   if "bronze" in p.observedMetrics)
-
-    assert added(run()) == 2
-    assert added(run()) == 0
+    first = run()
+    assert (first.rows, first.set_aside, first.files, first.batches) == (2, 1, 2, 2)
+    assert run() == Ingested()
     put(landing / "2026/07/02", "ventas_3.json",
         {"batch_date": "2026-07-02", "events": [event("c")]})
-    assert added(run()) == 1
+    assert run().rows == 1
     table = spark.read.parquet(f"{lake}/bronze/ventas")
     assert rows(table, "fecha", "event_id", "anio", "mes", "dia") == [
         (D1, "a", 2026, 7, 1), (D1, "b", 2026, 7, 1), (D2, "c", 2026, 7, 2)
     ]
     assert (tmp_path / "bronze/ventas/anio=2026/mes=7/dia=2").is_dir()
 
-    quarantine(spark, lake, "ventas", names.SALES_ENVELOPE, "events")
-    quarantine(spark, lake, "ventas", names.SALES_ENVELOPE, "events")
     bad = spark.read.parquet(f"{lake}/quarantine/ventas_files").collect()
     assert len(bad) == 1 and bad[0]["file_path"].endswith("ventas_2.json")
 
 
+class Killed(Exception):
+    pass
+
+
+def landed_events(spark, tmp_path):
+    return sorted(r["event_id"] for r in spark.read.parquet(str(tmp_path / "bronze/ventas")).collect())
+
+
+@pytest.mark.parametrize("step", range(6))
+def test_a_run_killed_anywhere_loses_and_repeats_nothing(spark, tmp_path, monkeypatch, step):
+    folder = tmp_path / "landing/ventas/2026/07/01"
+    put(folder, "1.json", {"batch_date": "2026-07-01", "events": [event("a"), event("b")]})
+    put(folder, "2.json", "{ broken")
+    run = lambda: ingest(spark, str(tmp_path), "ventas", names.SALES_ENVELOPE, "events", bronze.sale_events)
+    steps, reads = [0], []
+
+    def counted(method):
+        def call(*args, **kwargs):
+            # killed before this step, or right after it
+            if steps[0] == step // 2 and step % 2 == 0:
+                raise Killed
+            result = method(*args, **kwargs)
+            if steps[0] == step // 2:
+                raise Killed
+            steps[0] += 1
+            return result
+
+        return call
+
+    read = job.read_files
+    monkeypatch.setattr(job, "read_files", lambda *a: reads.append(a[1]) or read(*a))
+    monkeypatch.setattr(job, "_append", counted(job._append))
+    monkeypatch.setattr(job.Ledger, "close", counted(job.Ledger.close))
+    with pytest.raises(Killed):
+        run()
+    monkeypatch.undo()
+    # a file that comes meanwhile is not taken into the batch that is repeated
+    put(folder, "3.json", {"batch_date": "2026-07-01", "events": [event("c")]})
+    run()
+    assert landed_events(spark, tmp_path) == ["a", "b", "c"]
+    assert spark.read.parquet(str(tmp_path / "quarantine/ventas_files")).count() == 1
+    assert len(reads) == 1 and len(reads[0]) == 2
+    assert run() == Ingested()
+
+
+def test_archived_files_leave_landing_and_the_ledger(spark, tmp_path):
+    folder = tmp_path / "landing/ventas/2026/07"
+    run = lambda **k: ingest(spark, str(tmp_path), "ventas", names.SALES_ENVELOPE, "events", bronze.sale_events, **k)
+    odd = ["a[1].json", "b{x,y}.json", "c*?.json", "d e.json", "part-0"]
+    for n, name in enumerate(odd):
+        put(folder / f"0{n % 2 + 1}", name, {"batch_date": "2026-07-01", "events": [event(name)]} if name != "part-0" else json.dumps({"batch_date": "2026-07-01", "events": [event(name)]}))
+    assert run(max_files=2).files == 5
+    assert run() == Ingested()
+    assert run(archive=True) == Ingested()
+    assert not [p for p in (tmp_path / "landing").rglob("*") if p.is_file() and not p.name.startswith(".")]
+    assert sorted(p.name for p in (tmp_path / "archive/ventas/2026/07").rglob("*") if p.is_file() and not p.name.startswith(".")) == sorted(odd)
+    ledger = job.Ledger(spark, f"{tmp_path}/checkpoints/ventas_bronze", f"{tmp_path}/landing/ventas")
+    assert ledger.listing().count() == 0 and not list((tmp_path / "checkpoints/ventas_bronze/files").glob("batch=*"))
+    # the same path again is a new file; a file that was replaced is read again, and stays
+    put(folder / "01", "a[1].json", {"batch_date": "2026-07-01", "events": [event("again")]})
+    assert run(archive=True).rows == 1
+    assert landed_events(spark, tmp_path) == sorted([*odd, "again"])
+
+
 def test_undated_rows_land_in_the_default_partition(spark, tmp_path):
     put(tmp_path / "landing/meta_ads", "meta_ads_1.json", {"ads": [ad("x", 1, 1)]})
-    ingest(spark, str(tmp_path), "meta_ads", names.SNAPSHOT_ENVELOPE, bronze.ad_snapshots)
+    ingest(spark, str(tmp_path), "meta_ads", names.SNAPSHOT_ENVELOPE, "ads", bronze.ad_snapshots)
     assert list((tmp_path / "bronze/meta_ads").glob("anio=__HIVE*"))
     table = spark.read.parquet(str(tmp_path / "bronze/meta_ads"))
     assert [r["fecha"] for r in table.collect()] == [None]
@@ -150,7 +209,8 @@ def test_capture_lands_events_once_and_sets_junk_aside(spark, tmp_path, rows):
     assert row["batch_timestamp"].endswith("+00:00")
     assert row["enqueued_time"].startswith("2026-07-01T09:00")
     folder = row["batch_date"].replace("-", "/")
-    assert (tmp_path / "lake/landing/ventas" / folder / f"batch-{0:012d}").is_dir()
+    (unit,) = [p.name for p in (tmp_path / "lake/landing/ventas" / folder).iterdir()]
+    assert unit.startswith("stream-") and unit.endswith(f"-batch-{0:012d}")
     junk = spark.read.option("recursiveFileLookup", True).json(f"{lake}/quarantine/ventas")
     assert sorted(r["raw"] for r in junk.collect()) == sorted(['{"events": []}', "junk", "{}"])
 
@@ -159,7 +219,7 @@ def test_capture_lands_events_once_and_sets_junk_aside(spark, tmp_path, rows):
     assert rows(landed().select(F.inline("events")), "event_id") == [
         ("a",), ("b",), ("c",), ("d",)
     ]
-    ingest(spark, lake, "ventas", names.SALES_ENVELOPE, bronze.sale_events)
+    ingest(spark, lake, "ventas", names.SALES_ENVELOPE, "events", bronze.sale_events)
     assert spark.read.parquet(f"{lake}/bronze/ventas").count() == 4
 
 
@@ -174,7 +234,7 @@ def test_batch_that_runs_again_replaces_its_files(spark, tmp_path, rows):
     write(batch, 7)
     write(batch.limit(0), 8)
     assert [p.name for p in (tmp_path / "landing/ventas/2026/07/01").iterdir()] == [
-        f"batch-{7:012d}"
+        f"stream-manual-batch-{7:012d}"
     ]
     landed = spark.read.json(str(tmp_path / "landing/ventas/2026/07/01/*"))
     assert rows(landed, "batch_date", "batch_timestamp") == [
