@@ -34,19 +34,18 @@ class Files:
         found, store = self._at(pattern)
         return sorted(status.getPath().toString() for status in store.globStatus(found) or [])
 
-    def folders(self, path: str) -> list[str]:
-        """Names of the folders in a folder."""
+    def children(self, path: str) -> list[tuple[str, bool]]:
+        """Names of everything in a folder, and whether each is a folder."""
         found, store = self._at(path)
         if not store.exists(found):
             return []
-        return sorted(s.getPath().getName() for s in store.listStatus(found) if s.isDirectory())
+        return [(s.getPath().getName(), s.isDirectory()) for s in store.listStatus(found)]
+
+    def folders(self, path: str) -> list[str]:
+        return sorted(name for name, is_folder in self.children(path) if is_folder)
 
     def names(self, path: str) -> list[str]:
-        """Names of everything in a folder."""
-        found, store = self._at(path)
-        if not store.exists(found):
-            return []
-        return sorted(s.getPath().getName() for s in store.listStatus(found))
+        return sorted(name for name, _ in self.children(path))
 
     def stands_at(self, path: str, length: int, modified: float) -> bool:
         """Whether the file is there with this length and time (seconds)."""

@@ -63,5 +63,6 @@ def read_raw_pages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_ads_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Dumped response pages of the ads API, one row per page."""
-    return spark.read.schema(ADS_PAGE).option("multiLine", True).json(folder)
+    """Dumped response pages of the ads API, one row per page, however many a file holds."""
+    files = spark.read.text(folder, wholetext=True).select(F.inline(records(F.col("value"))))
+    return files.select(F.from_json("text", ADS_PAGE).alias("page")).select("page.*")

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reachmill.functions.records import records
+from reachmill.sinks.files import Files
 
 CORRUPT = "_corrupt_record"
 
@@ -89,19 +90,27 @@ def parse_envelopes(texts: DataFrame, schema: str) -> DataFrame:
 def newest_snapshot(spark: SparkSession, folder: str, dataset: str) -> str | None:
     """Path of the dataset's landing entry that comes last in name order, None if none.
 
-    An entry is a document or a folder of part files, named after the dataset. Only
-    the file listing is read, and one path comes back to the driver.
+    An entry is a document or a folder of part files, named after the dataset. The tree is
+    descended from its end: as many folders are listed as there are levels, plus those
+    that turn out to have no entry.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(folder)
-    )
-    entry = F.regexp_replace("path", r"/part-[^/]*$", "")
-    named = listing.select(entry.alias("entry")).where(
-        F.col("entry").rlike(f"/{dataset}_[^/]*$")
-    )
-    return named.agg(F.max("entry")).first()[0]
+    files = Files(spark)
+
+    def last(path: str) -> str | None:
+        # a folder stands in the order of what is in it
+        children = sorted((name + "/" * is_folder, name) for name, is_folder in files.children(path))
+        for shown, name in reversed(children):
+            if name.startswith((".", "_")):
+                continue
+            is_folder, is_entry = shown.endswith("/"), name.startswith(f"{dataset}_")
+            if is_entry and (not is_folder or files.matching(f"{path}/{name}/{LINES}")):
+                return f"{path}/{name}"
+            found = last(f"{path}/{name}") if is_folder and not is_entry else None
+            if found is not None:
+                return found
+        return None
+
+    return last(folder.rstrip("/"))
 
 
 def read_entry(spark: SparkSession, path: str, schema: str) -> DataFrame:

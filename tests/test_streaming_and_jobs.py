@@ -20,7 +20,7 @@ from reachmill.plans.jobs import (
 from reachmill.runtime import SETTINGS, scratch_folder, tune
 from reachmill.sinks.landing import write_envelopes
 from reachmill.sinks.tables import append_absent, write_gold, write_silver
-from reachmill.sources import kafka, relational
+from reachmill.sources import kafka, landing, relational
 from reachmill.streaming import capture
 from reachmill.streaming import ingest as job
 from reachmill.streaming.ingest import Ingested, ingest
@@ -175,6 +175,24 @@ def test_undated_rows_land_in_the_default_partition(spark, tmp_path):
     assert [r["fecha"] for r in table.collect()] == [None]
 
 
+def test_newest_entry_is_found_by_descent(spark, tmp_path, monkeypatch):
+    for n in range(60):
+        put(tmp_path / f"202{n % 3}/{n % 12 + 1:02d}/{n % 28 + 1:02d}", f"meta_ads_{n}.json", "{}")
+    (tmp_path / "2026/01/01/meta_ads_9").mkdir(parents=True)  # begun, without a part
+    put(tmp_path / "2025/03/04/meta_ads_5", "part-0.json", "{}")
+    put(tmp_path / "2025/03/04", "backcast_7.json", "{}")
+    put(tmp_path / "2025/03/03", "meta_ads_8.json", "{}")
+    listed = []
+    children = landing.Files.children
+    monkeypatch.setattr(landing.Files, "children", lambda self, path: listed.append(path) or children(self, path))
+    found = landing.newest_snapshot(spark, str(tmp_path), "meta_ads")
+    assert found == str(tmp_path / "2025/03/04/meta_ads_5")
+    # four levels, and three below the year without an entry
+    assert len(listed) == 4 + 3
+    assert landing.newest_snapshot(spark, str(tmp_path / "2026"), "meta_ads") is None
+    assert landing.newest_snapshot(spark, str(tmp_path / "none"), "meta_ads") is None
+
+
 # ---- capture --------------------------------------------------------------
 def messages(spark, folder):
     return spark.readStream.text(str(folder)).select(
