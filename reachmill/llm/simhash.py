@@ -4,15 +4,17 @@ A fingerprint has 64 bits: bit k is 1 if more than half of the document's runs o
 have it in their XXH64. Two documents are linked when their fingerprints differ in at most
 distance bits; the result is each document's component.
 
-The 64 bits are cut into distance + 1 segments that stand in a ring. If a pair differs in
-at most t bits over m segments, there is a segment from which on every chain of l
-consecutive segments differs in at most l * t / m bits (the pigeonring principle). With
-m = t + 1 a chain begins with an equal segment, and it and the next one differ in one bit at
-most. That chain of two is the index: a fingerprint is entered under each segment together
-with the next one, and once more for every single bit of the next one. Of two values that
-differ in one bit just one has an odd number of ones, so only odd ones are entered under
-their neighbours. Pairs that meet must keep the budgets of longer chains from some
-segment on before all bits are compared.
+The 64 bits are cut into segments that stand in a ring. If a pair differs in at most t bits
+over m segments, there is a segment from which on every chain of l consecutive segments
+differs in at most l * t / m bits (the pigeonring principle). There are as few segments as
+keep the budget of a chain of two at two bits: three for a distance of 4. Such chains are
+the index: a fingerprint is entered under each chain of two segments as it is, with every
+single bit of the second one turned, and, if the first one has an odd number of ones, with
+every bit of that turned. So two whose chains differ by (0, 0), (0, 1), (1, 0), (0, 2) or (1, 1)
+bits meet, and these are all that the budgets allow. A chain has some 42 bits, so hardly any others
+meet, however many documents there are.
+Pairs that meet must keep the budgets of all chains from some segment on before all bits
+are compared.
 
 Equal fingerprints are one node. Members of a bucket meet pivots first and the pairs of a
 group are never emitted (components.linked_components); the result holds every link.
@@ -100,16 +102,21 @@ def fingerprint(text: Column, n: int = 4, seed: int = 42) -> Column:
     return run(text)
 
 
+def n_segments(distance: int) -> int:
+    """The fewest segments of which two may differ in two bits at most."""
+    return max(2, 2 * distance // 3 + 1)
+
+
 def segments(distance: int) -> list[tuple[int, int]]:
     """First bit and width of each segment of the ring."""
-    parts = distance + 1
+    parts = n_segments(distance)
     widths = [BITS // parts + (k < BITS % parts) for k in range(parts)]
     return [(sum(widths[:k]), width) for k, width in enumerate(widths)]
 
 
 def budget(length: int, distance: int) -> int:
     """Bits in which a chain of some segments may differ."""
-    return length * distance // (distance + 1)
+    return length * distance // n_segments(distance)
 
 
 def entries(prints: DataFrame, distance: int) -> DataFrame:
@@ -119,16 +126,23 @@ def entries(prints: DataFrame, distance: int) -> DataFrame:
         next_at, next_width = ring[(k + 1) % len(ring)]
         own = F.shiftrightunsigned("print", at).bitwiseAND(F.lit((1 << width) - 1))
         following = F.shiftrightunsigned("print", next_at).bitwiseAND(F.lit((1 << next_width) - 1))
-        flips = F.array(F.lit(0), *(F.lit(1 << b) for b in range(next_width))).cast("array<bigint>")
-        odd = F.bit_count(following) % 2 == 1
-        reach = F.when(odd, flips).otherwise(F.array(F.lit(0)).cast("array<bigint>"))
-        keys.append(F.transform(reach, _named(k, own, following)))
+        after = [0, *(_bit(b) for b in range(next_width))]
+        before = [_bit(next_width + b) for b in range(width)] if budget(1, distance) else []
+        bits = [F.array(*(F.lit(b) for b in some)).cast("array<bigint>") for some in (after, [*after, *before])]
+        # of two segments that differ in one bit, one has an odd number of ones: it is turned
+        turned = F.when(F.bit_count(own) % 2 == 1, bits[1]).otherwise(bits[0])
+        keys.append(F.transform(turned, _named(k, F.shiftleft(own, next_width).bitwiseOR(following))))
     return prints.select(F.explode(F.concat(*keys)).alias("bucket"), F.col("print").alias("id"))
 
 
-def _named(k: int, own: Column, following: Column) -> Callable[[Column], Column]:
-    """The bucket of segment k's value with that of the next one, a bit of which is flipped."""
-    return lambda flip: F.xxhash64(F.lit(k), own, following.bitwiseXOR(flip))
+def _bit(place: int) -> int:
+    """A signed long with one bit."""
+    return 1 << place if place < BITS - 1 else -(1 << place)
+
+
+def _named(k: int, chain: Column) -> Callable[[Column], Column]:
+    """The bucket of the chain from segment k on, a bit of which is turned."""
+    return lambda bit: F.xxhash64(F.lit(k), chain.bitwiseXOR(bit))
 
 
 def linked_pairs(pairs: DataFrame, distance: int) -> DataFrame:

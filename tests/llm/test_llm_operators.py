@@ -258,21 +258,44 @@ def test_index_takes_each_text_once_over_batches(spark, docs, none):
     table, path = exact.index_name(scratch.path), f"{scratch.path}/index"
     exact.create_index(spark, table, path, 4)
     batch = exact.digests(docs.where("doc_id is not null"))
-    exact.append(scratch, batch, table, path, 4)
+    exact.append(scratch, batch, "first", table, path, 4)
     expected = {}
     for r in docs.where("doc_id is not null").collect():
         expected.setdefault(hashlib.sha256(low(r["text"]).encode()).digest(), []).append(r["doc_id"])
     rows = {bytes(r["digest"]): (r["keep_id"], r["group_size"]) for r in spark.table(table).collect()}
     assert rows == {d: (max(ids), len(ids)) for d, ids in expected.items()}
     for large in (1, 1000):
-        found = exact.verdicts(batch, spark.table(table), large=large).collect()
+        found = exact.verdicts(batch, scratch.keep(exact.groups_of(spark.table(table)), f"groups-of-{large}"), large=large).collect()
         assert sorted((r["id"], r["keep_id"], r["kept"]) for r in found) == sorted((i, max(ids), i == max(ids)) for ids in expected.values() for i in ids)
     # a repeated batch and an empty one add nothing, a new text is added once
-    exact.append(Scratch(spark, "t-index"), batch, table, path, 4)
-    exact.append(Scratch(spark, "t-index"), exact.digests(none), table, path, 4)
+    exact.append(Scratch(spark, "t-index"), batch, "first", table, path, 4)
+    exact.append(Scratch(spark, "t-index"), exact.digests(none), "second", table, path, 4)
     new = spark.createDataFrame([(7000, "Never seen"), (7001, "never SEEN"), (7002, "one")], "doc_id long, text string")
-    exact.append(Scratch(spark, "t-index"), exact.digests(new), table, path, 4)
-    assert spark.table(table).count() == len(expected) + 1
+    for _ in range(2):
+        exact.append(Scratch(spark, "t-index"), exact.digests(new), "third", table, path, 4)
+    index = spark.table(table)
+    assert index.where("is_new").count() == len(expected) + 1 and index.where("not is_new").count() == 1
+    sizes = {r["group_size"] for r in exact.groups_of(index).collect() if r["keep_id"] == 7002}
+    assert sizes == {len(expected[hashlib.sha256(b"one").digest()]) + 1}
+    plan = spark.table(table).select("digest").hint("merge")._jdf.queryExecution().toString()
+    assert "Python" not in plan
+    spark.sql(f"drop table {table}")
+
+
+def test_a_later_batch_counts_towards_known_texts(spark):
+    scratch = Scratch(spark, "t-later")
+    table, path = exact.index_name(scratch.path), f"{scratch.path}/index"
+    exact.create_index(spark, table, path, 4)
+    batches = [[(1, "a"), (2, "A"), (3, "b")], [(7, "a"), (8, "c")], [(5, "b")]]
+    every = None
+    for n, rows in enumerate(batches):
+        batch = exact.digests(spark.createDataFrame(rows, "doc_id long, text string"))
+        exact.append(scratch, batch, f"b{n}", table, path, 4)
+        every = batch if every is None else every.unionByName(batch)
+    found = exact.verdicts(every, scratch.keep(exact.groups_of(spark.table(table)), "groups")).collect()
+    assert {r["id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in found} == {
+        1: (7, 3, False), 2: (7, 3, False), 7: (7, 3, True), 3: (5, 2, False), 5: (5, 2, True), 8: (8, 1, True)
+    }
     spark.sql(f"drop table {table}")
 
 

@@ -170,14 +170,30 @@ def test_every_link_is_found_among_planted_fingerprints(spark, distance, monkeyp
     assert [found[k] for k in range(len(prints))] == plain_components(prints, list(range(len(prints))), distance)
 
 
-def test_chains_keep_every_pair_within_the_distance():
-    pick, distance = random.Random(1), 4
-    ring = simhash.segments(distance)
-    assert sum(w for _, w in ring) == 64
-    for _ in range(3000):
+@pytest.mark.parametrize("distance", [1, 2, 3, 4, 7, 12])
+def test_chains_keep_every_pair_within_the_distance(distance):
+    pick, ring = random.Random(1), simhash.segments(distance)
+    m = len(ring)
+    assert sum(w for _, w in ring) == 64 and simhash.budget(2, distance) <= 2
+    for _ in range(2000):
         differing = sum(1 << b for b in pick.sample(range(64), pick.randrange(distance + 1)))
         parts = [bin(differing >> at & (1 << width) - 1).count("1") for at, width in ring]
-        assert any(all(sum(parts[(b + k) % 5] for k in range(n)) <= simhash.budget(n, distance) for n in range(1, 5)) for b in range(5))
+        assert any(all(sum(parts[(b + k) % m] for k in range(n)) <= simhash.budget(n, distance) for n in range(1, m)) for b in range(m))
+
+
+@pytest.mark.parametrize("distance", [1, 2, 4, 7])
+def test_pairs_within_the_distance_meet_in_a_bucket(spark, distance):
+    pick = random.Random(distance)
+    pairs = []
+    for _ in range(300):
+        x = pick.getrandbits(64)
+        pairs.append((x, x ^ sum(1 << b for b in pick.sample(range(64), pick.randint(1, distance)))))
+    signed = [tuple(v - 2**64 if v >= 2**63 else v for v in pair) for pair in pairs]
+    frame = spark.createDataFrame([(v,) for pair in signed for v in pair], "print long")
+    buckets = {}
+    for r in simhash.entries(frame, distance).collect():
+        buckets.setdefault(r["id"], set()).add(r["bucket"])
+    assert all(buckets[x] & buckets[y] for x, y in signed)
 
 
 def test_long_texts_are_hashed_in_portions(monkeypatch):
