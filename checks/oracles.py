@@ -540,6 +540,7 @@ from events where event_type = 'signup'
 """
 )
 
+ORACLES["t_landing_large"] = ORACLES["t_landing_stream"]
 ORACLES["t_landing_archived"] = ORACLES["t_landing_documents"]
 
 ORACLES["t_capture_reset"] = sql(

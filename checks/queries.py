@@ -576,6 +576,29 @@ def t_landing_stream(v: Views) -> DataFrame:
     return v.spark.read.parquet(f"{lake}/{names.BRONZE}/{names.SALES}")
 
 
+@query
+def t_landing_large(v: Views) -> DataFrame:
+    """All sales envelopes as two documents, a list and one object after the other, that tasks
+    of a few ten thousand bytes read."""
+    lake, files = scratch_folder(v.spark, "lake"), Files(v.spark)
+    texts = sales_texts(v, indented=True)
+    odd = F.crc32("file_path") % 2 == 1
+    edge = lambda text: v.spark.range(1).select(F.lit(text).alias("value"))
+    listed = texts.where(odd).select(F.concat("value", F.lit(",")).alias("value"))
+    listed = edge("[").unionByName(listed).unionByName(edge('{"batch_date": "2024-01-01", "events": []}]'))
+    for name, document in (("listed", listed), ("one after the other", texts.where(~odd).select("value"))):
+        document.coalesce(1).write.text(f"{lake}/staged/{name}")
+        (written,) = files.matching(f"{lake}/staged/{name}/part-*")
+        files.move(written, f"{lake}/{names.LANDING}/{names.SALES}/{name}.json")
+    usual = v.spark.conf.get("spark.sql.files.maxPartitionBytes")
+    v.spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        ingest(v.spark, lake, names.SALES, names.SALES_ENVELOPE, "events", bronze.sale_events, large=65536)
+    finally:
+        v.spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+    return v.spark.read.parquet(f"{lake}/{names.BRONZE}/{names.SALES}")
+
+
 def _wrong_types(v: Views) -> DataFrame:
     """An event with text for its quantity for every signup."""
     event = F.struct(F.col("event_id").cast("string").alias("event_id"), F.lit("two").alias("quantity"))

@@ -3,8 +3,8 @@
 Two file layouts live side by side in a landing folder:
 
 * documents: indented JSON in UTF-8, whatever the file's name, compressed or not: an
-  object, a list of objects, or several of these one after the other. A document is
-  one task's work however large it is.
+  object, a list of objects, or several of these one after the other. Reading new files,
+  a large document is the work of several tasks.
 * lines: one compact envelope per line in part files, which is how this package
   writes. These files are splittable.
 
@@ -23,9 +23,12 @@ from pyspark.sql import functions as F
 
 from reachmill.functions.records import records
 from reachmill.sinks.files import Files
+from reachmill.sources.large import large_records
 
 CORRUPT = "_corrupt_record"
 
+LARGE = 64 << 20  # bytes from which a document is more than one task's work
+
 LINES = "part-*"
 # all other names: those that part from LINES at some character or end before it does
 DOCUMENTS = "{[!p]*,p[!a]*,pa[!r]*,par[!t]*,part[!-]*,p,pa,par,part}"
@@ -36,14 +39,24 @@ def read_envelopes(spark: SparkSession, folder: str, dataset: str, schema: str)
     return _both_layouts(lambda: spark.read, folder, schema)
 
 
-def read_files(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
-    """All envelopes of some files."""
-    lines = [path for path in paths if path.rsplit("/", 1)[-1].startswith("part-")]
-    documents = sorted(set(paths) - set(lines))
-    texts = [_texts(spark.read, [_literal(p) for p in some], "*", whole_file) for some, whole_file in ((documents, True), (lines, False)) if some]
-    if not texts:
-        return parse_envelopes(spark.createDataFrame([], "file_path string, value string"), schema)
-    return parse_envelopes(reduce(DataFrame.unionByName, texts), schema)
+def read_files(
+    spark: SparkSession, files: list[tuple[str, int]], schema: str, scratch: str, large: int = LARGE
+) -> DataFrame:
+    """All envelopes of some files, given as path and length. Documents of more than `large`
+    bytes are cut into their records, see `sources.large`, with `scratch` as a folder."""
+    lines = [path for path, _ in files if path.rsplit("/", 1)[-1].startswith("part-")]
+    documents = [(path, length) for path, length in files if path not in set(lines)]
+    small, huge = ([path for path, length in documents if (length > large) == is_large] for is_large in (False, True))
+    found = [
+        _records(_texts(spark.read, [_literal(p) for p in some], "*", whole_file))
+        for some, whole_file in ((small, True), (lines, False))
+        if some
+    ]
+    if huge:
+        found.append(large_records(spark, [_literal(p) for p in huge], scratch))
+    if not found:
+        found = [spark.createDataFrame([], "file_path string, text string, broken boolean")]
+    return _parsed(reduce(DataFrame.unionByName, found), schema)
 
 
 def _literal(path: str) -> str:
@@ -77,9 +90,16 @@ def parse_envelopes(texts: DataFrame, schema: str) -> DataFrame:
     One row per record. What cannot be read in full, or has a field of another type,
     has its text in `_corrupt_record`; its other columns are not to be relied on.
     """
+    return _parsed(_records(texts), schema)
+
+
+def _records(texts: DataFrame) -> DataFrame:
+    return texts.select("file_path", F.inline(records(F.col("value"))))
+
+
+def _parsed(rows: DataFrame, schema: str) -> DataFrame:
     parsed = F.from_json("text", f"{schema}, {CORRUPT} string",
                          {"columnNameOfCorruptRecord": CORRUPT})
-    rows = texts.select("file_path", F.inline(records(F.col("value"))))
     fields = rows.select("file_path", "text", "broken", parsed.alias("parsed")).select(
         "file_path", "text", "broken", "parsed.*"
     )

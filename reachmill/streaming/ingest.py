@@ -12,7 +12,7 @@ from reachmill.contracts import BRONZE, DATE_PARTS, LANDING
 from reachmill.functions.dates import with_date_parts
 from reachmill.plans.bronze import readable, unreadable
 from reachmill.sinks.files import Files
-from reachmill.sources.landing import read_files
+from reachmill.sources.landing import CORRUPT, LARGE, read_files
 from reachmill.sources.ledger import FILES_PER_BATCH, Batch, Ledger
 
 
@@ -36,6 +36,7 @@ def ingest(
     table_format: str = "parquet",
     max_files: int = FILES_PER_BATCH,
     archive: bool = False,
+    large: int = LARGE,
 ) -> Ingested:
     """Bring landing files not read before into bronze, and what cannot be read to `quarantine`.
 
@@ -44,14 +45,15 @@ def ingest(
     outputs are then taken from. Both are appended under the batch's number and the
     batch is closed after that, so a run that fails in between is repeated: the next one
     finds the envelopes, clears away what it has under that number, and writes it anew.
-    With `archive` read files are moved to `archive/<dataset>`.
+    With `archive` read files are moved to `archive/<dataset>`. Documents of more than
+    `large` bytes are read by several tasks.
     """
     folder = f"{lake}/checkpoints/{dataset}_{BRONZE}"
     ledger, done = Ledger(spark, folder, f"{lake}/{LANDING}/{dataset}"), Ingested()
     if archive:
         ledger.archive(f"{lake}/archive/{dataset}")
     for batch in ledger.batches(max_files):
-        envelopes = _envelopes(spark, batch, schema, f"{folder}/envelopes")
+        envelopes = _envelopes(spark, batch, schema, f"{folder}/envelopes", large)
         rows = with_date_parts(flatten(envelopes.where(readable())))
         aside = unreadable(envelopes, body)
         done.rows += _append(rows, f"{lake}/{BRONZE}/{dataset}", batch, table_format, DATE_PARTS)
@@ -64,13 +66,13 @@ def ingest(
     return done
 
 
-def _envelopes(spark: SparkSession, batch: Batch, schema: str, folder: str) -> DataFrame:
+def _envelopes(spark: SparkSession, batch: Batch, schema: str, folder: str, large: int) -> DataFrame:
     """The batch's envelopes, as a table that an earlier run may have written already."""
     path = f"{folder}/{batch.number:012d}"
-    read = read_files(spark, [path for path, *_ in batch.files], schema)
     if not (batch.again and Files(spark).exists(f"{path}/_SUCCESS")):
-        read.write.mode("overwrite").parquet(path)
-    return spark.read.schema(read.schema).parquet(path)
+        files = [(path, length) for path, length, _ in batch.files]
+        read_files(spark, files, schema, f"{folder}/pieces", large).write.mode("overwrite").parquet(path)
+    return spark.read.schema(f"file_path string, {schema}, {CORRUPT} string").parquet(path)
 
 
 def _append(
