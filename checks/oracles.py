@@ -576,6 +576,15 @@ from events where event_type = 'signup'
     EVENT_TEXTS,
 )
 
+ORACLES["t_events_in_order"] = sql(
+    """
+select 'landing/ventas/' || strftime(fecha, '%Y/%m/%d') || '/ventas_' || cast(event_id // 50 as varchar) || '.json' as file_path,
+       cast(row_number() over (partition by fecha, event_id // 50 order by ts, cast(event_id as varchar)) - 1 as integer) as place,
+       cast(event_id as varchar) as event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' as timestamp
+from fx_sales
+"""
+)
+
 TREE = """
 x_tree as (
   select *, sum(female + male) over (partition by ad_id, fecha) as total, 1 as unknown from fx_meta)

@@ -554,6 +554,14 @@ def q_event_contract_doubles(v: Views) -> DataFrame:
     return quality.event_violations(events, ["event_id"], [1, 2, 3], ["ecommerce"])
 
 
+@query
+def t_events_in_order(v: Views) -> DataFrame:
+    """The events of every sales envelope in the order of their times."""
+    ordered = extraction.in_time_order(F.col("events"))
+    placed = sales_envelopes(v).select("file_path", F.posexplode(ordered).alias("place", "event"))
+    return placed.select("file_path", "place", "event.event_id", "event.timestamp")
+
+
 @query
 def q_envelope_count(v: Views) -> DataFrame:
     """Sales envelopes, every third of which declares one event too many."""

@@ -47,13 +47,13 @@ class Files:
     def names(self, path: str) -> list[str]:
         return sorted(name for name, _ in self.children(path))
 
-    def stands_at(self, path: str, length: int, modified: float) -> bool:
-        """Whether the file is there with this length and time (seconds)."""
+    def stands_at(self, path: str, length: int, modified: int) -> bool:
+        """Whether the file is there with this length and time (milliseconds)."""
         found, store = self._at(path)
         if not store.exists(found):
             return False
         status = store.getFileStatus(found)
-        return status.getLen() == length and status.getModificationTime() == round(modified * 1000)
+        return status.getLen() == length and status.getModificationTime() == modified
 
     def write(self, path: str, text: str) -> None:
         """A small file, there as a whole or not at all."""

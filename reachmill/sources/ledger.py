@@ -14,13 +14,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reachmill.sinks.files import Files
 
-ENTRY = "path string, length bigint, modificationTime timestamp"
+ENTRY = "path string, length bigint, modified bigint"  # milliseconds since 1970
 FILES_PER_BATCH = 100_000  # bounds a batch, and the list of paths that the driver holds
 MOVERS = 16  # renames wait for the store, not for this machine
 
@@ -28,7 +28,7 @@ MOVERS = 16  # renames wait for the store, not for this machine
 @dataclass(frozen=True)
 class Batch:
     number: int
-    files: list[tuple[str, int, datetime]]
+    files: list[tuple[str, int, int]]
     again: bool  # an earlier run has opened it and may have written some of it
 
 
@@ -41,7 +41,7 @@ class Ledger:
         if not self.files.exists(self.landing):
             return self.spark.createDataFrame([], ENTRY)
         found = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(self.landing)
-        return found.select("path", "length", "modificationTime")
+        return found.select("path", "length", F.unix_millis("modificationTime").alias("modified"))
 
     def batches(self, most: int = FILES_PER_BATCH) -> Iterator[Batch]:
         """Batches of at most so many unread files, oldest first, until there is none. The next
@@ -67,9 +67,9 @@ class Ledger:
                     list(pool.map(lambda entry: self._put_away(to, *entry), entries))
                 self.files.delete(self._rows(number))
 
-    def _put_away(self, to: str, path: str, length: int, modified: datetime) -> None:
+    def _put_away(self, to: str, path: str, length: int, modified: int) -> None:
         # a file that was replaced after it was read stays: it is a new one
-        if self.files.stands_at(path, length, modified.timestamp()):
+        if self.files.stands_at(path, length, modified):
             below = path.split(self._below(), 1)[1]
             target = f"{to}/{below}"
             self.files.delete(target)
@@ -87,8 +87,8 @@ class Ledger:
     def _closed(self) -> int:
         return max((int(name) for name in self.files.names(f"{self.folder}/closed") if name.isdigit()), default=-1)
 
-    def _entries(self, number: int) -> list[tuple[str, int, datetime]]:
-        rows = self.spark.read.schema(ENTRY).parquet(self._rows(number)).orderBy("modificationTime", "path")
+    def _entries(self, number: int) -> list[tuple[str, int, int]]:
+        rows = self.spark.read.schema(ENTRY).parquet(self._rows(number)).orderBy("modified", "path")
         return [tuple(row) for row in rows.collect()]  # at most the files of a batch
 
     def _opened(self) -> Batch | None:
@@ -103,8 +103,8 @@ class Ledger:
         known, listed = self._numbers(), self.listing()
         if known:
             read = self.spark.read.schema(ENTRY).parquet(*(self._rows(n) for n in known))
-            listed = listed.join(read, ["path", "length", "modificationTime"], "left_anti")
-        files = [tuple(row) for row in listed.orderBy("modificationTime", "path").limit(most).collect()]
+            listed = listed.join(read, ["path", "length", "modified"], "left_anti")
+        files = [tuple(row) for row in listed.orderBy("modified", "path").limit(most).collect()]
         if not files:
             return None
         number = max([*known, self._closed()], default=-1) + 1
