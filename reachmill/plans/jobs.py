@@ -6,7 +6,8 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reachmill import contracts as names
@@ -119,6 +120,26 @@ def landing_to_bronze(
     }
 
 
+class Written(dict):
+    """Rows written per table. `read` has the rows of the relational inputs, as counted by the
+    same run; None for an input that Spark found it need not read."""
+
+    read: dict[str, int | None]
+
+
+def _counted(df: DataFrame, columns: list[str], counter: Observation) -> DataFrame:
+    """The needed columns of an input, counted as they are read. What is counted first is
+    what reaches the source, so columns and days have to be chosen before."""
+    return df.select(*columns).observe(counter, F.count(F.lit(1)).alias("rows"))
+
+
+def _rows(counter: Observation) -> int | None:
+    try:
+        return counter.get["rows"]
+    except Py4JError:
+        return None
+
+
 def bronze_to_silver(
     spark: SparkSession,
     lake: Lake,
@@ -127,8 +148,8 @@ def bronze_to_silver(
     products: DataFrame,
     start: date | None = None,
     end: date | None = None,
-) -> dict[str, int]:
-    """Rebuild the silver tables; returns rows written per table.
+) -> Written:
+    """Rebuild the silver tables; returns rows written per table, and rows read.
 
     With `start` or `end` only these days are read, worked out and replaced; days that
     have no rows any more are removed. Rows without a day are taken up by runs over all
@@ -139,7 +160,11 @@ def bronze_to_silver(
     snapshots = silver.demographic_snapshots(
         lake.read(spark, names.BRONZE, names.SNAPSHOTS, start, end)
     )
-    spend = spend.where(in_days(start, end, "date"))
+    counters = {name: Observation() for name in (names.SQL_SPEND, names.SQL_MAPPING, names.SQL_PRODUCTS)}
+    spent, mapped, sold = counters.values()
+    spend = _counted(spend.where(in_days(start, end, "date")), ["ad_id", "date", "daily_spend"], spent)
+    mapping = _counted(mapping, ["ad_id", "product_id"], mapped)
+    products = _counted(products, ["product_id", "product_name", "price"], sold)
     # snapshots come row by row from a table already laid out by day
     tables = {
         names.SILVER_SALES: (sales, True),
@@ -147,14 +172,17 @@ def bronze_to_silver(
         names.SILVER_SNAPSHOTS: (snapshots, False),
     }
     staging = Staging(spark, f"{lake.root}/.silver-next")
-    written = {
-        name: staging.add(
-            laid_out_by_day(df, rebalance),
-            silver_target(lake.path(names.SILVER, name), lake.table_format, days),
-        )
-        for name, (df, rebalance) in tables.items()
-    }
+    written = Written(
+        {
+            name: staging.add(
+                laid_out_by_day(df, rebalance),
+                silver_target(lake.path(names.SILVER, name), lake.table_format, days),
+            )
+            for name, (df, rebalance) in tables.items()
+        }
+    )
     staging.commit()
+    written.read = {name: _rows(counter) for name, counter in counters.items()}
     return written
 
 

@@ -400,9 +400,9 @@ def test_landing_to_gold(spark, tmp_path, rows, relational_tables):
     lake = Lake(str(tmp_path))
     for _ in range(2):
         assert set(landing_to_bronze(spark, lake)) == {"ventas", "meta_ads"}
-    assert bronze_to_silver(spark, lake, *relational_tables) == {
-        "ventas_diarias": 2, "ad_spend": 3, "meta_ads": 3
-    }
+    written = bronze_to_silver(spark, lake, *relational_tables)
+    assert written == {"ventas_diarias": 2, "ad_spend": 3, "meta_ads": 3}
+    assert written.read == {"daily_spend": 3, "ad_product_mapping": 2, "products": 1}
     assert silver_to_gold(spark, lake, schema="campaigns") == {
         "gold_demographic_reach": 5, "gold_ad_daily_metrics": 3,
         "gold_ad_total_metrics": 2, "gold_saturation_curve": 2,
@@ -421,6 +421,8 @@ def test_landing_to_gold(spark, tmp_path, rows, relational_tables):
     assert rows(spark.read.parquet(lake.path("gold", "gold_saturation_curve"))) == [
         (D1, Decimal("5.00"), 3, 30.0, 6.0), (D2, Decimal("6.50"), 1, 9.5, 1.46),
     ]
+    nothing = bronze_to_silver(spark, lake, relational_tables[0].limit(0), *relational_tables[1:], start=D2, end=D2)
+    assert nothing["ad_spend"] == 0 and nothing.read["daily_spend"] in (0, None)
     # a rerun over the same files and tables changes nothing
     bronze_to_silver(spark, lake, *relational_tables)
     assert silver_to_gold(spark, lake, schema="campaigns")["gold_ad_daily_metrics"] == 3
