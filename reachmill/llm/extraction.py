@@ -23,6 +23,7 @@ read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
 from html.parser import HTMLParser
@@ -74,15 +75,27 @@ class _Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.parent, self.tag, self.names, self.main = [-1], ["#page"], [()], [None]
         self.blocks: list[list] = []  # element, pieces of text, characters inside links
-        self.open: list[tuple[str, int]] = [("#page", 0)]
+        self.open: list[tuple[str, int]] = []
+        # what is looked up at every tag is kept, as a page may be as deep as it is long
+        self.blocks_open: list[int] = []  # the open block elements
+        self.times_open: Counter[str] = Counter()
+        self.head = -1  # where in open a head stands
+        self._push("#page", 0)
         self.silent, self.links, self.fresh = 0, 0, True
 
+    def _push(self, tag: str, element: int) -> None:
+        """Open an element; those that are no blocks have the number -1."""
+        if tag == "head" and self.head < 0:
+            self.head = len(self.open)
+        self.open.append((tag, element))
+        self.times_open[tag] += 1
+        if element >= 0:
+            self.blocks_open.append(element)
+
     def _end_head(self, everything: bool = False) -> None:
         """Close a head that is open; not from inside its title, scripts, styles or templates,
         unless everything in it ends."""
-        names = [name for name, _ in self.open]
-        inside = names[names.index("head") + 1 :] if "head" in names else ["none"]
-        if everything or all(name == "noscript" for name in inside):
+        if self.head >= 0 and (everything or all(name == "noscript" for name, _ in self.open[self.head + 1 :])):
             self._close("head", stop=())
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -92,13 +105,13 @@ class _Tree(HTMLParser):
             if tag == "br":
                 self.handle_data(" ")
             elif tag not in VOID:
-                self.open.append((tag, -1))
+                self._push(tag, -1)
                 self.links += tag == "a"
             return
         if tag in SILENT:
             # what is not shown does not part the text around it
             if tag not in VOID:
-                self.open.append((tag, -1))
+                self._push(tag, -1)
                 self.silent += 1
             return
         self.fresh |= tag not in FALLBACK
@@ -110,11 +123,11 @@ class _Tree(HTMLParser):
             return
         attributes = dict(attrs)
         told = " ".join(attributes.get(a) or "" for a in ("class", "id", "role")).lower()
-        self.parent.append(next(n for _, n in reversed(self.open) if n >= 0))
+        self.parent.append(self.blocks_open[-1])
         self.tag.append(tag)
         self.names.append(tuple(sorted({_GROUP[w] for w in _WORD.findall(told) if w in _GROUP})))
         self.main.append(attributes.get("data-main"))
-        self.open.append((tag, len(self.tag) - 1))
+        self._push(tag, len(self.tag) - 1)
 
     def handle_endtag(self, tag: str) -> None:
         if tag not in INLINE and tag not in SILENT and tag not in FALLBACK:
@@ -123,13 +136,19 @@ class _Tree(HTMLParser):
 
     def _close(self, tag: str, stop) -> None:
         """Close the nearest open element of that name, with all inside; not beyond stop."""
+        if not self.times_open[tag]:
+            return
         for at in range(len(self.open) - 1, 0, -1):
             name = self.open[at][0]
             if name == tag:
-                for gone, _ in self.open[at:]:
+                for gone, element in self.open[at:]:
                     self.silent -= gone in SILENT
                     self.links -= gone == "a"
+                    self.times_open[gone] -= 1
+                    if element >= 0:
+                        self.blocks_open.pop()
                 del self.open[at:]
+                self.head = -1 if self.head >= at else self.head
                 return
             if name in stop:
                 return
@@ -139,7 +158,7 @@ class _Tree(HTMLParser):
             self._end_head()
         if self.silent or not data:
             return
-        element = next(n for _, n in reversed(self.open) if n >= 0)
+        element = self.blocks_open[-1]
         if self.fresh or not self.blocks or self.blocks[-1][0] != element:
             self.blocks.append([element, [], 0])
             self.fresh = False
@@ -242,7 +261,8 @@ def marginals(trees: Forest, model: Model) -> tuple[np.ndarray, np.ndarray]:
     pair = model.pair
     odds = _scores(trees, model.unary)  # own potential and the messages from below
     up = np.zeros(n)
-    levels = [np.flatnonzero(trees.depth == d) for d in range(int(trees.depth.max(initial=0)) + 1)]
+    # the elements of each depth, in order
+    levels = np.split(np.argsort(trees.depth, kind="stable"), np.cumsum(np.bincount(trees.depth, minlength=1))[:-1])
 
     def sent(given: np.ndarray, table: np.ndarray) -> np.ndarray:
         """Message over an edge from a variable with these log odds; table[to, from]."""

@@ -209,3 +209,18 @@ def test_pairs_are_told_alike_in_portions_of_any_size():
     for limit in (1, 40, 500, 10_000):
         assert within(left, right, 2, limit).tolist() == whole
     assert within([], [], 2).tolist() == []
+
+
+@pytest.mark.parametrize("shape", ["<div>", "<div><span>", "<ul><li>", "<b>", "<body><div>", "</p><div></i>"])
+def test_pages_as_deep_as_they_are_long_take_linear_time(shape):
+    import time
+
+    model = extraction.Model(np.zeros(4093), np.zeros((2, 2)))
+
+    def seconds(n):
+        began = time.process_time()
+        extraction.marginals(extraction.forest(["<html><head><title>t</title></head>" + shape * n + "text " * 20]), model)
+        return time.process_time() - began
+
+    seconds(500)
+    assert seconds(16_000) < 8 * max(seconds(4_000), 0.05)
