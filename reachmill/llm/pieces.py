@@ -3,13 +3,17 @@
 A text is cut into units (a word with the spaces before it); no piece of the vocabulary
 reaches over the end of a unit, so units are merged apart from each other. Every unit has
 an agenda of candidate merges. The best candidate is taken again and again; a candidate
-is skipped when a hash keyed by seed, document, unit, place and resulting piece falls
-below the dropout rate. So a document is cut alike on every run and every cluster, and
-other documents, or another seed, cut the same word otherwise. With rate 0 the result is
-the model's own segmentation.
+is skipped when a hash keyed by seed, document, the unit and its place in the document, the
+place inside the unit and the resulting piece falls below the dropout rate. So a document
+is cut alike on every run and every cluster, while the same word is cut otherwise
+elsewhere in it, in other documents, or with another seed. With rate 0 the result is the
+model's own segmentation.
 
 All units of many texts are merged together in numpy: one round takes the best candidate
-of each unit that still has one. Equal units of a document are merged once.
+of each unit that still has one. A unit of more than a thousand characters (text without
+spaces, encoded data) has an agenda of its own, a heap over linked neighbours, whose cost
+grows with the unit's length and not with its square. Without dropout equal units are
+merged once.
 
 Spaces become the model's space mark, with one put in front of the text. Characters
 outside the vocabulary, and a space mark that stands in the text itself, become byte
@@ -22,8 +26,10 @@ repeated rows are cut alike; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +45,8 @@ _SPACE = 0x2581
 _BLOCK = 1 << 17
 _NEVER = np.int32(1 << 30)
 _U = np.uint64
+_ALL = (1 << 64) - 1
+_LONG = 1024
 
 
 @dataclass
@@ -89,6 +97,12 @@ class Vocabulary:
             raise ValueError("this model has no byte pieces, so it cannot spell every text")
         return Vocabulary(raw, np.array([c for c, _ in single], dtype=np.uint32), np.array([i for _, i in single], dtype=np.int32), byte_ids, slots, merged, rank)
 
+    @cached_property
+    def pairs(self) -> dict[int, int]:
+        """What joined looks up, for one pair at a time."""
+        used = np.flatnonzero(self.slots)
+        return dict(zip((self.slots[used] - 1).tolist(), self.merged[used].tolist(), strict=True))
+
     def symbols(self, codes: np.ndarray) -> np.ndarray:
         """The piece of each code point, or minus the code point where there is none."""
         at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
@@ -123,7 +137,16 @@ def merged_units(vocabulary: Vocabulary, symbol: np.ndarray, unit: np.ndarray, k
     """Run the agendas of all units. symbol and unit (ascending) describe their characters;
     key is a 64-bit number for each unit. Returns the same pair after all merges."""
     place = np.arange(len(symbol)) - np.searchsorted(unit, unit)
-    edge = _U(min(int(dropout * 2.0**64), (1 << 64) - 1))
+    edge = _U(min(int(dropout * 2.0**64), _ALL))
+    done_symbol, done_unit = [], []
+    long = np.flatnonzero(np.bincount(unit) > _LONG) if len(unit) else unit
+    for u in long.tolist():
+        begin, end = np.searchsorted(unit, [u, u + 1])
+        done_symbol.append(_merged_long(vocabulary, symbol[begin:end], int(key[u]), dropout))
+        done_unit.append(np.full(len(done_symbol[-1]), u, dtype=unit.dtype))
+    if len(long):
+        short = ~np.isin(unit, long)
+        symbol, unit, place = symbol[short], unit[short], place[short]
 
     def candidates(at: np.ndarray, sym: np.ndarray, own: np.ndarray, pos: np.ndarray, following: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and piece of merging each symbol of at with the one after it."""
@@ -134,7 +157,6 @@ def merged_units(vocabulary: Vocabulary, symbol: np.ndarray, unit: np.ndarray, k
             usable &= draw >= edge
         return np.where(usable, vocabulary.rank[np.maximum(piece, 0)], _NEVER), piece
 
-    done_symbol, done_unit = [], []
     sym, own, pos = symbol, unit, place
     rank = np.full(len(sym), _NEVER, dtype=np.int32)
     piece = np.full(len(sym), -1, dtype=np.int32)
@@ -173,6 +195,52 @@ def merged_units(vocabulary: Vocabulary, symbol: np.ndarray, unit: np.ndarray, k
     return sym[order], own[order]
 
 
+def _merged_long(vocabulary: Vocabulary, symbol: np.ndarray, key: int, dropout: float) -> np.ndarray:
+    """The same for one long unit, with a heap of candidates. An entry whose symbols have
+    changed since is passed over when its turn comes."""
+    n, rank = len(vocabulary.pieces), vocabulary.rank
+    edge = min(int(dropout * 2.0**64), _ALL) if dropout > 0 else 0
+    sym = symbol.tolist()
+    after = [*range(1, len(sym)), -1]
+    before = [-1, *range(len(sym) - 1)]
+    heap: list[tuple[int, int, int, int]] = []  # rank, place, its symbol, the one after it
+
+    def candidate(at: int) -> tuple[int, int, int, int] | None:
+        left, right = sym[at], sym[after[at]]
+        piece = vocabulary.pairs.get(left * n + right, -1) if left >= 0 and right >= 0 else -1
+        if piece < 0 or (edge and _mixed(key ^ _mixed(((at << 32) + piece) & _ALL)) < edge):
+            return None
+        return int(rank[piece]), at, left, right
+
+    for at in range(len(sym) - 1):
+        if (found := candidate(at)) is not None:
+            heap.append(found)
+    heapq.heapify(heap)
+    gone = [False] * len(sym)
+    while heap:
+        _, at, left, right = heapq.heappop(heap)
+        following = after[at]
+        if gone[at] or following < 0 or sym[at] != left or sym[following] != right:
+            continue
+        sym[at] = vocabulary.pairs[left * n + right]
+        gone[following], after[at] = True, after[following]
+        if after[at] >= 0:
+            before[after[at]] = at
+        for changed in (at, before[at]):
+            if changed >= 0 and after[changed] >= 0 and (found := candidate(changed)) is not None:
+                heapq.heappush(heap, found)
+    return np.array([s for s, g in zip(sym, gone, strict=True) if not g], dtype=symbol.dtype)
+
+
+def _mixed(x: int) -> int:
+    """textarrays.mix of one number."""
+    x ^= x >> 30
+    x = x * 0xBF58476D1CE4E5B9 & _ALL
+    x ^= x >> 27
+    x = x * 0x94D049BB133111EB & _ALL
+    return x ^ x >> 31
+
+
 def _units(block: Block) -> tuple[np.ndarray, np.ndarray]:
     """Where the units of the block's texts begin, and their text. A unit begins with the
     first space of a run, at a line feed and after it, and at the start of a text."""
@@ -196,8 +264,9 @@ def encoded(vocabulary: Vocabulary, texts: list[str | None], keys: list[str], dr
         names = np.array([int.from_bytes(hashlib.blake2b(f"{seed}:{k}".encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") for k in keys[begin : begin + block.n]], dtype=_U)
         unit_key = block.hashes(starts, ends)
         if dropout > 0:
-            unit_key = mix(unit_key + names[text] * _U(0x9E3779B97F4A7C15))
-        # equal units are merged once
+            place = np.arange(len(text)) - np.searchsorted(text, text)
+            unit_key = mix(unit_key + names[text] * _U(0x9E3779B97F4A7C15) + mix(place.astype(_U)))
+        # units of one key are merged once
         _, first, kind = np.unique(unit_key, return_index=True, return_inverse=True)
         sizes = (ends - starts)[first]
         at = np.repeat(starts[first] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())

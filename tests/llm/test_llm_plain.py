@@ -9,7 +9,7 @@ import sentencepiece
 
 from reachmill.llm import classifier, extraction, lines, mixing, neardup, pieces, warc
 from reachmill.llm.labelled_pages import labelled_pages
-from reachmill.llm.textarrays import Block, blocks
+from reachmill.llm.textarrays import Block, blocks, mix
 
 TEXTS = ["", "a", " two words\n\nA  a\ta ", "Été 漢字 \U0001f600 x\x0bA\r\n", "\n", "word " * 50]
 
@@ -224,3 +224,60 @@ def test_pages_as_deep_as_they_are_long_take_linear_time(shape):
 
     seconds(500)
     assert seconds(16_000) < 8 * max(seconds(4_000), 0.05)
+
+
+def plain_agenda(vocabulary, symbols, key, dropout):
+    """Take the best candidate that is not skipped, again and again."""
+    edge = int(dropout * 2.0**64)
+    left = [(s, place) for place, s in enumerate(symbols)]
+    while True:
+        best = None
+        for k in range(len(left) - 1):
+            piece = int(vocabulary.joined(np.array([left[k][0]]), np.array([left[k + 1][0]]))[0])
+            if piece < 0:
+                continue
+            inner = mix(np.array([(left[k][1] << 32) + piece], dtype=np.uint64))
+            if int(mix(np.uint64(key) ^ inner)[0]) < edge:
+                continue
+            if best is None or vocabulary.rank[piece] < best[0]:
+                best = (vocabulary.rank[piece], k, piece)
+        if best is None:
+            return [s for s, _ in left]
+        _, k, piece = best
+        left[k : k + 2] = [(piece, left[k][1])]
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.1, 0.5, 1.0])
+@pytest.mark.parametrize("long", [pieces._LONG, 3])
+def test_pieces_are_those_of_a_plain_agenda(vocabulary, monkeypatch, dropout, long):
+    monkeypatch.setattr(pieces, "_LONG", long)
+    r = random.Random(3)
+    words = ["international", "aaaaaaaaaaaaaaa", "über", "x", "the", "\u2603\u2603", "".join(r.choices("etaoinshr", k=60))] * 3
+    codes = [np.frombuffer(("\u2581" + w).encode("utf-32-le"), dtype="<u4") for w in words]
+    symbols = [vocabulary.symbols(c).astype(np.int32) for c in codes]
+    keys = np.array([r.getrandbits(64) for _ in words], dtype=np.uint64)
+    unit = np.repeat(np.arange(len(words)), [len(s) for s in symbols])
+    found, own = pieces.merged_units(vocabulary, np.concatenate(symbols), unit, keys, dropout)
+    for k, s in enumerate(symbols):
+        assert found[own == k].tolist() == plain_agenda(vocabulary, s.tolist(), int(keys[k]), dropout)
+
+
+def test_the_same_word_is_cut_otherwise_elsewhere_in_a_text(vocabulary):
+    (ids,) = pieces.encoded(vocabulary, ["international " * 40], ["7"], 0.3, 0)
+    assert pieces.decoded(vocabulary, ids) == "international " * 40
+    text = b"".join(vocabulary.pieces[i] + b"|" for i in ids.tolist())
+    assert len({w for w in text.replace(b"| ", b"\n").split(b"\n")}) > 4
+    # blocks do not matter
+    together = pieces.encoded(vocabulary, ["a b c " * 50_000, "international " * 40], ["1", "7"], 0.3, 0)
+    assert together[1].tolist() == ids.tolist()
+
+
+def test_long_units_take_time_by_their_length(vocabulary):
+    import time
+
+    r = random.Random(1)
+    text = "".join(r.choices("etaoinshrdlu", k=200_000))
+    began = time.process_time()
+    (ids,) = pieces.encoded(vocabulary, [text], ["1"], 0.1, 0)
+    assert time.process_time() - began < 20
+    assert pieces.decoded(vocabulary, ids) == text
