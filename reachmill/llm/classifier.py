@@ -1,8 +1,8 @@
 """Supervised subword embeddings for quality.
 
 Every document is the average of learned vectors: one for each word, one for each pair of
-neighbouring words by its form (the same word again or another one), and one for each run
-of 3 and of 5 characters, found by hashing into a table of fixed size. A softmax over the
+neighbouring words, one for whether a word follows itself, and one for each run of 3 and of
+5 characters, found by hashing into a table of fixed size. A softmax over the
 average gives the probability of each label. Vectors and weights are trained by
 stochastic gradient descent in numpy on a bounded sample of labelled documents; the
 sample is the max_documents with the smallest hash of their id, and a document's whole
@@ -28,14 +28,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reachmill.llm.textarrays import Block, blocks, portions
+from reachmill.llm.textarrays import Block, blocks, portions, shingles
 
 _BLOCK = 1 << 17
 _GRAMS = (3, 5)
 
 
 def _features(block: Block, buckets: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Bucket and text number of every word and character run."""
+    """Bucket and text number of every word, pair of words and character run."""
     starts, ends, text = block.words()
     if len(starts):
         word = block.hashes(starts, ends)
@@ -43,6 +43,8 @@ def _features(block: Block, buckets: int) -> Iterator[tuple[np.ndarray, np.ndarr
         again = np.where(word[1:] == word[:-1], buckets - 1, buckets - 2)
         pair = text[1:] == text[:-1]
         yield again[pair], text[1:][pair]
+        pairs, owner = shingles(word, text, 2)
+        yield (pairs[owner >= 0] % np.uint64(buckets)).astype(np.int64), owner[owner >= 0]
     position = np.arange(len(block.codes))
     owner = np.repeat(np.arange(block.n), block.ends - block.starts)
     for n in _GRAMS:

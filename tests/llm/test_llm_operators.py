@@ -1,6 +1,7 @@
 """The training text operators against plain Python, with the odd rows of every kind."""
 
 import hashlib
+import math
 import random
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from reachmill.llm import chat, classifier, exact, extraction, lines, mixing, neardup, pieces, quality, warc
 from reachmill.llm.scratch import Scratch
+from reachmill.llm.textarrays import Block
 from reachmill.llm.shipping import ship
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, bucket string, component string, line string"
@@ -175,6 +177,11 @@ def test_classifier_tells_held_out_junk_and_scores_every_row(spark, docs, none):
     assert all((x["score"] >= 0.3) == (x["quality"] == 1) for x in scored)
     every = docs.withColumn("score", classifier.score(F.col("text"), model)).collect()
     assert len(every) == docs.count() and all(0 <= x["score"] <= 1 for x in every)
+    # a plain average of the pulls of every feature, through the softmax of two labels
+    for x in every[:40]:
+        found = [b for bucket, _ in classifier._features(Block([x["text"] or ""]), len(model.pull)) for b in bucket.tolist()]
+        logit = (sum(float(model.pull[b]) for b in found) / len(found) if found else 0.0) + model.bias
+        assert x["score"] == pytest.approx(1 / (1 + math.exp(-max(-60, min(60, logit)))), rel=1e-6)
     alone = classifier.fit(frame, frame.limit(0).select("doc_id", "quality"), "doc_id", "text", "quality", buckets=64)
     assert {round(x["score"], 6) for x in docs.withColumn("score", classifier.score(F.col("text"), alone)).collect()} == {0.5}
     assert none.withColumn("score", classifier.score(F.col("text"), alone)).count() == 0

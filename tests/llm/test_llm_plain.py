@@ -281,3 +281,28 @@ def test_long_units_take_time_by_their_length(vocabulary):
     (ids,) = pieces.encoded(vocabulary, [text], ["1"], 0.1, 0)
     assert time.process_time() - began < 20
     assert pieces.decoded(vocabulary, ids) == text
+
+
+def test_features_are_those_of_a_plain_loop():
+    buckets = 1 << 12
+
+    def named(text, seed=0):
+        block = Block([text])
+        return int(block.hashes(np.array([0]), np.array([len(text)]), seed=seed)[0])
+
+    def plain(text):
+        words = [w for w in text.replace("\t", " ").replace("\n", " ").split(" ") if w]
+        found = [named(w) % buckets for w in words]
+        for a, b in itertools.pairwise(words):
+            found.append(buckets - 1 if a == b else buckets - 2)
+            joined = (named(a) * 0x9E3779B97F4A7C15 + named(b)) % 2**64
+            found.append(int(mix(np.array([joined], dtype=np.uint64))[0]) % buckets)
+        for n in (3, 5):
+            found += [named(text[k : k + n], seed=n) % buckets for k in range(len(text) - n + 1)]
+        return sorted(found)
+
+    for text in ["", "one", "the the cat sat", "é ü\tx\ny", "to be or not to be"]:
+        found = [b for bucket, _ in classifier._features(Block([text]), buckets) for b in bucket.tolist()]
+        assert sorted(found) == plain(text)
+        counted = [np.frombuffer(c, dtype="<u4").reshape(2, -1) for c in classifier._counts([text], buckets)][0]
+        assert np.repeat(counted[0], counted[1]).tolist() == plain(text)
