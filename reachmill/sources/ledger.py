@@ -45,11 +45,14 @@ class Ledger:
 
     def batches(self, most: int = FILES_PER_BATCH) -> Iterator[Batch]:
         """Batches of at most so many unread files, oldest first, until there is none. The next
-        one is opened when the one before has been closed."""
+        one is opened when the one before has been closed. A new batch that has room left was
+        the last one; files that have come since are for the next run."""
         while (batch := self._opened() or self._open(most)) is not None:
             yield batch
             if batch.number > self._closed():
                 raise RuntimeError(f"batch {batch.number} was not closed")
+            if not batch.again and len(batch.files) < most:
+                return
 
     def close(self, batch: Batch) -> None:
         before = self.files.names(f"{self.folder}/closed")

@@ -90,7 +90,7 @@ def _append(
         if batch.again:
             for left in files.matching(path + "/*" * len(partitions) + f"/{name}-*"):
                 files.delete(left)
-    if df.isEmpty():
+    if not partitions and df.isEmpty():  # else a file without rows would be left each time
         return 0
     counter = Observation()
     writer_of(df.observe(counter, F.count(F.lit(1)).alias("rows"))).save(path)
