@@ -79,8 +79,9 @@ def linked_components(
     # meets several pivots, and few enough for every pair to be tested
     order = F.element_at(F.array(*[F.lit(c) for c in _ORDERS]), (F.pmod(F.col("bucket"), F.lit(len(_ORDERS))) + 1).cast("int"))
     drawn = members.withColumn("draw", F.col("id").bitwiseXOR(order))
-    buckets = drawn.groupBy("bucket").agg(F.min("draw").alias("least"), F.max("draw").alias("most")).where("least <> most")
-    inside = members.join(buckets, "bucket").select("bucket", "id", F.col("least").bitwiseXOR(order).alias("pivot"))
+    more = F.count(F.lit(1)) > 2
+    buckets = drawn.groupBy("bucket").agg(F.min("draw").alias("least"), F.max("draw").alias("most"), more.alias("more")).where("least <> most")
+    inside = members.join(buckets, "bucket").select("bucket", "id", F.col("least").bitwiseXOR(order).alias("pivot"), "more")
     inside = scratch.keep(inside.distinct(), "inside")
     # written first: a join with what has just been counted could not be split at a hot id
     ids = scratch.keep(inside.select("id").distinct(), "ids")
@@ -89,15 +90,21 @@ def linked_components(
     links = scratch.keep(linked(pairs, contents), "links-pivot")
     first = components(links, scratch, "first")
 
-    # buckets in which components still meet; two members need no further look
-    large = inside.join(first, "id", "left").select("bucket", "id", "pivot", F.coalesce("component", "id").alias("component"))
-    heads = large.where("id = pivot").select("bucket", F.col("component").alias("head"))
-    known = large.join(heads, "bucket")
-    mixed = known.where("component <> head").groupBy("bucket").agg(F.count(F.lit(1)).alias("n_other"))
-    # the pivot was compared with everyone: it stands for its component's members, not for itself
-    open_ = known.where("id <> pivot").join(mixed, "bucket")
-    sizes = open_.groupBy("bucket").agg(F.count(F.lit(1)).alias("n_all"))
-    open_ = open_.join(sizes, "bucket").where("n_all > 1")
+    # two members need no further look. The others get their component once: written, as both
+    # the counts and the members of open buckets read it
+    known = inside.where("more").join(first, "id", "left").select("bucket", "id", "pivot", F.coalesce("component", "id").alias("component"))
+    known = scratch.keep(known, "known")
+    scratch.drop("inside")
+    # buckets in which components still meet. The pivot was compared with everyone: it stands
+    # for its component's members, not for itself
+    is_pivot = F.col("id") == F.col("pivot")
+    parts = known.groupBy("bucket", "component").agg(F.count_if(~is_pivot).alias("n"), F.bool_or(is_pivot).alias("of_pivot"))
+    counted = parts.groupBy("bucket").agg(
+        F.max(F.when(F.col("of_pivot"), F.col("component"))).alias("head"),
+        F.sum("n").alias("n_all"),
+        F.sum(F.when(F.col("of_pivot"), 0).otherwise(F.col("n"))).alias("n_other"),
+    )
+    open_ = known.where(~is_pivot).join(counted.where("n_other > 0 and n_all > 1"), "bucket")
     of = lambda n: F.ceil(F.col(n) / block).cast("int")
     # side 0: members outside the pivot's component, against each other; side 1: those inside it
     other = F.col("component") != F.col("head")
@@ -115,5 +122,5 @@ def linked_components(
     cells = cells.select(F.struct("bucket", "_cell").alias("cell"), F.when(other, 0).otherwise(1).alias("side"), "id", "component")
     late = scratch.keep(linked_inside(cells.join(contents, "id")), "links-blocks")
     found = components(links.union(late), scratch, "all")
-    scratch.drop("inside", "ids", "contents", "links-*", "first-*")
+    scratch.drop("known", "ids", "contents", "links-*", "first-*")
     return found

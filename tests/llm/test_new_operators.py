@@ -170,6 +170,39 @@ def test_every_link_is_found_among_planted_fingerprints(spark, distance, monkeyp
     assert [found[k] for k in range(len(prints))] == plain_components(prints, list(range(len(prints))), distance)
 
 
+class Watched(Scratch):
+    """Notes the plan that each table is written by."""
+
+    def keep(self, frame, name, rows=None):
+        self.__dict__.setdefault("plans", {})[name] = frame._jdf.queryExecution().optimizedPlan().toString()
+        self.__dict__.setdefault("kept", {})[name] = super().keep(frame, name, rows)
+        return self.kept[name]
+
+    def drop(self, *names):
+        """The tables stay for the test to read."""
+
+
+def test_members_of_buckets_get_their_component_once(spark, monkeypatch):
+    pick = random.Random(12)
+    centre = pick.getrandbits(64)
+    prints = {centre ^ sum(1 << b for b in pick.sample(range(64), pick.randrange(8))) for _ in range(400)}
+    prints = [*prints, *(pick.getrandbits(64) for _ in range(100))]
+    signed = [p - 2**64 if p >= 2**63 else p for p in prints]
+    rows = spark.createDataFrame([(k, str(p)) for k, p in enumerate(signed)], "doc_id long, text string")
+    monkeypatch.setattr(simhash, "fingerprint", lambda text, n, seed: text.cast("long"))
+    scratch = Watched(spark, "watched")
+    found = {r["id"]: r["component_id"] for r in simhash.classes(rows, scratch).collect()}
+    assert [found[k] for k in range(len(prints))] == plain_components(prints, list(range(len(prints))))
+    # one join brings the components to the members, and the pairs of a bucket of two are left out of it
+    assert [name for name, plan in scratch.plans.items() for _ in range(plan.count("Join LeftOuter, (id#"))] == ["known"]
+    buckets = {}
+    for r in scratch.kept["inside"].collect():
+        buckets.setdefault(r["bucket"], []).append(r["id"])
+    assert min(map(len, buckets.values())) == 2 < max(map(len, buckets.values()))
+    known = sorted((r["bucket"], r["id"]) for r in scratch.kept["known"].collect())
+    assert known == sorted((b, i) for b, ids in buckets.items() if len(ids) > 2 for i in ids)
+
+
 @pytest.mark.parametrize("distance", [1, 2, 3, 4, 7, 12])
 def test_chains_keep_every_pair_within_the_distance(distance):
     pick, ring = random.Random(1), simhash.segments(distance)
