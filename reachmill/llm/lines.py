@@ -7,7 +7,8 @@ at a place that the difference in length bounds, so every line is indexed under
 segments and length, and looks itself up under its substrings at those places for all
 lengths down to its own less max_edits. Lines that meet under a key are candidates, and
 a banded bit-parallel edit distance decides; all pairs of a batch move through their
-columns together.
+columns together. Lines of one bucket that share a segment and differ elsewhere, as those
+made from one template do, are told apart by the counts of their letters before that.
 
 Copies form classes (components.linked_components: members meet pivots first, the pairs of
 a group are never emitted). Of every class the first line, by document id and line number,
@@ -43,6 +44,7 @@ from reachmill.llm.scratch import Scratch
 from reachmill.llm.textarrays import blocks, mix, portions
 
 _BLOCK = 1 << 18
+_BINS = 64
 _U = np.uint64
 
 
@@ -223,7 +225,11 @@ def _linked(max_edits: int):
         for batch in batches:
             for begin, left in portions(batch.column(2)):
                 part = batch.slice(begin, len(left))
-                close = within(left, part.column(3).to_pylist(), max_edits)
+                right = part.column(3).to_pylist()
+                at = np.arange(len(left))
+                close = _alike(_letters(left + right), at, at + len(left), max_edits)
+                at = at[close]
+                close[at] = within([left[n] for n in at], [right[n] for n in at], max_edits)
                 yield part.select([0, 1]).filter(pa.array(close))
 
     def test(pairs: DataFrame, contents: DataFrame) -> DataFrame:
@@ -235,18 +241,77 @@ def _linked(max_edits: int):
     return test
 
 
+def _letters(texts: list[str]) -> np.ndarray:
+    """How many characters of each line fall into each of 64 bins. An edit changes two of the
+    counts by one at most."""
+    counts = np.zeros((len(texts), _BINS), dtype=np.int16)
+    for begin, block in blocks(texts, _BLOCK):
+        owner = np.repeat(np.arange(block.n), block.ends - block.starts)
+        found = np.bincount(owner * _BINS + block.codes % _BINS, minlength=block.n * _BINS)
+        # a count cut off at the type's end only makes lines more alike
+        counts[begin : begin + block.n] = np.minimum(found, np.iinfo(np.int16).max).reshape(block.n, _BINS)
+    return counts
+
+
+def _alike(counts: np.ndarray, left: np.ndarray, right: np.ndarray, max_edits: int, limit: int = 1 << 13) -> np.ndarray:
+    """Which pairs of rows differ by no more counts than max_edits edits can change."""
+    alike = np.zeros(len(left), dtype=bool)
+    for begin in range(0, len(left), limit):
+        part = slice(begin, begin + limit)
+        differing = counts[left[part]] - counts[right[part]]
+        alike[part] = np.abs(differing, out=differing).sum(axis=1, dtype=np.int32) <= 2 * max_edits
+    return alike
+
+
+def linked_rows(rows: pa.Table, max_edits: int, limit: int = 1024) -> Iterator[pa.Table]:
+    """Links (a, b) inside the cells of rows (cell, side, id, component, line), which lie cell by
+    cell. Cells of about limit rows go together: nearly all of their pairs differ in their
+    letters, which costs a few numbers each, and the others move through one edit distance."""
+    cell = rows["cell"].to_numpy()
+    bounds = np.r_[np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]), len(cell)] if len(cell) else np.zeros(1, dtype=np.int64)
+    first = 0
+    while first < len(bounds) - 1:
+        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + limit, side="right")) - 1)
+        part = rows.slice(bounds[first], bounds[last] - bounds[first])
+        ids, component, side = (part[c].to_numpy() for c in ("id", "component", "side"))
+        line = part["line"].to_pylist()
+        length = np.fromiter(map(len, line), dtype=np.int64, count=len(line))
+        pairs = []
+        for begin, end in zip(bounds[first:last] - bounds[first], bounds[first + 1 : last + 1] - bounds[first], strict=True):
+            n, c, free = length[begin:end], component[begin:end], side[begin:end] == 0
+            near = (np.abs(n[:, None] - n[None, :]) <= max_edits) & (c[:, None] != c[None, :]) & (free[:, None] | free[None, :])
+            pairs.append(np.argwhere(np.triu(near, 1)) + begin)
+        i, j = np.concatenate(pairs).T
+        if len(i):
+            alike = _alike(_letters(line), i, j, max_edits)
+            i, j = i[alike], j[alike]
+            close = within([line[n] for n in i], [line[n] for n in j], max_edits)
+            yield _forest(ids, component, i[close], j[close])
+        first = last
+
+
 def _linked_inside(max_edits: int):
-    def compare(table: pa.Table) -> pa.Table:
-        ids, component = table["id"].to_numpy(), table["component"].to_numpy()
-        side, line = table["side"].to_numpy(), table["line"].to_pylist()
-        length = np.array([len(x) for x in line])
-        near = np.abs(length[:, None] - length[None, :]) <= max_edits
-        near &= (component[:, None] != component[None, :]) & ((side[:, None] == 0) | (side[None, :] == 0))
-        i, j = np.nonzero(np.triu(near, 1))
-        close = within([line[n] for n in i], [line[n] for n in j], max_edits)
-        return _forest(ids, component, i[close], j[close])
-
-    return lambda cells: cells.groupBy("cell").applyInArrow(compare, "a bigint, b bigint")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            # the last cell may go on in the next batch
+            cell = rows["cell"].to_numpy()
+            whole = int(np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])[-1]) if len(cell) else 0
+            for links in linked_rows(rows.slice(0, whole), max_edits):
+                yield from links.to_batches()
+            held = rows.slice(whole)
+        if held is not None:
+            for links in linked_rows(held, max_edits):
+                yield from links.to_batches()
+
+    def compare(cells: DataFrame) -> DataFrame:
+        # cells whose hashes agree by chance are compared as one: a link is a link in any cell
+        named = cells.select(F.xxhash64("cell").alias("cell"), "side", "id", "component", "line")
+        return named.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a bigint, b bigint")
+
+    return compare
 
 
 def classes(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", max_edits: int = 2, min_chars: int = 20, edit_chars: int = 10, order: str | None = None) -> DataFrame:

@@ -141,6 +141,28 @@ def test_lines_of_every_length_take_part(spark, none):
     assert left == {0: texts[0], 1: "menus\nab", 2: "\nb\nabcdefghi", 3: "abcdefghx\n\t"}
 
 
+def test_lines_of_one_template_are_classed_as_by_brute_force(spark):
+    """Cells of a wide bucket lie next to each other and go on over batches."""
+    ship(spark)
+    r = random.Random(6)
+    texts = []
+    for n in range(400):
+        line = f"posted in the forum of the town by {''.join(r.choices('abcdefgh', k=9))} some day"
+        texts.append(line if n % 5 else r.choice(texts or [line]).replace("some", "same")[: -1 - n % 2])
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "37")
+    try:
+        found = {r["doc_id"]: r["class_doc_id"] for r in lines.classes(frame, Scratch(spark, "t-template"), min_chars=1).collect()}
+    finally:
+        spark.conf.set(size, before)
+    pairs = [(i, j) for j in range(len(texts)) for i in range(j)]
+    near = lines.within([texts[i] for i, _ in pairs], [texts[j] for _, j in pairs], 2)
+    expected = roots(len(texts), [pair for pair, close in zip(pairs, near) if close])
+    assert len(set(expected)) > 200 and found == dict(enumerate(expected))
+
+
 def test_near_duplicate_classes_are_those_of_brute_force(spark, docs, none):
     found = {(r["id"], r["n_shingles"], r["component_id"], r["kept"]) for r in neardup.classes(docs, Scratch(spark, "t-near"), n=3, percent=85, bands=20, rows=6).collect()}
     rows = sorted({(r["doc_id"], r["text"]) for r in docs.collect() if r["doc_id"] is not None}, key=lambda r: r[0])

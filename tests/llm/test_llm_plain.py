@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -63,6 +64,49 @@ def test_banded_distance_and_segment_keys_agree_with_plain_distance(edits):
             assert keys[int(i)] & keys[int(i) + len(left)]
 
 
+def test_lines_of_one_template_are_told_apart_by_their_letters(monkeypatch):
+    r = random.Random(4)
+    name = lambda: "".join(r.choices("abcdefghijklmnop", k=12))
+    cells, texts = [], []
+    for cell, size in enumerate([1, 2, 250, 3, 250, 40]):
+        for n in range(size):
+            line = f"posted in the forum of the town by {name()} some day"
+            # some lines of a cell are near copies of the one before
+            texts.append(texts[-1].replace("some", "same") + "s" * (n % 2) if n % 25 == 1 else line)
+            cells.append(cell)
+    ids = list(range(len(texts)))
+    rows = pa.table({"cell": cells, "side": [i % 2 for i in ids], "id": ids, "component": [i // 2 * 2 for i in ids], "line": texts})
+    tested, within = [], lines.within
+    monkeypatch.setattr(lines, "within", lambda left, right, edits: tested.extend(left) or within(left, right, edits))
+    found = [{(a, b) for t in lines.linked_rows(rows, 2, limit) for a, b in zip(t["a"].to_pylist(), t["b"].to_pylist())} for limit in (1, 100, 1024)]
+    free = lambda i, j: cells[i] == cells[j] and i // 2 != j // 2 and not (i % 2 and j % 2)
+    pairs = [(i, j) for j in ids for i in range(j) if free(i, j)]
+    near = within([texts[i] for i, _ in pairs], [texts[j] for _, j in pairs], 2)
+    links = {pair for pair, close in zip(pairs, near) if close}
+    assert links and found[0] == found[1] == found[2] == links
+    assert len(tested) < 3 * len(pairs) / 50
+    assert list(lines.linked_rows(rows.slice(0, 0), 2)) == []
+
+
+def test_the_counts_of_letters_let_every_near_pair_pass():
+    r = random.Random(5)
+    left, right = [], []
+    for _ in range(500):
+        x = "".join(r.choices("ab é漢\U0001f600", k=r.randint(10, 40)))
+        y = list(x)
+        for _ in range(r.randint(0, 4)):
+            at = r.randint(0, len(y))
+            y[at : at + r.choice([0, 1])] = r.choice(["", "a", "漢"])
+        left.append(x)
+        right.append("".join(y))
+    left.append("a" * 70_000)
+    right.append("a" * 69_998)
+    counts, at = lines._letters(left + right), np.arange(len(left))
+    for edits in (1, 2, 3):
+        near = lines.within(left, right, edits)
+        assert lines._alike(counts, at, at + len(left), edits, limit=64)[near].all()
+
+
 def test_quotas_and_flow():
     assert mixing.quotas({"a": 10, "b": 100, None: 100}, 210) == {"a": 30.0, "b": 72.0, None: 108.0}
     assert mixing.quotas({}, 0) == {}
