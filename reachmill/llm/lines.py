@@ -45,6 +45,7 @@ from reachmill.llm.textarrays import blocks, mix, portions
 
 _BLOCK = 1 << 18
 _BINS = 64
+_MARKS = 1 << 24
 _U = np.uint64
 
 
@@ -314,6 +315,16 @@ def _linked_inside(max_edits: int):
     return compare
 
 
+def _marked(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows with one of the ids, and few others: the ids mark bits of a map of bounded size,
+    which every task gets. Most lines share no bucket, and their texts need not be shuffled."""
+    at = F.pmod(F.xxhash64("id"), F.lit(_MARKS))
+    word, bit = F.shiftright(at, 6).alias("_word"), at.bitwiseAND(F.lit(63)).cast("int").alias("_bit")
+    marks = ids.select(word, bit).groupBy("_word").agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_marks"))
+    found = rows.select("*", word, bit).join(F.broadcast(marks), "_word").where(F.getbit("_marks", "_bit") == 1)
+    return found.select(*rows.columns)
+
+
 def classes(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", max_edits: int = 2, min_chars: int = 20, edit_chars: int = 10, order: str | None = None) -> DataFrame:
     """One row for every line that counts: doc_id, line_no, class_doc_id, class_line_no (where
     its class comes first) and kept. The ids are those of key; order names the column by
@@ -328,7 +339,8 @@ def classes(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str =
     def contents_of(ids: DataFrame) -> DataFrame:
         # by sort and merge at every size, as ids grow with the input; written before copies
         # go, since the join alone can be split where a line is very common
-        wanted = edited.select(F.col("line_id").alias("id"), "line").join(ids.hint("merge"), "id", "left_semi")
+        # (an inner join, each id being there once: a semi join would be put before the marks)
+        wanted = _marked(edited.select(F.col("line_id").alias("id"), "line"), ids).join(ids.hint("merge"), "id")
         return scratch.keep(wanted, "wanted").dropDuplicates(["id"])
 
     linked = linked_components(members, contents_of, _linked(max_edits), _linked_inside(max_edits), scratch)

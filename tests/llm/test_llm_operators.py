@@ -163,6 +163,22 @@ def test_lines_of_one_template_are_classed_as_by_brute_force(spark):
     assert len(set(expected)) > 200 and found == dict(enumerate(expected))
 
 
+def test_marks_keep_the_lines_of_all_wanted_ids_and_few_others(spark):
+    rows = spark.range(20_000).select(F.xxhash64("id").alias("id"), F.col("id").cast("string").alias("line"))
+    # a hot id stays as often as it is there, in both directions of the sign
+    rows = rows.union(rows.where("line < '11'")).union(spark.createDataFrame([(0, "zero"), (-1, None)], "id long, line string"))
+    ids = rows.where("pmod(id, 50) = 3 or id in (0, -1)").select("id").distinct()
+    left = lines._marked(rows, ids)
+    assert left.columns == rows.columns
+    wanted = rows.join(ids, "id", "left_semi")
+    assert wanted.count() > 400 and wanted.exceptAll(left).count() == 0
+    assert left.count() < wanted.count() + 50 and left.exceptAll(rows).count() == 0
+    assert lines._marked(rows, ids.limit(0)).count() == 0
+    # the texts of other lines are gone before the shuffle
+    plan = lines._marked(rows, ids).join(ids.hint("merge"), "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("_marks") > plan.index("Join Inner") and "LeftSemi" not in plan
+
+
 def test_near_duplicate_classes_are_those_of_brute_force(spark, docs, none):
     found = {(r["id"], r["n_shingles"], r["component_id"], r["kept"]) for r in neardup.classes(docs, Scratch(spark, "t-near"), n=3, percent=85, bands=20, rows=6).collect()}
     rows = sorted({(r["doc_id"], r["text"]) for r in docs.collect() if r["doc_id"] is not None}, key=lambda r: r[0])
